@@ -23,7 +23,7 @@ from pyspark.util import inheritable_thread_target
 from farelens.functions.keys import fold_of
 from farelens.ml.features import FeatureSet, fit_features
 from farelens.operators.sampling import train_test_split
-from farelens.session import TARGET_PARTITION_BYTES, use_checkpoints
+from farelens.session import TARGET_PARTITION_BYTES, stored, use_checkpoints
 
 SEED = 42
 REGRESSORS = {
@@ -118,14 +118,19 @@ def training_partitions(df: DataFrame, input_bytes: int | None = None) -> int:
 
 def prepare(df: DataFrame, features: FeatureSet, label: str | Column, key: str | Column,
             folds: int = 3, partitions: int | None = None) -> Prepared:
-    """Drop rows with missing inputs, split by key hash, fit the encoders on the
-    training part and encode both parts. ``partitions`` spreads the training
-    rows evenly before iterative training."""
+    """Derive once, split by key hash, fit the encoders on the training part and
+    encode both parts.
+
+    The derived inputs are written to the shared scratch folder: every fitted
+    encoder and both parts read them again, and neither the joins behind them nor
+    their long expressions are planned and run each time. ``partitions`` spreads
+    the training rows evenly before iterative training.
+    """
     target = F.col(label) if isinstance(label, str) else label
-    rows = (
-        df.withColumn("label", target.cast("double"))
-        .withColumn("row_key", F.col(key) if isinstance(key, str) else key)
-        .dropna(subset=["label", *features.columns]))
+    row_key = F.col(key) if isinstance(key, str) else key
+    inputs = df.dropna(subset=list(features.columns)).select(
+        *features.columns, target.cast("double").alias("label"), row_key.alias("row_key"))
+    rows = stored(inputs, "model-inputs").where(F.col("label").isNotNull())
     raw_train, raw_test = train_test_split(rows, "row_key")
     pipeline = fit_features(raw_train, features)
     train = pipeline.transform(raw_train).select(

@@ -6,7 +6,7 @@ import math
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -51,6 +51,15 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     return f"{root.rstrip('/')}/farelens/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows as a written table in the scratch folder: computed once, and read
+    back from there after a lost executor."""
+    spark = df.sparkSession
+    path = scratch_dir(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def use_checkpoints(spark: SparkSession) -> None:
     """Let iterative trainers cut their lineage in the shared folder."""
     context = spark.sparkContext
