@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from farelens.functions.keys import fold_of
+from farelens.ml import evaluate
 from farelens.ml.features import FeatureSet, fit_features
 from farelens.operators.sampling import train_test_split
 from farelens.session import TARGET_PARTITION_BYTES, stored, use_checkpoints
@@ -93,7 +94,8 @@ def param_grid(estimator: Estimator, values: dict[str, Sequence]) -> list[dict]:
 
 @dataclass
 class Prepared:
-    """Encoded train and test rows: features, label, fold, key columns kept by name."""
+    """Encoded train rows (features, label, row_key, fold) and test rows (features, label),
+    with the fitted encoders and the rows before encoding."""
 
     train: DataFrame
     test: DataFrame
@@ -134,7 +136,7 @@ def prepare(df: DataFrame, features: FeatureSet, label: str | Column, key: str |
     raw_train, raw_test = train_test_split(rows, "row_key")
     pipeline = fit_features(raw_train, features)
     train = pipeline.transform(raw_train).select(
-        "features", "label", fold_of("row_key", folds).alias("fold"))
+        "features", "label", "row_key", fold_of("row_key", folds).alias("fold"))
     if partitions:
         train = train.repartition(partitions)
     test = pipeline.transform(raw_test).select("features", "label")
@@ -192,5 +194,15 @@ def with_score(predictions: DataFrame) -> DataFrame:
     return predictions.withColumn("score", vector_to_array("probability")[1])
 
 
+def class_report(model: Model, test: DataFrame, name: str, seconds: float) -> DataFrame:
+    """One row of classification metrics for a fitted model."""
+    scored = with_score(model.transform(test)).select(
+        F.lit(name).alias("model"), "label", "prediction", "score")
+    rates = evaluate.classification_metrics(
+        evaluate.confusion_binary(scored, by=["model"]), by=["model"])
+    areas = evaluate.curve_areas(scored, by=["model"])
+    return rates.join(areas, "model").withColumn("train_seconds", F.lit(round(seconds, 3)))
+
+
 def save_model(model: Model, path: str) -> None:
     model.write().overwrite().save(path)

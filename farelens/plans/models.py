@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -12,11 +10,10 @@ from pyspark.sql import functions as F
 from farelens.functions.calendar import with_trip_features
 from farelens.functions.fares import fare_class
 from farelens.functions.keys import row_key, unit_hash
-from farelens.ml import evaluate, explain, stability
+from farelens.ml import evaluate, explain, scenarios, stability
 from farelens.ml import train as training
 from farelens.ml.features import (
     FARE_CLASS, TRIP_ONLY, FeatureSet, feature_pipeline, index_columns, missing_inputs, slot_names)
-from farelens.operators import insights, ranking
 from farelens.operators.quantiles import median
 from farelens.plans.sql_views import HOUR, SECONDS, sql
 from farelens.sources import bills, line_charges, trips
@@ -170,17 +167,6 @@ def prepared_classes(spark: SparkSession, folder: str) -> training.Prepared:
         partitions=_partitions(spark, folder))
 
 
-def class_report(spark: SparkSession, model, test: DataFrame, name: str, seconds: float
-                 ) -> DataFrame:
-    """The metrics row of one classifier."""
-    scored = training.with_score(model.transform(test)).select(
-        F.lit(name).alias("model"), "label", "prediction", "score")
-    rates = evaluate.classification_metrics(
-        evaluate.confusion_binary(scored, by=["model"]), by=["model"])
-    areas = evaluate.curve_areas(scored, by=["model"])
-    return rates.join(areas, "model").withColumn("train_seconds", F.lit(round(seconds, 3)))
-
-
 def fit_classifier(name: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         data = prepared_classes(spark, folder).cached()
@@ -188,53 +174,44 @@ def fit_classifier(name: str):
             model, seconds = training.timed_fit(training.classifier(name), data.train)
         finally:
             data.release()
-        return class_report(spark, model, data.test, name, seconds)
+        return training.class_report(model, data.test, name, seconds)
     return query
 
 
 # --- stability ------------------------------------------------------------------------
 
 SCENARIO_MODELS = ("logistic_regression", "decision_tree")
+MOVED = ("trip_distance", "tip_amount", "tolls_amount")
 
 
-def _class_scenarios(spark: SparkSession, folder: str, reductions: dict[str, float],
-                     noise: bool) -> DataFrame:
-    data = prepared_classes(spark, folder)
-    keyed = data.pipeline.transform(data.raw_train).select(
-        "features", "label", "row_key").repartition(_partitions(spark, folder)).persist()
-    reports = []
+def stability_reduction(spark: SparkSession, folder: str) -> DataFrame:
+    """Refits on nested 90 % and 80 % samples of the training rows."""
+    data = prepared_classes(spark, folder).cached()
     try:
-        for scenario, share in reductions.items():
-            part = keyed.where(unit_hash("row_key") < 0.8 * share)
-            for name in SCENARIO_MODELS:
-                model, seconds = training.timed_fit(training.classifier(name), part)
-                tests = {scenario: data.test}
-                if noise and share == 1.0:
-                    moved = stability.with_noise(
-                        data.raw_test, ["trip_distance", "tip_amount", "tolls_amount"], 0.01,
-                        "row_key")
-                    tests["noise"] = data.pipeline.transform(moved)
-                for label, test in tests.items():
-                    reports.append(class_report(spark, model, test, name, seconds).select(
-                        F.lit(label).alias("scenario"), "model", "accuracy", "precision",
-                        "recall", "f1", "roc_auc", "train_seconds"))
+        return scenarios.classifier_scenarios(data, SCENARIO_MODELS)
     finally:
-        keyed.unpersist()
-    result = reports[0]
-    for report in reports[1:]:
-        result = result.unionByName(report)
-    return result
+        data.release()
 
 
-def stability_reduction(spark: SparkSession, folder: str) -> DataFrame:
-    """Refits on nested 90 % and 80 % samples of the training rows."""
-    return _class_scenarios(
-        spark, folder, {"original": 1.0, "data_90": 0.9, "data_80": 0.8}, noise=False)
+def stability_results(spark: SparkSession, folder: str) -> DataFrame:
+    """The reductions, and the full model on noisy test rows."""
+    data = prepared_classes(spark, folder).cached()
+    try:
+        return scenarios.classifier_scenarios(data, SCENARIO_MODELS, MOVED)
+    finally:
+        data.release()
 
 
-def stability_results(spark: SparkSession, folder: str) -> DataFrame:
-    return _class_scenarios(
-        spark, folder, {"original": 1.0, "data_90": 0.9, "data_80": 0.8}, noise=True)
+def model_noise(spark: SparkSession, folder: str) -> DataFrame:
+    """A fitted regressor on normal noise and on a dropped feature, against its baseline."""
+    data = prepared_totals(spark, folder).cached()
+    try:
+        model, _ = training.timed_fit(training.regressor("decision_tree"), data.train)
+    finally:
+        data.release()
+    tests = scenarios.regressor_scenarios(data, list(BILL_TOTAL.numeric), 0.01, "pickup_hour")
+    return stability.union_scenarios({
+        name: evaluate.regression_metrics(model.transform(test)) for name, test in tests.items()})
 
 
 QUERIES = {
@@ -260,6 +237,7 @@ QUERIES = {
     "feature_name_map": feature_name_map,
     "stability_reduction": stability_reduction,
     "stability_results": stability_results,
+    "model_noise": model_noise,
 }
 
 

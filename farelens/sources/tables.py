@@ -7,8 +7,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+TYPES = {
+    "INT": T.IntegerType(), "BIGINT": T.LongType(), "DOUBLE": T.DoubleType(),
+    "STRING": T.StringType(), "TIMESTAMP_NTZ": T.TimestampNTZType()}
+
+
+def declare(columns: str) -> T.StructType:
+    """``name TYPE, ...`` as a schema; unlike DDL parsing it needs no session."""
+    pairs = (column.split() for column in columns.split(","))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in pairs])
+
+
 # fixed values: the monthly trip files' columns, in file order
-TRIP_SCHEMA = T.StructType.fromDDL("""
+TRIP_SCHEMA = declare("""
     VendorID INT,
     tpep_pickup_datetime TIMESTAMP_NTZ,
     tpep_dropoff_datetime TIMESTAMP_NTZ,
@@ -82,7 +93,7 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def load_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     df = read_paths(spark, f"{folder.rstrip('/')}/{name}.parquet")
-    return conform(df, T.StructType.fromDDL(TABLES[name]))
+    return conform(df, declare(TABLES[name]))
 
 
 def read_trips(spark: SparkSession, *paths: str) -> DataFrame:
