@@ -131,12 +131,10 @@ def train_classifiers(spark: SparkSession, trips: DataFrame, out: str,
                       noise: float = 0.01) -> dict[str, DataFrame]:
     """Fit and save the four fare-class models; returns model_metrics,
     feature_importance and stability_results."""
-    rows = _model_rows(cleaning.apply_rules(trips))
-    train_part, _ = sampling.train_test_split(rows, "trip_key")
-    threshold = median(train_part, "fare_amount").first()[0]
     data = training.prepare(
-        rows, features, fare_class(threshold), "trip_key",
-        partitions=partitions or training.training_partitions(trips)).cached()
+        _model_rows(cleaning.apply_rules(trips)), features, "fare_amount", "trip_key",
+        partitions=partitions or training.training_partitions(trips),
+        relabel=training.above_median).cached()
     training.save_model(data.pipeline, f"{out}/pipeline")
     fitted, originals = {}, []
     try:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 import time
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
@@ -20,9 +20,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
+from farelens.functions.fares import fare_class
 from farelens.functions.keys import fold_of
 from farelens.ml import evaluate
 from farelens.ml.features import FeatureSet, fit_features
+from farelens.operators.quantiles import median
 from farelens.operators.sampling import train_test_split
 from farelens.session import TARGET_PARTITION_BYTES, stored, use_checkpoints
 
@@ -119,30 +121,40 @@ def training_partitions(df: DataFrame, input_bytes: int | None = None) -> int:
 
 
 def prepare(df: DataFrame, features: FeatureSet, label: str | Column, key: str | Column,
-            folds: int = 3, partitions: int | None = None) -> Prepared:
+            folds: int = 3, partitions: int | None = None,
+            relabel: Callable[[DataFrame], Column] | None = None) -> Prepared:
     """Derive once, split by key hash, fit the encoders on the training part and
     encode both parts.
 
-    The derived inputs are written to the shared scratch folder: every fitted
-    encoder and both parts read them again, and neither the joins behind them nor
-    their long expressions are planned and run each time. ``partitions`` spreads
-    the training rows evenly before iterative training.
+    The derived inputs are written to the shared scratch folder, spread evenly
+    over ``partitions`` files: every encoder, every fit and both parts read them
+    again, and neither the joins behind them nor their long expressions are
+    planned and run each time. ``relabel`` turns the label into another one that
+    depends on the training rows, such as a class by their median.
     """
     target = F.col(label) if isinstance(label, str) else label
     row_key = F.col(key) if isinstance(key, str) else key
     inputs = df.dropna(subset=list(features.columns)).select(
         *features.columns, target.cast("double").alias("label"), row_key.alias("row_key"))
+    if partitions:
+        inputs = inputs.repartition(partitions)
     rows = stored(inputs, "model-inputs").where(F.col("label").isNotNull())
     raw_train, raw_test = train_test_split(rows, "row_key")
     pipeline = fit_features(raw_train, features)
+    if relabel:
+        final = relabel(raw_train).cast("double")
+        raw_train, raw_test = (part.withColumn("label", final) for part in (raw_train, raw_test))
     train = pipeline.transform(raw_train).select(
         "features", "label", "row_key", fold_of("row_key", folds).alias("fold"))
-    if partitions:
-        train = train.repartition(partitions)
     test = pipeline.transform(raw_test).select("features", "label")
     return Prepared(train, test, pipeline, raw_train, raw_test)
 
 
+def above_median(raw_train: DataFrame) -> Column:
+    """Fare class by the training rows' own median fare."""
+    return fare_class(median(raw_train, "label").first()[0], "label")
+
+
 def timed_fit(estimator: Estimator, train: DataFrame) -> tuple[Model, float]:
     use_checkpoints(train.sparkSession)
     start = time.perf_counter()
@@ -195,9 +207,13 @@ def with_score(predictions: DataFrame) -> DataFrame:
 
 
 def class_report(model: Model, test: DataFrame, name: str, seconds: float) -> DataFrame:
-    """One row of classification metrics for a fitted model."""
-    scored = with_score(model.transform(test)).select(
-        F.lit(name).alias("model"), "label", "prediction", "score")
+    """One row of classification metrics for a fitted model.
+
+    The test rows are scored once; label, prediction and score are written, and
+    all metrics read those three columns.
+    """
+    scored = stored(with_score(model.transform(test)).select(
+        F.lit(name).alias("model"), "label", "prediction", "score"), "scores")
     rates = evaluate.classification_metrics(
         evaluate.confusion_binary(scored, by=["model"]), by=["model"])
     areas = evaluate.curve_areas(scored, by=["model"])

@@ -1,7 +1,7 @@
 """The business insights, computed instead of claimed.
 
 All of them read a cube of trip counts and fare sums over a few low-cardinality
-columns, so the full report scans the trips once (and once more for zones).
+columns; the full report scans the trips once for it and once more for zones.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from farelens.functions.calendar import EVENING_RUSH, LATE_NIGHT, is_weekend
 from farelens.operators.ranking import top_k
+from farelens.session import stored
 
 
 def _dimensions() -> dict[str, Column]:
@@ -121,10 +122,12 @@ def business_insights(trips: DataFrame, importances: DataFrame | None = None,
     """Insight_No, Insight, Category with the measured numbers in the sentence.
 
     ``importances`` (feature, importance) adds insight 1, ``stability``
-    (model, mean_change) adds insight 10.
+    (model, mean_change) adds insight 10. The cube is a small table that seven
+    questions ask, so it is written once.
     """
-    cube = fare_cube(trips, [
-        "pickup_hour", "pickup_month", "is_weekend", "payment_type", "VendorID", "party"])
+    cube = stored(fare_cube(trips, [
+        "pickup_hour", "pickup_month", "is_weekend", "payment_type", "VendorID", "party"]),
+        "fare-cube")
 
     def compared(number: int, bands: DataFrame, band: str, chosen, template: str) -> DataFrame:
         is_chosen = F.col(band) == chosen

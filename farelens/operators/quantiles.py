@@ -66,9 +66,11 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
                     groups: Sequence[str] = ()) -> DataFrame:
     """Interpolated quantiles (name -> probability), per group if groups are given.
 
-    Only the slices that hold a wanted rank are looked at row by row.
+    Only the slices that hold a wanted rank are looked at row by row. Without
+    groups these are at most two per quantile, so the list is broadcast and the
+    rows are filtered in place, unshuffled. With groups the list may be long, and
+    the counted values are joined with it.
     """
-    histogram = value_histogram(df, value, groups)
     keys = [*groups, "_slice"]
 
     def position(p: float):
@@ -80,9 +82,19 @@ def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
     wanted = reduce(lambda a, b: a | b, [
         holds(rank(position(p)), F.col("_n_base"), F.col("_n_slice"))
         for p in probabilities.values() for rank in (F.floor, F.ceil)])
-    slices = slice_offsets(histogram, ["_n"], groups).where(wanted)
+    if groups:
+        histogram = value_histogram(df, value, groups)
+        slices = slice_offsets(histogram, ["_n"], groups).where(wanted)
+        chosen = histogram.join(slices, keys)
+    else:
+        numbers = df.dropna(subset=[value]).select(F.col(value).cast("double").alias("_value"))
+        numbers = numbers.withColumns({"_slice": order_slice("_value"), "_n": F.lit(1)})
+        slices = slice_offsets(numbers, ["_n"]).where(wanted)
+        chosen = (
+            numbers.drop("_n").join(F.broadcast(slices), "_slice")
+            .groupBy(*slices.columns, "_value").agg(F.count("*").alias("_n")))
     inside = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = histogram.join(slices, keys).withColumn(
+    ranked = chosen.withColumn(
         "_start", F.col("_n_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
 
     def at(rank):

@@ -8,13 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from farelens.functions.calendar import with_trip_features
-from farelens.functions.fares import fare_class
-from farelens.functions.keys import row_key, unit_hash
+from farelens.functions.keys import row_key
 from farelens.ml import evaluate, explain, scenarios, stability
 from farelens.ml import train as training
 from farelens.ml.features import (
     FARE_CLASS, TRIP_ONLY, FeatureSet, feature_pipeline, index_columns, missing_inputs, slot_names)
-from farelens.operators.quantiles import median
 from farelens.plans.sql_views import HOUR, SECONDS, sql
 from farelens.sources import bills, line_charges, trips
 from farelens.sources.inventory import input_bytes
@@ -157,14 +155,9 @@ def prepared_classes(spark: SparkSession, folder: str) -> training.Prepared:
     """Fare classes by the training rows' median fare."""
     rows = bill_rows(spark, folder).drop("payment_type").withColumnRenamed(
         "payment_code", "payment_type")
-    train_fares = line_charges(spark, folder)
-    train_fares = train_fares.where(unit_hash(row_key(
-        train_fares, ["l_orderkey", "l_linenumber", "DOLocationID", "PULocationID",
-                      "fare_amount"])) < 0.8)
-    threshold = median(train_fares, "fare_amount").first()[0]
     return training.prepare(
-        rows, FARE_CLASS, fare_class(threshold), "bill_key",
-        partitions=_partitions(spark, folder))
+        rows, FARE_CLASS, "fare_amount", "bill_key", partitions=_partitions(spark, folder),
+        relabel=training.above_median)
 
 
 def fit_classifier(name: str):
