@@ -19,7 +19,8 @@ from farelens.functions.fares import fare_class
 from farelens.functions.keys import row_key
 from farelens.ml import evaluate, explain, scenarios
 from farelens.ml import train as training
-from farelens.ml.features import FARE_CLASS, TRIP_ONLY, FeatureSet, slot_names
+from farelens.ml.features import (
+    CALENDAR_ONLY, FARE_CLASS, TRIP_ONLY, WITH_CHARGES, FeatureSet, slot_names)
 from farelens.operators import aggregates, cleaning, insights, quality, ranking, sampling
 from farelens.operators.quantiles import median
 from farelens.session import build_session
@@ -38,6 +39,7 @@ STABILITY_NAMES = {
     "recall": "Recall", "f1": "F1", "roc_auc": "ROC-AUC", "train_seconds": "Time (s)"}
 
 
+FEATURE_SETS = {"trip": TRIP_ONLY, "calendar": CALENDAR_ONLY, "charges": WITH_CHARGES}
 NOISY = ("trip_distance", "tip_amount", "tolls_amount")
 
 
@@ -106,7 +108,7 @@ def train_regressors(spark: SparkSession, trips: DataFrame, out: str, grid: str
     rows = []
     try:
         for name in training.REGRESSORS:
-            estimator = training.regressor(name)
+            estimator = training.with_bins(training.regressor(name), data.bins)
             found = training.cross_validate(
                 data.train, estimator,
                 training.param_grid(estimator, training.GRIDS[grid][name]), folds)
@@ -139,7 +141,8 @@ def train_classifiers(spark: SparkSession, trips: DataFrame, out: str,
     fitted, originals = {}, []
     try:
         for name in training.CLASSIFIERS:
-            fitted[name], seconds = training.timed_fit(training.classifier(name), data.train)
+            fitted[name], seconds = training.timed_fit(
+                training.with_bins(training.classifier(name), data.bins), data.train)
             training.save_model(fitted[name], f"{out}/{name}")
             originals.append(training.class_report(fitted[name], data.test, name, seconds))
         disturbed = scenarios.classifier_scenarios(data, training.CLASSIFIERS, NOISY, noise, fitted)
@@ -168,6 +171,7 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--out", required=True)
     parser.add_argument("--grid", choices=list(training.GRIDS), default="quick")
     parser.add_argument("--folds", type=int, default=3)
+    parser.add_argument("--features", choices=list(FEATURE_SETS), default="trip")
     parser.add_argument("--sample", type=float, help="share of trips to train on")
     chosen = parser.parse_args(arguments)
     spark = build_session()
@@ -178,8 +182,8 @@ def main(arguments: list[str] | None = None) -> None:
     if chosen.job == "reports":
         export_reports(spark, trips, chosen.out).show(50, truncate=False)
     elif chosen.job == "regress":
-        train_regressors(spark, trips, chosen.out, chosen.grid, chosen.folds, partitions
-                         ).show(truncate=False)
+        train_regressors(spark, trips, chosen.out, chosen.grid, chosen.folds, partitions,
+                         FEATURE_SETS[chosen.features]).show(truncate=False)
     else:
         for name, table in train_classifiers(spark, trips, chosen.out, partitions).items():
             files.write_csv(table, f"{chosen.out}/{name}")

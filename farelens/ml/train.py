@@ -12,6 +12,7 @@ from pyspark import StorageLevel
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier, GBTClassifier, LogisticRegression, RandomForestClassifier)
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import (
     DecisionTreeRegressor, GBTRegressor, LinearRegression, RandomForestRegressor)
@@ -113,6 +114,19 @@ class Prepared:
     def release(self) -> None:
         self.train.unpersist()
 
+    @property
+    def bins(self) -> int:
+        """Tree bins needed for the widest indexed column: one per category, unseen included."""
+        indexers = [stage for stage in self.pipeline.stages if isinstance(stage, StringIndexerModel)]
+        return max([len(stage.labels) + 1 for stage in indexers], default=0)
+
+
+def with_bins(estimator: Estimator, bins: int) -> Estimator:
+    """Trees reject a category column with more values than bins."""
+    if estimator.hasParam("maxBins") and estimator.getOrDefault("maxBins") < bins:
+        return estimator.copy({estimator.getParam("maxBins"): bins})
+    return estimator
+
 
 def training_partitions(df: DataFrame, input_bytes: int | None = None) -> int:
     """At least one partition per core, and none much above 128 MB of input."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,20 +13,32 @@ from farelens.functions.keys import unit_hash
 from farelens.operators.quantiles import exact_quantiles, value_histogram
 
 
+PAIRS_PER_SCAN = 14  # six aggregation buffers each: more leave whole-stage codegen
+
+
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every pair, long form, in one aggregate.
+    """Pearson correlation of every pair, long form.
 
-    Like a pairwise matrix, each pair uses the rows where both values exist.
+    Like a pairwise matrix, each pair uses the rows where both values exist. An
+    aggregate of all pairs at once is too wide to be compiled and several times
+    slower than a few narrow ones, so pairs are measured in groups, each reading
+    only its own columns.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    row = df.agg(*[F.round(F.corr(a, b), 6).alias(f"{a}~{b}") for a, b in pairs])
 
-    def cell(a: str, b: str) -> Column:
-        name = f"{a}~{b}" if (a, b) in pairs else f"{b}~{a}"
-        return F.struct(F.lit(a).alias("feature_x"), F.lit(b).alias("feature_y"),
-                        F.col(f"`{name}`").alias("correlation"))
+    def cell(x: str, y: str, name: str) -> Column:
+        return F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"),
+                        F.col(name).alias("correlation"))
+
+    def measured(group: Sequence[tuple[str, str]]) -> DataFrame:
+        row = df.agg(*[F.round(F.corr(a, b), 6).alias(f"c{i}") for i, (a, b) in enumerate(group)])
+        cells = [cell(x, y, f"c{i}") for i, (a, b) in enumerate(group)
+                 for x, y in dict.fromkeys([(a, b), (b, a)])]
+        return row.select(F.inline(F.array(*cells)))
 
-    return row.select(F.inline(F.array(*[cell(a, b) for a in columns for b in columns])))
+    return reduce(DataFrame.unionByName, [
+        measured(pairs[start:start + PAIRS_PER_SCAN])
+        for start in range(0, len(pairs), PAIRS_PER_SCAN)])
 
 
 def _range_of(df: DataFrame, value: str) -> Column:

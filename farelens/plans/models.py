@@ -25,6 +25,11 @@ TRIP_ENCODED = FeatureSet(
     numeric=("passenger_count", "trip_distance", "trip_duration", "pickup_hour"),
     one_hot=("VendorID", "store_and_fwd_flag"))
 
+TRIP_INDEXED = FeatureSet(
+    numeric=("passenger_count", "trip_distance", "trip_duration", "pickup_hour", "pickup_day",
+             "pickup_month"),
+    indexed=("payment_type", "PULocationID", "DOLocationID"), scaled=False)
+
 
 # --- encoders -------------------------------------------------------------------------
 
@@ -113,6 +118,22 @@ def fit_regressor(name: str):
     return query
 
 
+def reg_tree_indexed(spark: SparkSession, folder: str) -> DataFrame:
+    """A tree on indexed zones: more categories than the default bins."""
+    rows = with_trip_features(trips(spark, folder, with_dropoff=True))
+    size = input_bytes(spark, f"{folder}/events.parquet")
+    data = training.prepare(
+        rows, TRIP_INDEXED, "fare_amount", "trip_id",
+        partitions=training.training_partitions(rows, size)).cached()
+    tree = training.with_bins(training.regressor("decision_tree", maxDepth=5, seed=42), data.bins)
+    try:
+        model, _ = training.timed_fit(tree, data.train)
+    finally:
+        data.release()
+    return evaluate.regression_metrics(model.transform(data.test)).select(
+        F.lit(data.bins).alias("bins"), "*")
+
+
 def cv_search(name: str, grid: str = "quick", folds: int = 3):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         data = prepared_totals(spark, folder).cached()
@@ -218,6 +239,7 @@ QUERIES = {
     "reg_tree": fit_regressor("decision_tree"),
     "reg_forest": fit_regressor("random_forest"),
     "reg_gbt": fit_regressor("gbt"),
+    "reg_tree_indexed": reg_tree_indexed,
     "cv_search_linear": cv_search("linear_regression"),
     "cv_search_tree": cv_search("decision_tree"),
     "cv_search_forest": cv_search("random_forest"),
