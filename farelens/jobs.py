@@ -1,6 +1,6 @@
 """Whole jobs over trip files: reports, regressors, classifiers.
 
-    python -m farelens.jobs reports  --trips 'data/yellow_tripdata_*.parquet' --out exports
+    python -m farelens.jobs reports  --trips 'data/tripdata_*.parquet' --out exports
     python -m farelens.jobs regress  --trips ... --out models --sample 0.01
     python -m farelens.jobs classify --trips ... --out models
 """

@@ -164,6 +164,20 @@ ORACLE = {
         SELECT 'flat' AS model, ROUND(SQRT(AVG(e * e)), 6) AS rmse, ROUND(AVG(ABS(e)), 6) AS mae,
           ROUND(AVG(e * e), 6) AS mse, ROUND(1 - AVG(e * e) / VAR_POP(total_amount), 6) AS r2
         FROM (SELECT total_amount, total_amount - fare_amount AS e FROM bills)"""),
+    "export_manifest": sql(" UNION ALL ".join(
+        f"SELECT '{name}' AS report, TRUE AS header_ok, CAST({rows} AS BIGINT) AS row_count "
+        f"FROM {view}" for name, (rows, view) in {
+            "dataset_overview": ("5 + 0 * COUNT(*)", "trips"),
+            "data_quality": ("5 + 0 * COUNT(*)", "trips"),
+            "missing_values": ("COUNT(*) FILTER (WHERE dropoff_datetime IS NULL) > 0", "trips"),
+            "hourly_fare_volume": ("COUNT(DISTINCT hour(pickup_datetime))", "trips"),
+            "fare_distribution": (
+                "COUNT(DISTINCT CASE WHEN fare_amount > 0 AND fare_amount < 100 "
+                "THEN floor(fare_amount / 5) END)", "trips"),
+            "cost_analysis": ("COUNT(DISTINCT month(pickup_datetime))", "bills"),
+            "trip_behavior": ("COUNT(DISTINCT month(pickup_datetime))", "bills"),
+            "monthly_fare_summary": ("COUNT(DISTINCT month(pickup_datetime))", "bills"),
+        }.items())),
     "model_roundtrip":
         "SELECT COUNT(*) AS row_count, CAST(0 AS DOUBLE) AS largest_difference FROM lineitem",
 }

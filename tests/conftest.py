@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate())
     session.sparkContext.setLogLevel("ERROR")

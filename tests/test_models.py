@@ -33,8 +33,8 @@ def monthly_files(spark, small, tmp_path_factory):
     rows = source.select(*columns, (F.col("trip_id") % 2).alias("part"))
     for part in (0, 1):
         rows.where(F.col("part") == part).drop("part").coalesce(1).write.parquet(
-            f"{folder}/yellow_tripdata_2025-0{part + 1}.parquet")
-    return f"{folder}/yellow_tripdata_2025-*.parquet"
+            f"{folder}/tripdata_2025-0{part + 1}.parquet")
+    return f"{folder}/tripdata_2025-*.parquet"
 
 
 @pytest.fixture(scope="module")
