@@ -5,12 +5,20 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.llm import bpe, packing, token_counts
+from farelens.llm import (
+    ann_forest, bpe, fingerprint, langid, packing, token_counts, url_filter)
 from farelens.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 PIECE_BPE = public_tokenizers.path("piece_bpe_32k.model")
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
+             ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_forest.nearest(read(spark, sf_dir, "embeddings"), every=20, k=20)
+
 
 def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048)
@@ -24,9 +32,54 @@ def bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(read(spark, sf_dir, "documents"), BYTE_BPE)
 
 
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
+def fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.fingerprints(read(spark, sf_dir, "documents"))
+
+
+def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
+
+
 QUERIES = {
+    "op2_nearest_neighbours": nearest_neighbours,
     "op3_best_fit_packing": best_fit_packing,
     "op5_token_counts": token_count,
     "op6_bpe_round_trip": bpe_round_trip,
+    "op7_language_id": language_id,
+    "op8_fingerprints": fingerprints,
+    "op9_url_filters": url_filters,
+}
+
+ORACLE = {
+    "op9_url_filters": r"""
+        WITH cut AS (
+            SELECT page_id, CASE WHEN strpos(url, '://') > 0
+                                 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+            FROM pages),
+        parts AS (
+            SELECT page_id, regexp_extract(rest, '^[^/?#]*') AS raw,
+                   regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1),
+                                  '^[^?#]*') AS path
+            FROM cut),
+        hosts AS (
+            SELECT page_id, path, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                            'abcdefghijklmnopqrstuvwxyz') AS host
+            FROM parts),
+        ruled AS (
+            SELECT *, CASE
+                WHEN (host = 'example.net' OR host LIKE '%.example.net')
+                     AND starts_with(path, '/en/') THEN 'example.net/en/'
+                WHEN (host = 'example.com' OR host LIKE '%.example.com')
+                     AND starts_with(path, '/de/') THEN 'example.com/de/'
+                WHEN (host = 'org' OR host LIKE '%.org') AND starts_with(path, '/fr/') THEN 'org/fr/'
+                WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/') THEN 'net/'
+                END AS rule
+            FROM hosts)
+        SELECT page_id, host, path, rule,
+               CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' ELSE 'allow' END AS verdict
+        FROM ruled""",
 }
-ORACLE: dict[str, str] = {}
