@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from farelens.llm import (
-    ann_forest, bpe, fingerprint, langid, packing, token_counts, url_filter)
+    ann_forest, bpe, fingerprint, langid, line_dedup, lm_scoring, packing, token_counts, url_filter)
 from farelens.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -24,6 +24,12 @@ def best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(read(spark, sf_dir, "documents"), BYTE_BPE, capacity=2048)
 
 
+def cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents that ``labels`` gives quality 1."""
+    good = read(spark, sf_dir, "labels").filter("quality = 1").select("doc_id")
+    return lm_scoring.cross_entropy_difference(read(spark, sf_dir, "documents"), good)
+
+
 def token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read(spark, sf_dir, "documents"), PIECE_BPE, limit=4096)
 
@@ -44,14 +50,20 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(read(spark, sf_dir, "pages"), URL_RULES)
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicate(read(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op2_nearest_neighbours": nearest_neighbours,
     "op3_best_fit_packing": best_fit_packing,
+    "op4_cross_entropy_difference": cross_entropy_difference,
     "op5_token_counts": token_count,
     "op6_bpe_round_trip": bpe_round_trip,
     "op7_language_id": language_id,
     "op8_fingerprints": fingerprints,
     "op9_url_filters": url_filters,
+    "op10_substring_dedup": substring_dedup,
 }
 
 ORACLE = {
