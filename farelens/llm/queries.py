@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from farelens.llm import (
-    ann_forest, bpe, fingerprint, langid, line_dedup, lm_scoring, packing, token_counts, url_filter)
+    ann_forest, bpe, fingerprint, langid, line_dedup, lm_scoring, ngram_join, packing, token_counts,
+    url_filter)
 from farelens.llm.common import read
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -16,6 +17,10 @@ URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"),
              ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
 
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, sf_dir, "documents"), words=5, percent=75)
+
+
 def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann_forest.nearest(read(spark, sf_dir, "embeddings"), every=20, k=20)
 
@@ -55,6 +60,7 @@ def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_jaccard_join": ngram_jaccard_join,
     "op2_nearest_neighbours": nearest_neighbours,
     "op3_best_fit_packing": best_fit_packing,
     "op4_cross_entropy_difference": cross_entropy_difference,
