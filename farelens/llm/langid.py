@@ -155,26 +155,56 @@ def training_counts(docs: DataFrame, train_rows: int, fold: F.Column, id_col: st
     return out
 
 
+def fitted(docs: DataFrame, train_rows: int, id_col: str, text_col: str, lang_col: str):
+    """The model of the rows of ``docs`` that have a language and are not held out, for
+    all tasks."""
+    model = LanguageModel(training_counts(
+        docs, train_rows, held_out(docs[id_col]), id_col, text_col, lang_col))
+    return docs.sparkSession.sparkContext.broadcast(model)
+
+
 def identify(docs: DataFrame, train_rows: int = 20_000, id_col: str = "doc_id",
              text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row. Learns from the rows of
     ``docs`` with a language that are not held out."""
-    fold = held_out(docs[id_col])
-    model = LanguageModel(training_counts(docs, train_rows, fold, id_col, text_col, lang_col))
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(docs[id_col].cast("long").alias("doc_id"),
-                       F.coalesce(fold, F.lit(False)).alias("held_out"), docs[text_col].alias("text"))
-    return rows.mapInArrow(judge_batches(shared), "doc_id long, held_out boolean, lang_pred string, score double")
-
+    shared = fitted(docs, train_rows, id_col, text_col, lang_col)
+    rows = docs.select(
+        docs[text_col].alias("text"), docs[id_col].cast("long").alias("doc_id"),
+        F.coalesce(held_out(docs[id_col]), F.lit(False)).alias("held_out"))
+    return rows.mapInArrow(
+        judged(shared, keep=slice(1, 3)),
+        "doc_id long, held_out boolean, lang_pred string, score double")
+
+
+def with_language(docs: DataFrame, into: tuple[str, str] | None = ("lang_pred", "score"),
+                  train_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str = "lang") -> DataFrame:
+    """The rows of ``docs`` whose text has a language, with its name and score in the
+    columns that ``into`` names, or as they are if that is None. Other columns may have
+    any names."""
+    shared = fitted(docs, train_rows, id_col, text_col, lang_col)
+    names = {c: f"c{i}_kept" for i, c in enumerate(docs.columns)}
+    kinds = dict(docs.dtypes)
+    rows = docs.select(docs[text_col].alias("text"),
+                       *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    out = rows.mapInArrow(
+        judged(shared, keep=slice(1, None)), ", ".join(
+            [*(f"{n} {kinds[c]}" for c, n in names.items()), "lang_pred string, score double"]))
+    added = [F.col("lang_pred").alias(into[0]), F.col("score").alias(into[1])] if into else []
+    return out.filter(F.col("lang_pred") != UNKNOWN).select(
+        *(F.col(n).alias(c) for c, n in names.items()), *added)
+
+
+def judged(shared, keep: slice):
+    """Judges the text in the first column and puts the verdict behind the kept columns."""
 
-def judge_batches(shared):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Judge(shared.value)
         for batch in pieces_of(batches):
-            found = [judge.judge(text) for text in batch.column(2).to_pylist()]
+            found = [judge.judge(text) for text in batch.column(0).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array([f[0] for f in found], pa.string()),
+                [*batch.columns[keep], pa.array([f[0] for f in found], pa.string()),
                  pa.array([f[1] for f in found], pa.float64())],
-                ["doc_id", "held_out", "lang_pred", "score"])
+                [*batch.schema.names[keep], "lang_pred", "score"])
 
     return run
