@@ -103,8 +103,9 @@ def frequent_shingles(summary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 
 def prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
-    """shingle, part and node (the digest d1) for the first shingles of every set. A set is
-    sent once from each task."""
+    """shingle, part and node (the digest d1) for the first shingles of every set. The part is
+    0 for most shingles, and from 1 on where a frequent one is dealt to several tasks. A
+    set is sent once from each task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         many, parts = frequent.value
@@ -125,7 +126,7 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
                     often = many[place] == found
                     order = np.concatenate([np.flatnonzero(~often), np.flatnonzero(often)])[:first]
                     own = found[order]
-                    salts.append(np.where(often[order], (node % parts[place[order]]), 0))
+                    salts.append(np.where(often[order], node % parts[place[order]] + 1, 0))
                 else:
                     own = found[:first]
                     salts.append(np.zeros(len(own), np.int64))
@@ -153,8 +154,7 @@ def lists(prefix: DataFrame, width: int) -> DataFrame:
             nonlocal held, block
             while len(held) > BLOCK or final and len(held) and (block or len(held) > 1 or key[1]):
                 own, held = held[:BLOCK], held[BLOCK:]
-                single = final and not block and not len(held) and not key[1] and key[0] not in salted
-                if single:
+                if final and not block and not len(held) and not key[1]:
                     with np.errstate(over="ignore"):
                         name = int(mix(own.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
                     if name in known:
@@ -166,7 +166,6 @@ def lists(prefix: DataFrame, width: int) -> DataFrame:
                 out.append((name, key[1] << 16 | block, own))
                 block += 1
 
-        salted: set[int] = set()
         for batch in batches:
             if not batch.num_rows:
                 continue
