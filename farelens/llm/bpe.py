@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -40,54 +41,60 @@ def byte_letters() -> list[str]:
 
 
 def merge_all(symbols: list[int], pairs: dict[tuple[int, int], tuple[int, int]]) -> list[int]:
-    """The ids left when no adjacent pair can merge. ``pairs``: (left, right) -> (rank, id)."""
+    """The ids left when no adjacent pair can merge. ``pairs``: (left, right) -> (rank, id).
+
+    ``tree[n:]`` are the leaves, one for each pair; ``tree[1]`` is the root, the least of
+    rank * size + place.
+    """
     size = len(symbols)
-    if size < 2:
+    n = size - 1
+    if n < 1:
         return symbols
-    leaves = 1 << (size - 1).bit_length()
-    none = 1 << 62
-    shift = leaves.bit_length()
-    tree = [none] * (2 * leaves)
-    for i in range(size - 1):
-        pair = pairs.get((symbols[i], symbols[i + 1]))
+    get, none = pairs.get, 1 << 62
+    tree = [none] * (2 * n)
+    left, leaf = symbols[0], n
+    for right in symbols[1:]:
+        pair = get((left, right))
         if pair is not None:
-            tree[leaves + i] = pair[0] << shift | i
-    for node in range(leaves - 1, 0, -1):
-        left, right = tree[2 * node], tree[2 * node + 1]
-        tree[node] = left if left < right else right
-    after = list(range(1, size + 1))
-    before = list(range(-1, size - 1))
+            tree[leaf] = pair[0] * size + leaf - n
+        left = right
+        leaf += 1
+    for node in range(n - 1, 0, -1):
+        one, two = tree[2 * node], tree[2 * node + 1]
+        tree[node] = one if one < two else two
+    if tree[1] == none:
+        return symbols
+    after, before = list(range(1, size + 1)), list(range(-1, n))
     symbols = list(symbols)
-    low = (1 << shift) - 1
-
-    def put(i: int, value: int) -> None:
-        node = leaves + i
-        tree[node] = value
-        while node > 1:
-            node >>= 1
-            left, right = tree[2 * node], tree[2 * node + 1]
-            best = left if left < right else right
-            if tree[node] == best:
-                return
-            tree[node] = best
-
-    while tree[1] < none:
-        i = tree[1] & low
+    while (root := tree[1]) != none:
+        i = root % size
         j = after[i]
-        symbols[i] = pairs[symbols[i], symbols[j]][1]
+        whole = symbols[i] = get((symbols[i], symbols[j]))[1]
         symbols[j] = -1
         k = after[i] = after[j]
-        put(j, none)
+        changed = [n + i]
+        if j < n:
+            tree[n + j] = none
+            changed.append(n + j)
+        pair = None
         if k < size:
             before[k] = i
-            pair = pairs.get((symbols[i], symbols[k]))
-            put(i, none if pair is None else pair[0] << shift | i)
-        else:
-            put(i, none)
+            pair = get((whole, symbols[k]))
+        tree[n + i] = none if pair is None else pair[0] * size + i
         h = before[i]
         if h >= 0:
-            pair = pairs.get((symbols[h], symbols[i]))
-            put(h, none if pair is None else pair[0] << shift | h)
+            pair = get((symbols[h], whole))
+            tree[n + h] = none if pair is None else pair[0] * size + h
+            changed.append(n + h)
+        for node in changed:
+            while node > 1:
+                node >>= 1
+                one, two = tree[2 * node], tree[2 * node + 1]
+                if two < one:
+                    one = two
+                if tree[node] == one:
+                    break
+                tree[node] = one
     return [s for s in symbols if s >= 0]
 
 
@@ -132,7 +139,7 @@ class Encoder:
         encode = encode_part or vocabulary.encode_part
         self.parts = BoundedCache(lambda part: form(encode(part)), limit=500_000)
         self.form = form
-        self.joined = BoundedCache(self.word, limit=300_000)
+        self.joined = BoundedCache(self.word, limit=200_000)
         self.first = BoundedCache(self.split_join, limit=50_000)
 
     def word(self, word: str):
@@ -169,24 +176,24 @@ class Encoder:
 
 
 class RoundTrip(Encoder):
-    """Of every part: its ids in decimal, their number, and the bytes they decode to."""
+    """Ids of parts as packed numbers, and both ways of spelling an id."""
 
     def __init__(self, vocabulary: ByteVocabulary):
-        table = vocabulary.bytes_of
-        super().__init__(vocabulary, lambda ids: (
-            ",".join(map(str, ids)), len(ids), b"".join(table[i] for i in ids)))
+        last = max(vocabulary.bytes_of)
+        self.kind = "H" if last < 1 << 16 else "I"
+        self.digits = [str(i) for i in range(last + 1)]
+        self.text = [vocabulary.bytes_of.get(i) for i in range(last + 1)]
+        super().__init__(vocabulary, lambda ids: array(self.kind, ids).tobytes())
 
     def join(self, forms):
-        if len(forms) == 1:
-            return forms[0]
-        return (",".join(f[0] for f in forms), sum(f[1] for f in forms),
-                b"".join(f[2] for f in forms))
+        return forms[0] if len(forms) == 1 else b"".join(forms)
 
     def both_ways(self, text: str) -> tuple[str, int, bytes]:
         """Decimal ids joined by commas, their number, the decoded text in UTF-8."""
-        forms = self.forms(text)
-        decoded = b"".join([f[2] for f in forms]).decode("utf-8", "replace").encode()
-        return ",".join([f[0] for f in forms]), sum([f[1] for f in forms]), decoded
+        ids = array(self.kind)
+        ids.frombytes(b"".join(self.forms(text)))
+        decoded = b"".join(map(self.text.__getitem__, ids)).decode("utf-8", "replace").encode()
+        return ",".join(map(self.digits.__getitem__, ids)), len(ids), decoded
 
 
 @lru_cache(maxsize=2)

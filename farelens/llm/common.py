@@ -22,24 +22,32 @@ def shuffle_width(spark: SparkSession) -> int:
 
 
 class BoundedCache(dict):
-    """Results of ``compute`` by key, forgotten all at once beyond ``limit`` entries.
+    """Results of ``compute`` by key: the last ``limit`` new keys and those used since, and
+    the ``limit`` before them.
 
     Forgetting only costs time. Keys of over 64 characters are not kept, so that
     junk without blanks cannot fill the memory.
     """
 
-    def __init__(self, compute: Callable, limit: int = 400_000):
+    def __init__(self, compute: Callable, limit: int = 300_000):
         super().__init__()
-        self.compute, self.limit = compute, limit
+        self.compute, self.limit, self.older = compute, limit, {}
 
     def __missing__(self, key):
-        value = self.compute(key)
+        value = self.older.get(key)
+        if value is None:
+            value = self.compute(key)
         if len(key) <= 64:
             if len(self) >= self.limit:
+                self.older = dict(self)
                 self.clear()
             self[key] = value
         return value
 
+    def forget(self) -> None:
+        self.clear()
+        self.older = {}
+
 
 def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of at most ``rows``, which bounds memory with long texts."""

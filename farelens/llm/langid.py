@@ -99,11 +99,7 @@ class Judge:
 
     def place(self, piece: str) -> int:
         if self.used >= len(self.rows):
-            if self.used >= 1 << 20:
-                self.places.clear()
-                self.used = 0
-            else:
-                self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
+            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
         self.rows[self.used] = self.scores(piece)
         self.used += 1
         return self.used - 1
@@ -114,7 +110,7 @@ class Judge:
         for at in range(0, len(pieces), 4096):
             part = pieces[at:at + 4096]
             if self.used + len(part) > 1 << 20:
-                self.places.clear()
+                self.places.forget()
                 self.used = 0
             total += self.rows_of(part)
         if not total[-1] or not self.model.languages:
