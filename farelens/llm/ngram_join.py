@@ -141,9 +141,10 @@ def prefixes(docs: DataFrame, words: int, percent: int, frequent) -> DataFrame:
     return docs.select("text").mapInArrow(run, "shingle long, part int, node long")
 
 
-def lists(prefix: DataFrame, width: int) -> DataFrame:
+def lists(prefix: DataFrame, width: int, size: int) -> DataFrame:
     """list, block, node and head of every list of two nodes or more. Lists that fit in one
-    block and hold the same nodes have the same number; blocks of one shingle share one."""
+    block of ``size`` and hold the same nodes have the same number; blocks of one shingle
+    share one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: set[int] = set()
@@ -152,8 +153,8 @@ def lists(prefix: DataFrame, width: int) -> DataFrame:
 
         def put(final: bool) -> None:
             nonlocal held, block
-            while len(held) > BLOCK or final and len(held) and (block or len(held) > 1 or key[1]):
-                own, held = held[:BLOCK], held[BLOCK:]
+            while len(held) > size or final and len(held) and (block or len(held) > 1 or key[1]):
+                own, held = held[:size], held[size:]
                 if final and not block and not len(held) and not key[1]:
                     with np.errstate(over="ignore"):
                         name = int(mix(own.view(np.uint64)).sum(dtype=np.uint64).view(np.int64))
@@ -177,13 +178,13 @@ def lists(prefix: DataFrame, width: int) -> DataFrame:
             # those of one row are no lists
             keep = sizes > 1
             keep[0] = keep[-1] = True
-            for at, size in zip(starts[keep].tolist(), sizes[keep].tolist()):
+            for at, count in zip(starts[keep].tolist(), sizes[keep].tolist()):
                 own = int(shingle[at]), int(part[at])
                 if own != key:
                     if key is not None:
                         put(True)
                     key, held, block = own, np.zeros(0, np.int64), 0
-                rows = node[at:at + size]
+                rows = node[at:at + count]
                 held = np.unique(rows) if not len(held) else np.union1d(held, rows)
                 put(False)
             if out:
@@ -322,7 +323,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
         .withColumnRenamed("d1", "node"), "join-nodes")
     frequent = spark.sparkContext.broadcast(frequent_shingles(summary))
-    found = stored(lists(prefixes(rows, words, percent, frequent), width), "join-lists")
+    found = stored(lists(prefixes(rows, words, percent, frequent), width, BLOCK), "join-lists")
     first = stored(exact(heads(found, nodes, percent), rows, words, percent), "join-links")
     labels = components(first)
     second = stored(exact(stored(across(found, nodes, labels, width, percent), "join-pairs"),
