@@ -31,7 +31,9 @@ def fare_class(threshold: Column | float, fare: str = "fare_amount") -> Column:
 
 
 def fare_class_label(fare_class_column: str = "Fare_Class") -> Column:
-    return F.when(F.col(fare_class_column) == 1, CLASS_LABELS[1]).otherwise(CLASS_LABELS[0])
+    """The name of a class; null for a missing one."""
+    chosen = F.col(fare_class_column)
+    return F.when(chosen == 1, CLASS_LABELS[1]).when(chosen.isNotNull(), CLASS_LABELS[0])
 
 
 def fare_category(fare: Column | str = "fare_amount") -> Column:

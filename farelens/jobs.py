@@ -23,7 +23,7 @@ from farelens.ml.features import (
     CALENDAR_ONLY, FARE_CLASS, TRIP_ONLY, WITH_CHARGES, FeatureSet, slot_names)
 from farelens.operators import aggregates, cleaning, insights, quality, ranking, sampling
 from farelens.operators.quantiles import median
-from farelens.session import build_session
+from farelens.session import build_session, remove_scratch, size_shuffles
 from farelens.sinks import files
 from farelens.sources import canonical_trips, read_trips
 from farelens.sources.inventory import input_bytes
@@ -175,8 +175,17 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--sample", type=float, help="share of trips to train on")
     chosen = parser.parse_args(arguments)
     spark = build_session()
+    given = input_bytes(spark, *chosen.trips)
+    size_shuffles(spark, given)
+    try:
+        run_job(spark, chosen, given)
+    finally:
+        remove_scratch(spark)
+
+
+def run_job(spark: SparkSession, chosen: argparse.Namespace, given: int) -> None:
     trips = canonical_trips(read_trips(spark, *chosen.trips))
-    partitions = training.training_partitions(trips, input_bytes(spark, *chosen.trips))
+    partitions = training.training_partitions(trips, given)
     if chosen.sample:
         trips = sampling.hash_sample(trips, row_key(trips), chosen.sample)
     if chosen.job == "reports":
@@ -185,8 +194,12 @@ def main(arguments: list[str] | None = None) -> None:
         train_regressors(spark, trips, chosen.out, chosen.grid, chosen.folds, partitions,
                          FEATURE_SETS[chosen.features]).show(truncate=False)
     else:
-        for name, table in train_classifiers(spark, trips, chosen.out, partitions).items():
+        tables = train_classifiers(spark, trips, chosen.out, partitions)
+        for name, table in tables.items():
             files.write_csv(table, f"{chosen.out}/{name}")
+        files.export_manifest(spark, {
+            name: (f"{chosen.out}/{name}", table.schema) for name, table in tables.items()
+        }).show(truncate=False)
 
 
 if __name__ == "__main__":

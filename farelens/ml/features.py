@@ -47,8 +47,12 @@ FARE_CLASS = FeatureSet(
 
 
 def index_columns(columns: Sequence[str]) -> list[StringIndexer]:
-    """Category to rank by frequency; unseen and missing values share an extra index."""
-    return [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in columns]
+    """Category to rank by frequency, all columns in one pass; unseen and missing values
+    share an extra index."""
+    if not columns:
+        return []
+    return [StringIndexer(inputCols=list(columns), outputCols=[f"{c}_idx" for c in columns],
+                          handleInvalid="keep")]
 
 
 def feature_pipeline(features: FeatureSet, handle_invalid: str = "skip") -> Pipeline:

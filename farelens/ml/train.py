@@ -118,7 +118,7 @@ class Prepared:
     def bins(self) -> int:
         """Tree bins needed for the widest indexed column: one per category, unseen included."""
         indexers = [stage for stage in self.pipeline.stages if isinstance(stage, StringIndexerModel)]
-        return max([len(stage.labels) + 1 for stage in indexers], default=0)
+        return max([len(labels) + 1 for stage in indexers for labels in stage.labelsArray], default=0)
 
 
 def with_bins(estimator: Estimator, bins: int) -> Estimator:

@@ -55,7 +55,7 @@ def distinct_rows(df: DataFrame) -> DataFrame:
 
 
 def dedup_by_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the smallest by the remaining columns, in their order.
+    """One row per key: the smallest by the remaining columns, in their order, nulls first.
 
     A minimum is combined before the shuffle, so a key with many copies never
     gathers in one task as it would under ``row_number``.

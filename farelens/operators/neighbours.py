@@ -2,48 +2,45 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-ROWS_PER_SLICE = 2_000_000
-HEAVY_KEYS = 1_000
+
+def _null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Left join on keys that may be null."""
+    named = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
+    same = [F.col(c).eqNullSafe(F.col(f"_r_{c}")) for c in keys]
+    return left.join(named, same, "left").drop(*[f"_r_{c}" for c in keys])
+
+
+def _lead_of_heads(moments: DataFrame, keys: Sequence[str], at: str, step: str, out: str) -> DataFrame:
+    """Per key and step: the first moment of the key's next step."""
+    heads = moments.groupBy(*keys, step).agg(F.min(at).alias("_head"))
+    following = Window.partitionBy(*keys).orderBy(step)
+    return heads.select(*keys, step, F.lead("_head").over(following).alias(out))
 
 
-def next_in_key(rows: DataFrame, key: str, at: str, tie: str, out: str,
-                rows_per_slice: int = ROWS_PER_SLICE, heavy_keys: int = HEAVY_KEYS) -> DataFrame:
+def next_in_key(rows: DataFrame, key: str, at: str, tie: str, out: str) -> DataFrame:
     """Add ``out`` = ``lead(at)`` over ``key`` ordered by ``(at, tie)``.
 
-    A plain window sorts each key in one task. Here the ``heavy_keys`` largest
-    keys above ``rows_per_slice`` rows are cut into time slices first: the
-    window runs per (key, slice), and the last row of a slice takes the first
-    time of the key's next slice. The list of heavy keys is limited to a fixed
-    length, which bounds the broadcast; it only decides the layout, every key
-    gets the same answer either way.
+    A plain window sorts each key in one task. Here the rows are first summed up
+    by (key, at): of rows that share a moment only the last by ``tie`` looks beyond
+    it, the others' next time is that moment itself. The next moment is looked up
+    in three windows of fixed reach, for all keys alike: inside the second, from
+    second to second inside the hour, and from hour to hour. Null keys are a key
+    like any other; rows without ``at`` come first. ``tie`` tells the rows of one
+    key and moment apart; rows that share all three all count as the last.
     """
-    seconds = F.unix_timestamp(at)
-    load = (
-        rows.groupBy(key)
-        .agg(F.count("*").alias("_rows"), F.min(seconds).alias("_from"), F.max(seconds).alias("_to"))
-        .where((F.col("_rows") > rows_per_slice) & F.col(key).isNotNull())
-        .orderBy(F.desc("_rows"), key)
-        .limit(heavy_keys)
-    )
-    pieces = F.ceil(F.col("_rows") / rows_per_slice)
-    part = F.floor((seconds - F.col("_from")) * pieces / (F.col("_to") - F.col("_from") + 1))
-    sliced = (
-        rows.join(F.broadcast(load), key, "left")
-        .withColumn("_slice", F.coalesce(part, F.lit(0)))
-    )
-    heads = (
-        sliced.where(F.col("_rows").isNotNull())
-        .groupBy(key, "_slice").agg(F.min(at).alias("_head"))
-        .withColumn("_next_head", F.lead("_head").over(Window.partitionBy(key).orderBy("_slice")))
-        .select(key, "_slice", "_next_head")
-    )
-    within = Window.partitionBy(key, "_slice").orderBy(at, tie)
-    return (
-        sliced.withColumn("_next", F.lead(at).over(within))
-        .join(heads, [key, "_slice"], "left")
-        .withColumn(out, F.coalesce("_next", "_next_head"))
-        .select(*rows.columns, out)
-    )
+    moments = rows.groupBy(key, at).agg(F.max(tie).alias("_last")).withColumns({
+        "_second": F.date_trunc("second", at), "_hour": F.date_trunc("hour", at)})
+    inside = Window.partitionBy(key, "_second").orderBy(at)
+    found = moments.withColumn("_in_second", F.lead(at).over(inside))
+    found = _null_safe(found, _lead_of_heads(moments, [key, "_hour"], at, "_second", "_in_hour"),
+                       [key, "_hour", "_second"])
+    found = _null_safe(found, _lead_of_heads(moments, [key], at, "_hour", "_later"), [key, "_hour"])
+    found = found.select(key, at, "_last", F.coalesce("_in_second", "_in_hour", "_later").alias("_next"))
+    joined = _null_safe(rows, found, [key, at])
+    last = F.col(tie).eqNullSafe(F.col("_last"))
+    return joined.select(*rows.columns, F.when(last, F.col("_next")).otherwise(F.col(at)).alias(out))

@@ -4,41 +4,34 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens.functions.keys import unit_hash
-from farelens.operators.quantiles import exact_quantiles, value_histogram
-
-
-PAIRS_PER_SCAN = 14  # six aggregation buffers each: more leave whole-stage codegen
+from farelens.operators.quantiles import quantiles_of, ranged_totals, value_histogram
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, long form.
 
-    Like a pairwise matrix, each pair uses the rows where both values exist. An
-    aggregate of all pairs at once is too wide to be compiled and several times
-    slower than a few narrow ones, so pairs are measured in groups, each reading
-    only its own columns.
+    Like a pairwise matrix, each pair uses the rows where both values exist. One scan:
+    every row is laid out by pair and summed up before it leaves its task.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    laid_out = df.select(F.inline(F.array(*[
+        F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"),
+                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for a, b in pairs])))
+    measured = laid_out.groupBy("x_name", "y_name").agg(F.round(F.corr("x", "y"), 6).alias("c"))
 
-    def cell(x: str, y: str, name: str) -> Column:
-        return F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"),
-                        F.col(name).alias("correlation"))
-
-    def measured(group: Sequence[tuple[str, str]]) -> DataFrame:
-        row = df.agg(*[F.round(F.corr(a, b), 6).alias(f"c{i}") for i, (a, b) in enumerate(group)])
-        cells = [cell(x, y, f"c{i}") for i, (a, b) in enumerate(group)
-                 for x, y in dict.fromkeys([(a, b), (b, a)])]
-        return row.select(F.inline(F.array(*cells)))
+    def cell(x: str, y: str) -> Column:
+        return F.struct(F.col(x).alias("feature_x"), F.col(y).alias("feature_y"),
+                        F.col("c").alias("correlation"))
 
-    return reduce(DataFrame.unionByName, [
-        measured(pairs[start:start + PAIRS_PER_SCAN])
-        for start in range(0, len(pairs), PAIRS_PER_SCAN)])
+    both = F.when(F.col("x_name") == F.col("y_name"), F.array(cell("x_name", "y_name"))).otherwise(
+        F.array(cell("x_name", "y_name"), cell("y_name", "x_name")))
+    return measured.select(F.inline(both))
 
 
 def _range_of(df: DataFrame, value: str) -> Column:
@@ -92,13 +85,16 @@ def kde_grid(df: DataFrame, value: str, bins: int, points: int) -> DataFrame:
 def boxplot_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
     """Quartiles, whiskers at 1.5 IQR and outlier count per group.
 
-    Everything after the first count works on distinct (group, value) pairs.
+    Everything after the first count works on distinct (group, value) pairs. The
+    quartiles meet them by group and range, so that a group of most rows stays spread.
     """
-    quartiles = exact_quantiles(df, value, {"q1": 0.25, "med": 0.5, "q3": 0.75}, [group])
+    ranked = ranged_totals(value_histogram(df, value, [group]), "_value", ["_n"], [group])
+    quartiles = quantiles_of(ranked, {"q1": 0.25, "med": 0.5, "q3": 0.75}, [group])
+    by_range = ranked.groupBy(group, "_part").agg(F.lit(1).alias("_one")).join(quartiles, group)
     reach = 1.5 * (F.col("q3") - F.col("q1"))
     inside = F.col("_value").between(F.col("q1") - reach, F.col("q3") + reach)
     return (
-        value_histogram(df, value, [group]).join(quartiles, group)
+        ranked.join(by_range, [group, "_part"])
         .groupBy(group)
         .agg(F.sum("_n").alias("row_count"),
              *[F.round(F.max(c), 6).alias(c) for c in ("q1", "med", "q3")],

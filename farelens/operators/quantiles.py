@@ -1,113 +1,97 @@
 """Exact quantiles and running totals without sorting everything in one task.
 
-Both work on slices of the number line (``order_slice``): counts per slice are
-combined before the shuffle and give every slice its starting rank; the exact
-order is then needed only inside a slice.
+Rows are range-partitioned on their order: Spark places the borders by a sample, so
+clustered values spread over tasks like any others. One total per partition gives
+every partition its starting rank; inside a partition a window does the rest. The
+partitioned rows are written once, so that all parts of a plan see the same borders.
+NaN is the largest number and infinities are values, as in Spark's ``percentile``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.functions.slices import order_slice
+from farelens.session import stored
 
 
 def value_histogram(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct values with their counts. Rows without value or group are left out."""
+    filled = F.col(value).isNotNull()
+    for group in groups:
+        filled = filled & F.col(group).isNotNull()
     return (
-        df.dropna(subset=[value, *groups])
+        df.where(filled)
         .groupBy(*groups, F.col(value).cast("double").alias("_value"))
-        .agg(F.count("*").alias("_n"))
-        .withColumn("_slice", order_slice("_value")))
+        .agg(F.count("*").alias("_n")))
 
 
-def slice_offsets(sliced: DataFrame, counts: Sequence[str], groups: Sequence[str] = (),
+def ranged_totals(rows: DataFrame, order: str, counts: Sequence[str], groups: Sequence[str] = (),
                   descending: bool = False) -> DataFrame:
-    """Per slice: ``<count>_base`` = total of the slices before it, ``<count>_total``.
+    """As ``with_running_totals``, with the number of each row's range in ``_part``.
 
-    The window sees one row per slice, a number bounded by the number format.
+    The windows over ranges see one row per range and group.
     """
-    order = F.desc("_slice") if descending else F.asc("_slice")
-    before = Window.partitionBy(*groups).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [*groups, "_part"]
+    ranged = stored(
+        rows.repartitionByRange(*groups, order).withColumn("_part", F.spark_partition_id()), "ranks")
+    sequence = F.desc if descending else F.asc
+    earlier = Window.partitionBy(*groups).orderBy(sequence("_part")).rowsBetween(
+        Window.unboundedPreceding, -1)
     everything = Window.partitionBy(*groups)
-    per_slice = sliced.groupBy(*groups, "_slice").agg(*[F.sum(c).alias(c) for c in counts])
-    return per_slice.select(
-        *groups, "_slice",
-        *[F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_base") for c in counts],
-        *[F.sum(c).over(everything).alias(f"{c}_total") for c in counts],
-        *[F.col(c).alias(f"{c}_slice") for c in counts])
+    offsets = ranged.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts]).select(
+        *keys,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"{c}_base") for c in counts],
+        *[F.sum(c).over(everything).alias(f"{c}_total") for c in counts])
+    inside = Window.partitionBy(*keys).orderBy(sequence(order)).rowsBetween(
+        Window.unboundedPreceding, -1)
+    return ranged.join(offsets, keys).select(
+        *rows.columns, "_part",
+        *[(F.col(f"{c}_base") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_before")
+          for c in counts],
+        *[F.col(f"{c}_total") for c in counts])
 
 
 def with_running_totals(rows: DataFrame, order: str, counts: Sequence[str],
                         groups: Sequence[str] = (), descending: bool = False) -> DataFrame:
     """Add ``<count>_before`` (total of all rows earlier in ``order``) and ``<count>_total``.
 
-    ``order`` must be a number that is distinct within its group.
+    ``order`` must be a number that is distinct within its group; groups are not null.
     """
-    keys = [*groups, "_slice"]
-    sliced = rows.withColumn("_slice", order_slice(order))
-    offsets = slice_offsets(sliced, counts, groups, descending)
-    inside = (
-        Window.partitionBy(*keys)
-        .orderBy(F.desc(order) if descending else F.asc(order))
-        .rowsBetween(Window.unboundedPreceding, -1))
-    return sliced.join(offsets, keys).select(
-        *rows.columns,
-        *[(F.col(f"{c}_base") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(f"{c}_before")
-          for c in counts],
-        *[F.col(f"{c}_total") for c in counts])
+    return ranged_totals(rows, order, counts, groups, descending).drop("_part")
 
 
-def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
-                    groups: Sequence[str] = ()) -> DataFrame:
-    """Interpolated quantiles (name -> probability), per group if groups are given.
-
-    Only the slices that hold a wanted rank are looked at row by row. Without
-    groups these are at most two per quantile, so the list is broadcast and the
-    rows are filtered in place, unshuffled. With groups the list may be long, and
-    the counted values are joined with it.
-    """
-    keys = [*groups, "_slice"]
+def quantiles_of(ranked: DataFrame, probabilities: dict[str, float],
+                 groups: Sequence[str] = ()) -> DataFrame:
+    """Interpolated quantiles of a histogram with running totals."""
 
-    def position(p: float):
+    def position(p: float) -> Column:
         return F.lit(p) * (F.col("_n_total") - 1)
 
-    def holds(rank, start, length):
-        return (start <= rank) & (rank < start + length)
-
-    wanted = reduce(lambda a, b: a | b, [
-        holds(rank(position(p)), F.col("_n_base"), F.col("_n_slice"))
-        for p in probabilities.values() for rank in (F.floor, F.ceil)])
-    if groups:
-        histogram = value_histogram(df, value, groups)
-        slices = slice_offsets(histogram, ["_n"], groups).where(wanted)
-        chosen = histogram.join(slices, keys)
-    else:
-        numbers = df.dropna(subset=[value]).select(F.col(value).cast("double").alias("_value"))
-        numbers = numbers.withColumns({"_slice": order_slice("_value"), "_n": F.lit(1)})
-        slices = slice_offsets(numbers, ["_n"]).where(wanted)
-        chosen = (
-            numbers.drop("_n").join(F.broadcast(slices), "_slice")
-            .groupBy(*slices.columns, "_value").agg(F.count("*").alias("_n")))
-    inside = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
-    ranked = chosen.withColumn(
-        "_start", F.col("_n_base") + F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-
-    def at(rank):
-        return F.max(F.when(holds(rank, F.col("_start"), F.col("_n")), F.col("_value")))
+    def at(rank: Column) -> Column:
+        held = (F.col("_n_before") <= rank) & (rank < F.col("_n_before") + F.col("_n"))
+        return F.max(F.when(held, F.col("_value")))
 
     ends = ranked.groupBy(*groups).agg(
         F.max("_n_total").alias("_n_total"),
         *[at(F.floor(position(p))).alias(f"_low_{name}") for name, p in probabilities.items()],
         *[at(F.ceil(position(p))).alias(f"_high_{name}") for name, p in probabilities.items()])
-    return ends.select(*groups, *[
-        (F.col(f"_low_{name}") + (F.col(f"_high_{name}") - F.col(f"_low_{name}"))
-         * (position(p) - F.floor(position(p)))).alias(name)
-        for name, p in probabilities.items()])
+
+    def between(name: str, p: float) -> Column:
+        low, high = F.col(f"_low_{name}"), F.col(f"_high_{name}")
+        part = position(p) - F.floor(position(p))
+        return F.when((part == 0) | (low == high), low).otherwise(low * (1 - part) + high * part)
+
+    return ends.select(*groups, *[between(name, p).alias(name) for name, p in probabilities.items()])
+
+
+def exact_quantiles(df: DataFrame, value: str, probabilities: dict[str, float],
+                    groups: Sequence[str] = ()) -> DataFrame:
+    """Interpolated quantiles (name -> probability), per group if groups are given."""
+    ranked = ranged_totals(value_histogram(df, value, groups), "_value", ["_n"], groups)
+    return quantiles_of(ranked, probabilities, groups)
 
 
 def median(df: DataFrame, value: str) -> DataFrame:

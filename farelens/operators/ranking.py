@@ -14,9 +14,12 @@ def rank_models(metrics: DataFrame, by: str = "rmse") -> DataFrame:
 
 
 def best_and_worst(metrics: DataFrame, by: str = "rmse") -> DataFrame:
-    return metrics.agg(
-        F.min_by("model", by).alias("best_model"), F.min(by).alias("best_value"),
-        F.max_by("model", by).alias("worst_model"), F.max(by).alias("worst_value"))
+    """Ties go to the first model by name."""
+    best = F.min(F.struct(by, "model"))
+    worst = F.min(F.struct((-F.col(by)).alias(by), "model"))
+    return metrics.agg(best.alias("b"), worst.alias("w")).select(
+        F.col("b.model").alias("best_model"), F.col(f"b.{by}").alias("best_value"),
+        F.col("w.model").alias("worst_model"), (-F.col(f"w.{by}")).alias("worst_value"))
 
 
 def top_k(df: DataFrame, by: str, tie: str, k: int) -> DataFrame:

@@ -82,7 +82,7 @@ ORACLE = {
         "AS avg_speed_mph FROM trips"),
     "fare_class_label": sql("""
         SELECT trip_id, fare_amount, CAST(fare_amount > m AS INTEGER) AS Fare_Class,
-          CASE WHEN fare_amount > m THEN 'High Fare' ELSE 'Low Fare' END AS Label
+          CASE WHEN fare_amount > m THEN 'High Fare' WHEN fare_amount <= m THEN 'Low Fare' END AS Label
         FROM trips, (SELECT quantile_cont(fare_amount, 0.5) AS m FROM trips)"""),
     "fare_category": sql(
         f"SELECT trip_id, fare_amount, {CATEGORY_SQL.format('fare_amount')} AS fare_category "

@@ -110,11 +110,11 @@ def fit_regressor(name: str):
     def query(spark: SparkSession, folder: str) -> DataFrame:
         data = prepared_totals(spark, folder).cached()
         try:
-            model, seconds = training.timed_fit(training.regressor(name), data.train)
+            model, _ = training.timed_fit(training.regressor(name), data.train)
         finally:
             data.release()
         return evaluate.regression_metrics(model.transform(data.test)).select(
-            F.lit(name).alias("model"), F.lit(round(seconds, 3)).alias("train_seconds"), "*")
+            F.lit(name).alias("model"), "*")
     return query
 
 
@@ -145,8 +145,7 @@ def cv_search(name: str, grid: str = "quick", folds: int = 3):
         finally:
             data.release()
         return evaluate.regression_metrics(found.best_model.transform(data.test)).select(
-            F.lit(name).alias("model"), F.lit(str(found.best_params)).alias("params"),
-            F.lit(round(found.seconds, 3)).alias("train_seconds"), "*")
+            F.lit(name).alias("model"), F.lit(str(found.best_params)).alias("params"), "*")
     return query
 
 
@@ -188,7 +187,7 @@ def fit_classifier(name: str):
             model, seconds = training.timed_fit(training.classifier(name), data.train)
         finally:
             data.release()
-        return training.class_report(model, data.test, name, seconds)
+        return training.class_report(model, data.test, name, seconds).drop("train_seconds")
     return query
 
 
@@ -202,7 +201,7 @@ def stability_reduction(spark: SparkSession, folder: str) -> DataFrame:
     """Refits on nested 90 % and 80 % samples of the training rows."""
     data = prepared_classes(spark, folder).cached()
     try:
-        return scenarios.classifier_scenarios(data, SCENARIO_MODELS)
+        return scenarios.classifier_scenarios(data, SCENARIO_MODELS).drop("train_seconds")
     finally:
         data.release()
 
@@ -211,7 +210,7 @@ def stability_results(spark: SparkSession, folder: str) -> DataFrame:
     """The reductions, and the full model on noisy test rows."""
     data = prepared_classes(spark, folder).cached()
     try:
-        return scenarios.classifier_scenarios(data, SCENARIO_MODELS, MOVED)
+        return scenarios.classifier_scenarios(data, SCENARIO_MODELS, MOVED).drop("train_seconds")
     finally:
         data.release()
 

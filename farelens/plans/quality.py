@@ -7,6 +7,8 @@ from farelens.plans.sql_views import SECONDS, sql
 from farelens.sources import documents_labels, line_charges, load_table, trips
 
 KEY = ["l_orderkey", "l_linenumber"]
+REST = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax",
+        "l_returnflag", "l_linestatus", "l_shipdate"]
 BOX = {"PULocationID": (20, 120), "DOLocationID": (10, 80), "trip_distance": (1.0, 7.5),
        "passenger_count": (1, 5)}
 NUMERIC = ["trip_distance", "fare_amount", "tip_amount", "tolls_amount", "total_amount"]
@@ -26,7 +28,8 @@ QUERIES = {
         documents_labels(spark, folder), ["quality", "toxic"]),
     "duplicate_surplus": lambda spark, folder: quality.duplicate_surplus(lines(spark, folder), KEY),
     "duplicate_members": lambda spark, folder: quality.duplicate_members(lines(spark, folder), KEY),
-    "distinct_rows": lambda spark, folder: cleaning.distinct_rows(
+    "distinct_rows": lambda spark, folder: cleaning.distinct_rows(lines(spark, folder)),
+    "distinct_keys": lambda spark, folder: cleaning.distinct_rows(
         lines(spark, folder).select(*KEY)),
     "dedup_by_key": lambda spark, folder: cleaning.dedup_by_key(lines(spark, folder), KEY),
     "invalid_count": lambda spark, folder: quality.invalid_count(trips(spark, folder)),
@@ -47,7 +50,7 @@ QUERIES = {
         line_charges(spark, folder), NUMERIC),
 }
 
-LABELED_COLUMNS = ["doc_id", "lang", "source", "n_chars", "quality", "toxic"]
+LABELED_COLUMNS = ["doc_id", "text", "lang", "source", "n_chars", "quality", "toxic"]
 TRIP_COLUMNS = [
     "trip_id", "VendorID", "pickup_datetime", "dropoff_datetime", "passenger_count",
     "trip_distance", "store_and_fwd_flag", "PULocationID", "DOLocationID", "payment_type",
@@ -115,11 +118,12 @@ ORACLE = {
     "duplicate_members":
         "SELECT CAST(COALESCE(SUM(n), 0) AS BIGINT) AS duplicate_rows FROM (SELECT COUNT(*) AS n "
         "FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING COUNT(*) > 1)",
-    "distinct_rows": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
+    "distinct_rows": "SELECT DISTINCT * FROM lineitem",
+    "distinct_keys": "SELECT DISTINCT l_orderkey, l_linenumber FROM lineitem",
     "dedup_by_key":
         "SELECT * EXCLUDE (place) FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY l_orderkey, "
-        "l_linenumber ORDER BY l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, "
-        "l_tax, l_returnflag, l_linestatus, l_shipdate) AS place FROM lineitem) WHERE place = 1",
+        "l_linenumber ORDER BY " + ", ".join(f"{c} NULLS FIRST" for c in REST)
+        + ") AS place FROM lineitem) WHERE place = 1",
     "invalid_count": sql(
         "SELECT COUNT(*) AS row_count, COUNT(*) FILTER (WHERE trip_distance <= 0 OR "
         "fare_amount <= 0) AS invalid_rows FROM trips"),

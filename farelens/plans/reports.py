@@ -74,7 +74,7 @@ ORACLE = {
               WHERE fare_amount > 0 AND fare_amount < 100 GROUP BY 1)"""),
     "class_distribution": sql("""
         SELECT c AS Fare_Class, n AS count, ROUND(100.0 * n / SUM(n) OVER (), 2) AS Percentage,
-          CASE WHEN c = 1 THEN 'High Fare' ELSE 'Low Fare' END AS Label
+          CASE c WHEN 1 THEN 'High Fare' WHEN 0 THEN 'Low Fare' END AS Label
         FROM (SELECT CAST(fare_amount > m AS INTEGER) AS c, COUNT(*) AS n
               FROM trips, (SELECT quantile_cont(fare_amount, 0.5) AS m FROM trips) GROUP BY 1)"""),
     "category_counts": sql("""

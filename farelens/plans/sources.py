@@ -7,11 +7,10 @@ from pyspark.ml.regression import LinearRegressionModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from farelens import perf
 from farelens.ml import train as training
 from farelens.ml.evaluate import regression_metrics
 from farelens.ml.features import FeatureSet
-from farelens.operators import aggregates, cleaning, quality, sampling
+from farelens.operators import aggregates, cleaning, quality
 from farelens.plans.sql_views import HOUR, mean, money, sql
 from farelens.session import scratch_dir
 from farelens.sinks import files
@@ -108,20 +107,6 @@ def export_manifest(spark: SparkSession, folder: str) -> DataFrame:
         spark, {name: (f"{root}/{name}", report.schema) for name, report in reports.items()})
 
 
-def partition_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return perf.partition_profile(trips(spark, folder).select("trip_id"), (8, 32, 200))
-
-
-def execution_performance(spark: SparkSession, folder: str) -> DataFrame:
-    steps = {
-        "clean": lambda df: cleaning.keep_positive(df),
-        "hourly summary": aggregates.hourly_fare_volume,
-        "payment summary": aggregates.payment_distribution,
-        "sample": lambda df: sampling.hash_sample(df, "trip_id", 0.01),
-    }
-    return perf.execution_performance(spark, trips(spark, folder), steps)
-
-
 QUERIES = {
     "scan_multi": scan_multi,
     "file_inventory": file_inventory,
@@ -133,8 +118,6 @@ QUERIES = {
     "metrics_json_roundtrip": metrics_json_roundtrip,
     "model_roundtrip": model_roundtrip,
     "export_manifest": export_manifest,
-    "partition_profile": partition_profile,
-    "execution_performance": execution_performance,
 }
 
 LINEITEM_TYPES = {

@@ -26,7 +26,7 @@ BILLS = """bills AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"""
 
 LABELED = """labeled AS (
-  SELECT d.doc_id, lang, source, n_chars, quality, toxic
+  SELECT d.doc_id, text, lang, source, n_chars, quality, toxic
   FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)"""
 
 SECONDS = ("CAST(floor(epoch(dropoff_datetime)) - floor(epoch(pickup_datetime)) AS DOUBLE)")

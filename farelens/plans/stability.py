@@ -11,6 +11,7 @@ from farelens.plans.sql_views import sql
 from farelens.sources import line_charges
 
 MOVED = ["fare_amount", "tip_amount"]
+LINE_KEY = "l_orderkey * 8 + l_linenumber"
 
 
 def _measure(rows: DataFrame) -> DataFrame:
@@ -19,33 +20,38 @@ def _measure(rows: DataFrame) -> DataFrame:
     return evaluate.regression_metrics(long, by=["model"])
 
 
-def noise_injection(spark: SparkSession, folder: str) -> DataFrame:
-    """Metrics of every formula at every noise level, all levels in one scan."""
+def _scenarios(spark: SparkSession, folder: str, levels: dict[str, float],
+               dropped: str | None = None) -> DataFrame:
+    """Metrics of every formula in every scenario, all in one scan: the moved columns by
+    noise level, and ``tip_amount`` without information under the name ``dropped``."""
     lines = line_charges(spark, folder)
     spread = lines.agg(F.struct(*[F.stddev(c).alias(c) for c in MOVED]).alias("s")).scalar()
-    noise = stability.repeatable_noise("l_orderkey")
-    levels = {"baseline": 0.0, **{f"noise_{level:.2f}": level for level in stability.NOISE_LEVELS}}
-    moved = lines.select("total_amount", "tolls_amount", F.inline(F.array(*[
-        F.struct(F.lit(name).alias("scenario"), *[
-            (F.col(c) + level * spread[c] * noise).alias(c) for c in MOVED])
-        for name, level in levels.items()])))
+    noise = [stability.repeatable_noise(F.expr(LINE_KEY), place) for place in range(len(MOVED))]
+    scenarios = [F.struct(F.lit(name).alias("scenario"), *[
+        (F.col(c) + level * spread[c] * n).alias(c) for c, n in zip(MOVED, noise)])
+        for name, level in levels.items()]
+    if dropped:
+        scenarios.append(F.struct(F.lit(dropped).alias("scenario"), F.col("fare_amount"),
+                                  F.lit(0.0).alias("tip_amount")))
+    moved = lines.select("total_amount", "tolls_amount", F.inline(F.array(*scenarios)))
     long = moved.select("scenario", F.inline(F.array(*[
         F.struct(F.lit(name).alias("model"), F.col("total_amount").alias("label"),
                  F.expr(formula).alias("prediction")) for name, formula in RIVALS.items()])))
     return evaluate.regression_metrics(long, by=["scenario", "model"])
 
 
+def noise_injection(spark: SparkSession, folder: str) -> DataFrame:
+    """Metrics of every formula at every noise level."""
+    return _scenarios(spark, folder, {
+        "baseline": 0.0, **{f"noise_{level:.2f}": level for level in stability.NOISE_LEVELS}})
+
+
 def feature_dropout(spark: SparkSession, folder: str) -> DataFrame:
     return _measure(stability.with_dropout(line_charges(spark, folder), "tip_amount"))
 
 
 def stability_union(spark: SparkSession, folder: str) -> DataFrame:
-    lines = line_charges(spark, folder)
-    return stability.union_scenarios({
-        "baseline": _measure(lines),
-        "noise": _measure(stability.with_noise(lines, MOVED, 0.05, "l_orderkey")),
-        "dropout": _measure(stability.with_dropout(lines, "tip_amount")),
-    })
+    return _scenarios(spark, folder, {"baseline": 0.0, "noise": 0.05}, dropped="dropout")
 
 
 def stability_compare(spark: SparkSession, folder: str) -> DataFrame:
@@ -72,7 +78,11 @@ QUERIES = {
     "insight_most_stable": most_stable_model,
 }
 
-NOISE = "(((l_orderkey % 2147483648) * 7919 % 2001) - 1000) / 1000.0::DOUBLE"
+
+
+def _noise(place: int) -> str:
+    mixed = f"(({LINE_KEY}) % 2147483648) * 7919 + {(place + 1) * 104729}"
+    return f"(((({mixed}) % 2147483648) * 48271 % 2001) - 1000) / 1000.0::DOUBLE"
 
 
 def _scenario(name: str, fare: str, tip: str) -> str:
@@ -81,8 +91,8 @@ def _scenario(name: str, fare: str, tip: str) -> str:
 
 
 def _moved(name: str, level: float) -> str:
-    return _scenario(name, f"fare_amount + {level} * sd_fare * {NOISE}",
-                     f"tip_amount + {level} * sd_tip * {NOISE}")
+    return _scenario(name, f"fare_amount + {level} * sd_fare * {_noise(0)}",
+                     f"tip_amount + {level} * sd_tip * {_noise(1)}")
 
 
 SPREAD = """spread AS (SELECT STDDEV_SAMP(fare_amount) AS sd_fare,

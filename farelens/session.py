@@ -3,22 +3,16 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_PARTITION_BYTES = 128 * 1024 * 1024
+INITIAL_WIDTH = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
 
 
-def build_session(app: str = "farelens", master: str | None = None,
-                  input_bytes: int | None = None, **conf: str) -> SparkSession:
-    """A session with adaptive execution on.
-
-    ``input_bytes`` sizes the initial shuffle width so that one reduce task
-    starts near 128 MB; AQE merges what turns out smaller and splits skewed
-    join partitions.
-    """
+def build_session(app: str = "farelens", master: str | None = None, **conf: str) -> SparkSession:
+    """A session with adaptive execution on, which splits skewed join partitions."""
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.sql.adaptive.enabled", "true")
@@ -28,27 +22,38 @@ def build_session(app: str = "farelens", master: str | None = None,
     )
     if master:
         builder = builder.master(master)
-    if input_bytes:
-        width = min(max(math.ceil(input_bytes / TARGET_PARTITION_BYTES), 8), 200_000)
-        builder = builder.config(
-            "spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(width))
     for name, value in conf.items():
         builder = builder.config(name.replace("__", "."), value)
     return builder.getOrCreate()
 
 
+def size_shuffles(spark: SparkSession, input_bytes: int) -> int:
+    """Let shuffles begin with one partition for each 128 MB of input, at least 8; AQE
+    merges what turns out smaller. Returns that number."""
+    width = max(math.ceil(input_bytes / TARGET_PARTITION_BYTES), 8)
+    spark.conf.set(INITIAL_WIDTH, str(width))
+    spark.conf.set("spark.sql.shuffle.partitions", str(width))
+    return width
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path for written intermediates, on storage every executor sees.
 
-    The cluster names that storage in ``spark.checkpoint.dir``. Only a local
-    session without the setting gets a machine-local folder.
+    The cluster names that storage in ``spark.checkpoint.dir``; without it, it is a
+    folder beside the tables in ``spark.sql.warehouse.dir``.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="farelens-")
-    return f"{root.rstrip('/')}/farelens/{purpose}-{uuid.uuid4().hex}"
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/farelens-scratch"
+    return f"{root.rstrip('/')}/farelens/{spark.sparkContext.applicationId}/{purpose}-{uuid.uuid4().hex}"
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Remove what this application has written there. Results that are not yet read need
+    it, so it is for the end of a job."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(scratch_dir(spark, "x")).getParent()
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def stored(df: DataFrame, purpose: str) -> DataFrame:

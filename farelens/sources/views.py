@@ -86,6 +86,6 @@ def bills(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def documents_labels(spark: SparkSession, folder: str) -> DataFrame:
-    """Document attributes with their labels; about 60 % of the labels are missing."""
-    documents = load_table(spark, folder, "documents").drop("text")
+    """Documents with their labels; about 60 % of the labels are missing."""
+    documents = load_table(spark, folder, "documents")
     return documents.join(load_table(spark, folder, "labels"), "doc_id", "left")

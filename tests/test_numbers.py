@@ -6,35 +6,49 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from farelens.functions import calendar, fares
-from farelens.functions.slices import order_slice
 from farelens.ml import evaluate
 from farelens.operators import aggregates, profile, sampling
 from farelens.operators.neighbours import next_in_key
-from farelens.operators.quantiles import exact_quantiles, median, with_running_totals
+from farelens.operators.quantiles import (
+    exact_quantiles, median, ranged_totals, with_running_totals)
 from farelens.sources import load_table, trips
 
 
-def test_slices_keep_order(spark):
-    random.seed(7)
-    numbers = [0.0, 1e-300, 0.1, 0.5, 1.0, 2.0, 2.0000001, 3.9999999, 4.0, 1e300]
-    numbers += [2.0 ** k for k in range(-60, 60)] + [2.0 ** k * (1 - 1e-15) for k in range(-60, 60)]
-    numbers += [random.expovariate(0.01) for _ in range(500)]
-    numbers += [-n for n in numbers]
-    rows = spark.createDataFrame([(n,) for n in numbers], "v DOUBLE").select(
-        "v", order_slice("v").alias("s")).collect()
-    slices = [r.s for r in sorted(rows, key=lambda r: r.v)]
-    assert slices == sorted(slices)
-
-
-@pytest.mark.parametrize("rows_per_slice,heavy", [(5, 100), (40, 1), (10_000, 10)])
-def test_next_in_key_equals_plain_window(spark, small, rows_per_slice, heavy):
-    """Also with a key that holds a third of all rows."""
-    events = load_table(spark, small, "events").select("event_id", "ts", "user_id").withColumn(
-        "user_id", F.when(F.col("event_id") % 3 == 0, 1).otherwise(F.col("user_id")))
+def test_next_in_key_equals_plain_window(spark, small):
+    """Also with a key of a third of all rows bunched in one second, with null keys, and
+    with rows that share a moment."""
+    events = load_table(spark, small, "events").select("event_id", "ts", "user_id").withColumns({
+        "user_id": F.when(F.col("event_id") % 3 == 0, 1).when(F.col("event_id") % 7 != 0, F.col("user_id")),
+        "ts": F.when(F.col("event_id") % 3 == 0, F.expr(
+            "TIMESTAMP_NTZ'2024-01-05 10:00:00' + make_dt_interval(0, 0, 0, event_id % 50 / 100.0)"))
+        .when(F.col("event_id") % 11 == 0, F.date_trunc("day", "ts")).otherwise(F.col("ts"))})
     plain = events.withColumn("next", F.lead("ts").over(
         Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    sliced = next_in_key(events, "user_id", "ts", "event_id", "next", rows_per_slice, heavy)
-    assert plain.exceptAll(sliced).count() == 0 and sliced.count() == plain.count()
+    found = next_in_key(events, "user_id", "ts", "event_id", "next")
+    assert plain.exceptAll(found).count() == 0 and found.count() == plain.count()
+
+
+@pytest.mark.parametrize("values", [
+    [1.0, 2.0, 3.0, float("nan"), float("nan")], [float("-inf"), 1.0, float("inf")],
+    [float("inf")] * 3 + [0.0], [0.0, -0.0, 5.0]])
+def test_quantiles_equal_percentile(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v DOUBLE")
+    for p in (0.25, 0.5, 1.0):
+        expected = df.agg(F.percentile("v", p)).first()[0]
+        found = exact_quantiles(df, "v", {"p": p}).first()[0]
+        assert found == expected or (found != found and expected != expected)
+
+
+def test_clustered_values_spread_over_tasks(spark):
+    df = spark.range(20_000).select((1 - F.col("id") / 2e8).alias("v"), F.lit(1).alias("n"))
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # so few rows would be one partition
+    try:
+        ranked = ranged_totals(df, "v", ["n"])
+        sizes = [r["count"] for r in ranked.groupBy("_part").count().collect()]
+    finally:
+        spark.conf.unset(merging)
+    assert len(sizes) > 1 and max(sizes) < 15_000
 
 
 def test_quantiles_equal_sorted_list(spark):
