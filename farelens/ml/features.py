@@ -10,6 +10,8 @@ from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, Vec
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from farelens.operators.quantiles import with_row_numbers
+
 
 @dataclass(frozen=True)
 class FeatureSet:
@@ -55,6 +57,17 @@ def index_columns(columns: Sequence[str]) -> list[StringIndexer]:
                           handleInvalid="keep")]
 
 
+def frequency_index(df: DataFrame, column: str) -> DataFrame:
+    """(column, column_idx): every category's place by falling frequency, then by name.
+
+    As a string indexer's labels, but a table: a key with as many categories as the data
+    has is never gathered on the driver.
+    """
+    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count("*").alias("_n"))
+    placed = with_row_numbers(counts, [F.desc("_n"), F.col(column).cast("string")], "_place")
+    return placed.select(column, F.col("_place").cast("double").alias(f"{column}_idx"))
+
+
 def feature_pipeline(features: FeatureSet, handle_invalid: str = "skip") -> Pipeline:
     """Stages ending in a ``features`` vector.
 

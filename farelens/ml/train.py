@@ -24,7 +24,7 @@ from pyspark.util import inheritable_thread_target
 from farelens.functions.fares import fare_class
 from farelens.functions.keys import fold_of
 from farelens.ml import evaluate
-from farelens.ml.features import FeatureSet, fit_features
+from farelens.ml.features import FeatureSet, fit_features, missing_inputs
 from farelens.operators.quantiles import median
 from farelens.operators.sampling import train_test_split
 from farelens.session import TARGET_PARTITION_BYTES, stored, use_checkpoints
@@ -105,6 +105,12 @@ class Prepared:
     pipeline: PipelineModel
     raw_train: DataFrame
     raw_test: DataFrame
+    given: DataFrame
+    needed: Sequence[str]
+
+    def row_counts(self) -> DataFrame:
+        """How many given rows had every input, and how many were left out for a missing one."""
+        return missing_inputs(self.given, self.needed)
 
     def cached(self) -> "Prepared":
         """Trainers pass over the training rows many times."""
@@ -161,7 +167,7 @@ def prepare(df: DataFrame, features: FeatureSet, label: str | Column, key: str |
     train = pipeline.transform(raw_train).select(
         "features", "label", "row_key", fold_of("row_key", folds).alias("fold"))
     test = pipeline.transform(raw_test).select("features", "label")
-    return Prepared(train, test, pipeline, raw_train, raw_test)
+    return Prepared(train, test, pipeline, raw_train, raw_test, df, features.columns)
 
 
 def above_median(raw_train: DataFrame) -> Column:

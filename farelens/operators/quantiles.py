@@ -17,6 +17,16 @@ from pyspark.sql import functions as F
 from farelens.session import stored
 
 
+def with_row_numbers(rows: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
+    """Add ``out`` = the place of each row in ``order``, from 0. The order must be total."""
+    ranged = stored(rows.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), "places")
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_rows"))
+    offsets = sizes.select("_part", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_base"))
+    place = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    return ranged.join(offsets, "_part").select(*rows.columns, (F.col("_base") + place).alias(out))
+
+
 def value_histogram(df: DataFrame, value: str, groups: Sequence[str] = ()) -> DataFrame:
     """Distinct values with their counts. Rows without value or group are left out."""
     filled = F.col(value).isNotNull()

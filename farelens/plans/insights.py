@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from farelens.operators import aggregates, insights
+from farelens.plans import models, stability
 from farelens.plans.sql_views import HOUR, MONTH, WEEKEND, mean, money, sql
 from farelens.sources import bills, trips
 
@@ -16,6 +17,14 @@ def _answer(question, source, *dimensions):
     return lambda spark, folder: question(cube(spark, folder))
 
 
+def all_insights(spark, folder):
+    """All ten: the strongest predictor of a fitted tree and the most stable formula join
+    the eight that need no model."""
+    return insights.business_insights(
+        trips(spark, folder), models.topk_features(spark, folder),
+        stability.most_stable_model(spark, folder))
+
+
 QUERIES = {
     "top3_hours": lambda spark, folder: insights.top_hours(
         aggregates.hourly_fare_volume(trips(spark, folder)), 3),
@@ -31,7 +40,7 @@ QUERIES = {
     "insight_payment_trend": _answer(
         insights.payment_trend, bills, "pickup_month", "payment_type"),
     "insight_busiest_month": _answer(insights.busiest_month, bills, "pickup_month"),
-    "business_insights": lambda spark, folder: insights.business_insights(trips(spark, folder)),
+    "business_insights": all_insights,
 }
 
 FARE = "ROUND(CAST(SUM(CAST(fare_amount AS DECIMAL(18,2))) AS DOUBLE) / COUNT(*), 6)"

@@ -12,7 +12,7 @@ from farelens.functions.keys import row_key
 from farelens.ml import evaluate, explain, scenarios, stability
 from farelens.ml import train as training
 from farelens.ml.features import (
-    FARE_CLASS, TRIP_ONLY, FeatureSet, feature_pipeline, index_columns, missing_inputs, slot_names)
+    FARE_CLASS, TRIP_ONLY, FeatureSet, feature_pipeline, frequency_index, missing_inputs, slot_names)
 from farelens.plans.sql_views import HOUR, SECONDS, sql
 from farelens.sources import bills, line_charges, trips
 from farelens.sources.inventory import input_bytes
@@ -34,10 +34,11 @@ TRIP_INDEXED = FeatureSet(
 # --- encoders -------------------------------------------------------------------------
 
 def string_index(spark: SparkSession, folder: str) -> DataFrame:
+    """Zones are users here and grow with the data, so their index is a table."""
     rows = trips(spark, folder).select("trip_id", "payment_type", "PULocationID")
-    for stage in index_columns(["payment_type", "PULocationID"]):
-        rows = stage.fit(rows).transform(rows)
-    return rows
+    for column in ("payment_type", "PULocationID"):
+        rows = rows.join(frequency_index(rows, column), column, "left")
+    return rows.select("trip_id", "payment_type", "PULocationID", "payment_type_idx", "PULocationID_idx")
 
 
 def one_hot(spark: SparkSession, folder: str) -> DataFrame:
