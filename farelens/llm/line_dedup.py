@@ -2,14 +2,15 @@
 
 Every text is cut into units: at line ends, and inside lines after ``. ! ?`` before
 a blank, so that a repeated passage is found wherever in a line it stands. A unit is
-normalised (lower case, letters and digits only, single blanks) and hashed to 128
+normalised (lower case, letters and digits only, single blanks) and hashed to 96
 bits. All documents' units are grouped by digest; the occurrence with the smallest
 (doc_id, start) is kept. The others are removed where they form runs of at least
 ``min_words`` words of neighbouring repeated units; shorter runs, such as single
 words that happen to be sentences, stay. Offsets are those of the original text.
 
 A digest that many documents share is counted before the shuffle; only repeated
-digests meet the units again, in an equi-join that Spark splits where it is skewed.
+digests, a table of their own, meet the units again, in an equi-join that Spark splits
+where it is skewed.
 
 Defined cases: null text stays null and has no units; rows that share a doc_id count
 as one document, of which every row keeps what the document keeps; an empty table
@@ -41,7 +42,7 @@ def units(text: str) -> list[tuple[int, int, int, bytes]]:
         words = WORD.findall(match.group().lower())
         if words:
             out.append((*match.span(), len(words),
-                        blake2b(" ".join(words).encode(), digest_size=16).digest()))
+                        blake2b(" ".join(words).encode(), digest_size=12).digest()))
     return out
 
 
@@ -56,24 +57,26 @@ def unit_table(docs: DataFrame) -> DataFrame:
                     ids.append(doc_id)
                     places.append((start, stop, words, number))
                     digests.append(digest)
-            two = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
+            three = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 3)
+            high = np.ascontiguousarray(three[:, :2]).view(np.int64).ravel()
             four = np.array(places, np.int32).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(two[:, 0]), pa.array(two[:, 1]), pa.array(ids, pa.int64()),
+                [pa.array(high), pa.array(three[:, 2]), pa.array(ids, pa.int64()),
                  *(pa.array(four[:, i]) for i in range(4))],
                 ["hi", "lo", "doc_id", "start", "stop", "words", "number"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "hi long, lo long, doc_id long, start int, stop int, words int, number int")
+        run, "hi long, lo int, doc_id long, start int, stop int, words int, number int")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
     """doc_id, start, stop, words, number, kept_doc_id and kept_start of every unit
     that is not the kept occurrence of its digest."""
     table = stored(unit_table(docs), "units")
-    shared = (table.groupBy("hi", "lo")
-              .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("kept"))
-              .filter("n > 1").select("hi", "lo", "kept"))
+    shared = stored(
+        table.groupBy("hi", "lo")
+        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("kept"))
+        .filter("n > 1").select("hi", "lo", "kept"), "shared-units")
     return (table.join(shared, ["hi", "lo"])
             .filter("doc_id > kept.doc_id OR (doc_id = kept.doc_id AND start > kept.start)")
             .select("doc_id", "start", "stop", "words", "number",
