@@ -32,7 +32,7 @@ def test_language_id_of_odd_rows(spark):
     odd = [(900, None, "aa"), (901, "", None), (902, "12 !? \n", None), (903, "alphab", None),
            (904, "quuxx xy", None), (903, "alphab", None), (None, "xyz", None)]
     df = spark.createDataFrame(train + odd, "doc_id BIGINT, text STRING, lang STRING")
-    got = sorted((str(r.doc_id), r.lang_pred) for r in langid.identify(df).collect() if not r.doc_id or r.doc_id > 800)
+    got = sorted((str(r.doc_id), r.lang_pred) for r in langid.identify(df).collect() if r.doc_id is None or r.doc_id > 800)
     assert got == [("900", "und"), ("901", "und"), ("902", "und"), ("903", "aa"), ("903", "aa"),
                    ("904", "bb"), ("None", "bb")]
     kept = langid.with_language(df.withColumn("score", df.doc_id), into=None)
