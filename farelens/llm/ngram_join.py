@@ -8,15 +8,16 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
    one order; two sets that link share one of those. Shingles that very many nodes
    hold stand last in that order. Nodes under one shingle make a list; equal lists are
    one, and long lists are cut in blocks.
-3. Each list, or pair of blocks, is joined by dual traversal of signature trees: nodes
-   with OR-combined bitmaps and size ranges, pruned by the largest possible overlap.
-   What the bounds let through is compared exactly on the whole texts.
+3. Every node is compared with the head of the list it shares most lists with, which
+   costs one comparison a node and joins most copies of a text in components.
+4. Each list, or pair of blocks, that still holds several components is joined by dual
+   traversal of signature trees: nodes with OR-combined bitmaps and size ranges, pruned
+   by the largest possible overlap. What the bounds let through are documents that may
+   link with a component; they are compared with its members exactly, on the whole
+   texts, until one links.
 
-Before step 3 every node is compared with the head of the list it shares most lists
-with. That costs one comparison a node and joins nearly all copies of a text in a
-component. Trees leave out node pairs of one component, so a group of thousands of
-copies costs about its size, not its square. No pair between different components is
-left out.
+A group of thousands of copies so costs about its size in rows, not its square, and no
+two components that a link joins are left apart.
 
 Very frequent shingles are found by counting all documents' shingles inside tasks and
 dropping what occurs once there. The list of them is bounded: at most ``2**20`` can
@@ -39,7 +40,8 @@ from pyspark.sql import functions as F
 from farelens.llm.common import pieces_of, shuffle_width, stored
 from farelens.llm.components import components
 from farelens.llm.shingles import mix, shingle_sets
-from farelens.llm.signature_tree import Entry, bitmap, build, joined
+from farelens.llm.signature_tree import Entry, bitmap, build, reached
+from farelens.session import scratch_dir
 
 FREQUENT_SHARE = 1 << 20
 FREQUENT_LEAST = 64
@@ -209,62 +211,143 @@ def lists(prefix: DataFrame, width: int, size: int) -> DataFrame:
             .mapInArrow(run, "list long, block long, node long, head long"))
 
 
-def exact(pairs: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+def listed_texts(docs: DataFrame, found: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """doc_id and text of every node in a list, written in buckets of doc_id: comparisons
+    then move pairs to texts, not texts to pairs. Plans are alike at every size."""
+    spark = docs.sparkSession
+    needed = found.select("node").distinct().hint("merge").join(nodes.select("node", "rep"), "node").select(
+        F.col("rep").alias("doc_id")).distinct()
+    texts = docs.join(needed.hint("merge"), "doc_id", "left_semi").select("doc_id", "text")
+    path = scratch_dir(spark, "join-texts")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    texts.write.bucketBy(width, "doc_id").option("path", path).saveAsTable(name)
+    return spark.table(name)
+
+
+def same_enough(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(one) + len(two) - both)
+
+
+def exact(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs (a, b) of doc_ids whose whole texts link."""
-    needed = stored(pairs.select(F.col("a").alias("doc_id")).union(
-        pairs.select(F.col("b").alias("doc_id"))).distinct(), "join-needed")
-    texts = stored(docs.join(needed, "doc_id", "left_semi").select("doc_id", "text"), "join-texts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches, 64):
             left = shingle_sets(batch.column(2).to_pylist(), words)
             right = shingle_sets(batch.column(3).to_pylist(), words)
-            links = []
-            for one, two in zip(left, right):
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                links.append(both > 0 and 100 * both >= percent * (len(one) + len(two) - both))
+            links = [same_enough(one, two, percent) for one, two in zip(left, right)]
             yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(links))
 
-    both = (pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left")), "a")
-            .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right")), "b"))
+    left = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("left"))
+    right = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("right"))
+    both = pairs.hint("merge").join(left, "a").hint("merge").join(right, "b")
     return both.select("a", "b", "left", "right").mapInArrow(run, "a long, b long").distinct()
 
 
-def tree_pairs(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Pairs (a, b) of documents from rows (list, i, j, side, rep, component, n, bits): one
-    tree for each side of each (list, i, j), joined with itself where i = j."""
+def with_members(duties: DataFrame, texts: DataFrame, labels: DataFrame, width: int, words: int,
+                 percent: int, size: int) -> DataFrame:
+    """One link (a, b) for each duty (x, component) that has one: x is compared with the
+    component's members, exactly, until one links.
+
+    Members and askers of a component meet in blocks of about ``size`` of each, so that
+    neither a large component nor many askers gather in one task, and each member's
+    text travels once for each block of askers.
+    """
+    duties = stored(duties, "join-duties")
+    asked = duties.groupBy("component").agg(F.count("*").alias("askers"))
+    members = (labels.groupBy("component").agg(F.count("*").alias("members"))
+               .join(asked.hint("merge"), "component", "right")
+               .withColumn("mb", F.ceil(F.coalesce("members", F.lit(1)) / size).cast("int"))
+               .withColumn("xb", F.ceil(F.col("askers") / size).cast("int"))
+               .select("component", "mb", "xb"))
+    members = stored(members, "join-blocks")
+
+    def block(column: str, count: str):
+        return F.pmod(F.xxhash64(column), F.col(count)).cast("int")
+
+    def every(count: str):
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    alone = members.select("component", F.col("component").alias("doc_id"))
+    inside = (labels.select("component", F.col("id").alias("doc_id")).join(
+        members.select("component").hint("merge"), "component", "left_semi").unionByName(alone).distinct())
+    held = (inside.join(members.hint("merge"), "component")
+            .select("component", "doc_id", block("doc_id", "mb").alias("mb"), every("xb").alias("xb"))
+            .withColumn("side", F.lit(0)))
+    asking = (duties.join(members.hint("merge"), "component")
+              .select("component", F.col("x").alias("doc_id"), every("mb").alias("mb"),
+                      F.col("xb").alias("count")).withColumn("xb", block("doc_id", "count"))
+              .select("component", "doc_id", "mb", "xb").withColumn("side", F.lit(1)))
+    rows = (held.select("component", "mb", "xb", "side", "doc_id").unionByName(asking)
+            .hint("merge").join(texts, "doc_id"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, names, sets = None, [], []
+        for batch in pieces_of(batches, 64):
+            links = []
+            rows_ = zip(*(c.to_pylist() for c in batch.columns[:5]),
+                        shingle_sets(batch.column(5).to_pylist(), words))
+            for *own, side, doc_id, found in rows_:
+                if own != key:
+                    key, names, sets = own, [], []
+                if not side:
+                    names.append(doc_id)
+                    sets.append(found)
+                    continue
+                linked = next((name for name, other in zip(names, sets)
+                               if 100 * min(len(found), len(other)) >= percent * max(len(found), len(other))
+                               and same_enough(found, other, percent)), None)
+                if linked is not None:
+                    links.append((doc_id, linked))
+            if links:
+                ends = np.array(links, np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
+
+    return (rows.repartition(width, "component", "mb", "xb")
+            .sortWithinPartitions("component", "mb", "xb", "side", "doc_id")
+            .select("component", "mb", "xb", "side", "doc_id", "text")
+            .mapInArrow(run, "a long, b long").distinct())
+
+
+def tree_duties(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """(x, component) from rows (list, i, j, side, rep, component, members, n, bits): one
+    tree for each side of each (list, i, j), joined with itself where i = j. x could link
+    with some entry of a component that is not smaller than its own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, sides = None, ([], [])
+        key, sides, sizes = None, ([], []), {}
 
-        def pairs() -> list[tuple[int, int]]:
+        def duties() -> list[tuple[int, int]]:
             one, two = sides
             if key is None or not one or key[1] == key[2] and len(one) < 2 or \
                     key[1] != key[2] and not two:
                 return []
-            return list(joined(build(one), build(two) if key[1] != key[2] else None, percent))
+            return list(reached(build(one), build(two) if key[1] != key[2] else None, sizes, percent))
 
         def batch_of(found) -> pa.RecordBatch:
-            ends = np.array(found, np.int64).reshape(-1, 2)
+            both = np.array(found, np.int64)
             return pa.RecordBatch.from_arrays(
-                [pa.array(ends.min(axis=1)), pa.array(ends.max(axis=1))], ["a", "b"])
+                [pa.array(both[:, 0]), pa.array(both[:, 1])], ["x", "component"])
 
         for batch in batches:
             found: list[tuple[int, int]] = []
-            for name, i, j, side, rep, component, n, bits in zip(
+            for name, i, j, side, rep, component, members, n, bits in zip(
                     *(c.to_pylist() for c in batch.columns)):
                 if (name, i, j) != key:
-                    found += pairs()
-                    key, sides = (name, i, j), ([], [])
+                    found += duties()
+                    key, sides, sizes = (name, i, j), ([], []), {}
+                sizes[component] = members
                 sides[side].append(Entry(rep, component, n, int.from_bytes(bits, "little")))
             if found:
                 yield batch_of(found)
-        if found := pairs():
+        if found := duties():
             yield batch_of(found)
 
     return (rows.repartition(width, "list", "i", "j").sortWithinPartitions("list", "i", "j", "side")
-            .select("list", "i", "j", "side", "rep", "component", "n", "bits")
-            .mapInArrow(run, "a long, b long"))
+            .select("list", "i", "j", "side", "rep", "component", "members", "n", "bits")
+            .mapInArrow(run, "x long, component long").distinct())
 
 
 def heads(found: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -280,18 +363,20 @@ def heads(found: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
             .filter("a < b").distinct())
 
 
-def across(found: DataFrame, nodes: DataFrame, labels: DataFrame, width: int,
-           percent: int) -> DataFrame:
-    """Pairs between different components that the trees cannot rule out."""
+def mixed_lists(found: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFrame:
+    """Rows (list, i, j, side, rep, component, members, n, bits) of all lists, or pairs of
+    blocks of a list, that hold more than one component."""
     named = (nodes.join(labels.withColumnRenamed("id", "rep"), "rep", "left")
              .withColumn("component", F.coalesce("component", "rep")))
+    counts = labels.groupBy("component").agg(F.count("*").alias("members"))
+    sized = (named.join(counts, "component", "left")
+             .select("rep", "n", "bits", F.coalesce("members", F.lit(1)).alias("members")))
     rows = stored(found.select("list", "block", "node").join(
         named.select("node", "rep", "component"), "node"), "join-lists")
     mixed = (rows.groupBy("list").agg(F.min("component").alias("least"), F.max("component").alias("most"),
                                       F.min("block").alias("first"), F.max("block").alias("last"))
              .filter("least < most").select("list", "first", "last"))
     rows = rows.select("list", "block", "rep", "component").distinct().join(mixed, "list")
-    sizes = nodes.select("rep", "n", "bits")
     own = rows.filter("first = last").select(
         "list", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"),
         "rep", "component")
@@ -307,8 +392,7 @@ def across(found: DataFrame, nodes: DataFrame, labels: DataFrame, width: int,
                              .withColumn("side", F.lit(1)))
                 .join(cut, ["list", "block"])
                 .select("list", "i", "j", "side", "rep", "component"))
-    tasks = own.unionByName(cut_rows).join(sizes, "rep")
-    return tree_pairs(tasks, width, percent).distinct()
+    return own.unionByName(cut_rows).join(sized, "rep")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -324,16 +408,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
         .withColumnRenamed("d1", "node"), "join-nodes")
     frequent = spark.sparkContext.broadcast(frequent_shingles(summary))
     found = stored(lists(prefixes(rows, words, percent, frequent), width, BLOCK), "join-lists")
-    first = stored(exact(heads(found, nodes, percent), rows, words, percent), "join-links")
-    labels = components(first)
-    second = stored(exact(stored(across(found, nodes, labels, width, percent), "join-pairs"),
-                          rows, words, percent), "join-links")
+    texts = listed_texts(rows, found, nodes, width)
+    links = stored(exact(heads(found, nodes, percent), texts, words, percent), "join-links")
+    labels = components(links)
+    duties = tree_duties(mixed_lists(found, nodes, labels), width, percent)
+    links = links.unionByName(stored(
+        with_members(duties, texts, labels, width, words, percent, BLOCK), "join-links"))
     own = (sets.filter("n > 0 AND doc_id IS NOT NULL")
            .join(nodes.select("n", F.col("node").alias("d1"), "d2", "rep"), ["n", "d1", "d2"]))
     shared = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b")
     several = own.join(shared.select("doc_id"), "doc_id", "left_semi").select(
         F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    labels = components(first.unionByName(second).unionByName(several))
+    labels = components(links.unionByName(several))
     reps = nodes.select("n", F.col("node").alias("d1"), "d2", "rep").join(
         labels.withColumnRenamed("id", "rep"), "rep", "left")
     return (sets.join(reps, ["n", "d1", "d2"], "left")

@@ -98,9 +98,15 @@ def could_link(one: Node, two: Node, percent: int) -> bool:
     return (100 + percent) * most >= percent * (one.low + two.low)
 
 
-def joined(left: Node, right: Node | None, percent: int) -> Iterator[tuple[int, int]]:
-    """Pairs of entries of one tree, or of two, that the bounds cannot rule out."""
-    waiting = [(left, left if right is None else right)]
+def reached(left: Node, right: Node | None, sizes: dict[int, int], percent: int
+            ) -> Iterator[tuple[int, int]]:
+    """(entry, component) for each entry of one tree, or of two, and each other component
+    of which the bounds leave some entry. Of two components the smaller one's entries
+    are given (by ``sizes``, then by name). The first entry found settles a component
+    for the entry it is compared with, so a large component is not listed entry by
+    entry."""
+    rank = lambda component: (sizes[component], component)
+    waiting, known = [(left, left if right is None else right)], set()
     while waiting:
         one, two = waiting.pop()
         if one is two:
@@ -110,10 +116,17 @@ def joined(left: Node, right: Node | None, percent: int) -> Iterator[tuple[int,
                     waiting.append((child, child))
                     waiting.extend((child, children[j]) for j in range(i + 1, len(children)))
             continue
+        if one.entry is not None and two.component is not None and (
+                (one.entry.name, two.component) in known) or two.entry is not None and (
+                one.component is not None and (two.entry.name, one.component) in known):
+            continue
         if not could_link(one, two, percent):
             continue
         if one.entry is not None and two.entry is not None:
-            yield one.entry.name, two.entry.name
+            small, large = (one, two) if rank(one.component) < rank(two.component) else (two, one)
+            if (small.entry.name, large.component) not in known:
+                known.add((small.entry.name, large.component))
+                yield small.entry.name, large.component
         elif two.children and (not one.children or two.high >= one.high):
             waiting.extend((one, child) for child in two.children)
         else:

@@ -8,7 +8,7 @@ import pytest
 from farelens.llm import line_dedup, ngram_join
 from farelens.llm.components import components
 from farelens.llm.shingles import shingle_sets
-from farelens.llm.signature_tree import Entry, bitmap, build, joined
+from farelens.llm.signature_tree import Entry, bitmap, build, reached
 from tests.llm import data
 
 SCHEMA = "doc_id BIGINT, text STRING, n BIGINT, component STRING"
@@ -73,14 +73,22 @@ def test_trees_keep_every_pair_that_links():
         both = len(np.intersect1d(sets[i], sets[j]))
         return 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
 
-    kept = {tuple(sorted(p)) for p in joined(build(entries), None, 75)}
+    def pairs(left, right=None):
+        """Every entry is a component of its own, so a component is an entry."""
+        sizes = {e.component: 1 for e in entries}
+        return {tuple(sorted(p)) for p in reached(left, right, sizes, 75)}
+
+    kept = pairs(build(entries))
     wanted = {(j, i) for i in range(len(sets)) for j in range(i) if links(i, j)}
     assert wanted <= kept and len(kept) < len(sets) ** 2 / 8
     half = len(entries) // 2
-    across = {tuple(sorted(p)) for p in joined(build(entries[:half]), build(entries[half:]), 75)}
-    assert {p for p in wanted if p[0] < half <= p[1]} <= across
+    assert {p for p in wanted if p[0] < half <= p[1]} <= pairs(build(entries[:half]), build(entries[half:]))
     one = [e._replace(component=1) for e in entries]
-    assert not list(joined(build(one), None, 75))
+    assert not list(reached(build(one), None, {1: len(one)}, 75))
+    two = [e._replace(component=i % 2) for i, e in enumerate(entries)]
+    found_ = set(reached(build(two), None, {0: 9, 1: 10}, 75))
+    assert {(i if i % 2 == 0 else j, 1) for j, i in wanted if i % 2 != j % 2} <= found_
+    assert all(name % 2 == 0 and component == 1 for name, component in found_)
 
 
 def test_components_of_chains_and_stars(spark):
