@@ -50,30 +50,34 @@ class LanguageModel:
         """``counts``: (language, gram, size, count), size 0 for words."""
         self.languages = sorted({lang for lang, *_ in counts})
         place = {lang: i for i, lang in enumerate(self.languages)}
-        tables: list[dict[str, np.ndarray]] = [{} for _ in range(LONGEST + 1)]
+        self.rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
+        for _, gram, size, _ in counts:
+            self.rows[size].setdefault(gram, len(self.rows[size]))
+        self.logs = [np.zeros((len(rows), len(self.languages))) for rows in self.rows]
         for lang, gram, size, count in counts:
-            row = tables[size].setdefault(gram, np.zeros(len(self.languages)))
-            row[place[lang]] += count
-        self.tables = tables
-        for table in tables:
-            if table:
-                total = sum(table.values())
-                for gram, row in table.items():
-                    table[gram] = np.log((row + 0.5) / (total + 0.5 * len(table)))
+            self.logs[size][self.rows[size][gram], place[lang]] += count
+        for size, table in enumerate(self.logs):
+            self.logs[size] = np.log(
+                (table + 0.5) / (table.sum(axis=0) + 0.5 * len(table))).astype(np.float32)
+
+    def known(self, gram: str, size: int) -> np.ndarray | None:
+        """Log frequencies by language of a seen n-gram, or of a seen word at size 0."""
+        row = self.rows[size].get(gram)
+        return None if row is None else self.logs[size][row]
 
     def gram_score(self, gram: str, size: int) -> np.ndarray:
         while size:
-            known = self.tables[size].get(gram)
+            known = self.known(gram, size)
             if known is not None:
                 return known
             if size == 1:
                 break
             parts = [gram[:-1], gram[1:]]
             return sum(self.gram_score(part, size - 1) for part in parts) / 2
-        return np.zeros(len(self.languages))
+        return np.zeros(len(self.languages), np.float32)
 
     def word_score(self, word: str) -> np.ndarray:
-        known = self.tables[0].get(word)
+        known = self.known(word, 0)
         if known is not None:
             return known
         size = min(LONGEST, len(word) + 2)
@@ -85,9 +89,9 @@ class Judge:
 
     def __init__(self, model: LanguageModel):
         self.model = model
-        self.rows = np.zeros((1024, len(model.languages) + 1))
+        self.rows = np.zeros((1024, len(model.languages) + 1), np.float32)
         self.used = 0
-        self.places = BoundedCache(self.place, limit=400_000)
+        self.places = BoundedCache(self.place, limit=200_000)
 
     def scores(self, text: str) -> np.ndarray:
         """Sums by language, and the number of words."""
@@ -109,7 +113,7 @@ class Judge:
         pieces = (text or "").split(" ")
         for at in range(0, len(pieces), 4096):
             part = pieces[at:at + 4096]
-            if self.used + len(part) > 1 << 20:
+            if self.used + len(part) > 1 << 19:
                 self.places.forget()
                 self.used = 0
             total += self.rows_of(part)
@@ -122,7 +126,7 @@ class Judge:
 
     def rows_of(self, pieces: list[str]) -> np.ndarray:
         places = list(map(self.places.__getitem__, pieces))
-        return self.rows[places].sum(axis=0)
+        return self.rows[places].sum(axis=0, dtype=np.float64)
 
 
 def training_counts(docs: DataFrame, train_rows: int, fold: F.Column, id_col: str,
