@@ -186,7 +186,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     ``target_ids`` names the target documents in a column of the same name as ``id_col``."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     chosen = target_ids.select(target_ids[id_col].cast("long").alias("doc_id"))
-    target = stored(rows.join(chosen, "doc_id", "left_semi").select("text"), "lm-target")
+    # the ids grow with the corpus, so they are joined alike at every size
+    target = stored(rows.join(chosen.hint("merge"), "doc_id", "left_semi").select("text"), "lm-target")
     shared = docs.sparkSession.sparkContext.broadcast(fit(rows, target))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
