@@ -73,6 +73,31 @@ QUERIES = {
 }
 
 ORACLE = {
+    "op1_ngram_jaccard_join": r"""
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(
+                translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                '[^\x20\x09-\x0D]+') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[])
+                WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct([array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)])
+                END AS s
+            FROM split),
+        shingles AS (SELECT doc_id, unnest(s) AS g FROM sets),
+        pairs AS (
+            SELECT x.doc_id AS a, y.doc_id AS b, COUNT(*) AS both_have
+            FROM shingles x JOIN shingles y ON x.g = y.g AND x.doc_id < y.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM pairs JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+            WHERE 100 * both_have >= 75 * (len(x.s) + len(y.s) - both_have)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id AS id, doc_id AS low FROM documents
+            UNION SELECT b, low FROM reach JOIN edges ON id = a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id
+        FROM sets JOIN (SELECT id, MIN(low) AS component_id FROM reach GROUP BY id) ON id = doc_id""",
     "op9_url_filters": r"""
         WITH cut AS (
             SELECT page_id, CASE WHEN strpos(url, '://') > 0
