@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from farelens.llm.common import stored
+from farelens.llm.common import shuffle_width, stored
 
 ROWS_PER_BLOCK = 16_384
 QUERIES_PER_BLOCK = 1_024
@@ -175,7 +175,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20, trees: int = 16, l
                .mapInArrow(index, "rep long, v array<double>, leaves array<int>")
                .select("*", block("rep", row_blocks).alias("rb"), each(query_blocks).alias("qb")))
     walks = (queries.select("rep").distinct().join(members.select("rep", "v"), "rep")
-             .repartition("rep")
+             .repartition(shuffle_width(spark), "rep")
              .mapInArrow(visit, "rep long, v array<double>, visits array<int>")
              .select("*", block("rep", query_blocks).alias("qb"), each(row_blocks).alias("rb")))
     depth, kept = forest.depth, k + 1
