@@ -5,13 +5,16 @@ single words, share one vocabulary. A document's score is its loss per token und
 the target model minus that under the background model: the lower, the more it reads
 like the target.
 
-Words and word pairs are counted over all documents, summed inside each task before
-the shuffle. The vocabulary are the words that make up at least one in ``2**17`` of
-all words, and the stored pairs those that make up at least one in ``2**20`` of all
-pairs (and occur twice), so that neither can exceed that number of entries at any
-corpus size and the models fit in every task; all other words share one entry, and
-all other pairs fall back to single words with the mass that Witten and Bell give
-them.
+Every word and every pair that occurs twice or more, at any corpus size, has its
+counts in a stored table; a target document's words and pairs always do, as they are
+counted for both models. Words that occur once share one entry. Pairs that occur once
+are left out before a left word's total and kinds are taken, so each model sums to
+one; they fall back to single words with the mass that Witten and Bell give them.
+
+No model is held whole anywhere. Documents are dealt to chunks of some million words.
+A chunk sends each of its words and pairs once, with its own counts, and gets the
+counts over all chunks back by equi-joins, so a word or pair has at most one row for
+each chunk, however common it is.
 
 Defined cases: a null or wordless text has no tokens and null losses and score; a
 document whose label is missing or not the target's is background only; the
@@ -27,106 +30,142 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelens.llm.common import pieces_of, stored
 
-WORD_SHARE = 1 << 17
-PAIR_SHARE = 1 << 20
-FLUSH_WORDS = 500_000
-FLUSH_PAIRS = 4_000_000
+#: A word or pair that occurs less often over background and target is not stored.
+LEAST = 2
+#: Words in a chunk; only its last document goes beyond.
+CHUNK_WORDS = 3_000_000
+#: Numbers of what begins a text and of all words that are not stored.
+BEGIN, OTHER = 0, 1
 
 
 def tokens(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
+def in_chunks(rows: DataFrame, target_ids: DataFrame, chunk_words: int) -> DataFrame:
+    """doc_id, text, target (whether the id is one of ``target_ids``) and chunk."""
+    chosen = target_ids.distinct().withColumn("target", F.lit(True))
+    # the ids grow with the corpus, so they are joined alike at every size
+    named = rows.filter("doc_id IS NOT NULL").join(chosen.hint("merge"), "doc_id", "left").select(
+        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
+    flagged = named.unionByName(
+        rows.filter("doc_id IS NULL").withColumn("target", F.lit(False)))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        chunk, words = TaskContext.get().partitionId() << 32, 0
+        for batch in pieces_of(batches):
+            chunks = []
+            for text in batch.column(1).to_pylist():
+                if words >= chunk_words:
+                    chunk, words = chunk + 1, 0
+                chunks.append(chunk)
+                words += len(text.split()) if text else 0
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns, pa.array(chunks, pa.int64())], [*batch.schema.names, "chunk"])
+
+    return flagged.mapInArrow(run, "doc_id long, text string, target boolean, chunk long")
+
+
 def word_counts(docs: DataFrame) -> DataFrame:
-    """word and n, summed inside tasks only."""
+    """chunk, word, b and t: a chunk's words with their counts in all its documents and
+    in those of the target."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter[str] = Counter()
+        chunk, counts, target = None, Counter(), Counter()
 
         def flushed() -> pa.RecordBatch:
-            out = pa.RecordBatch.from_arrays(
-                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
-                ["word", "n"])
-            counts.clear()
-            return out
+            return pa.RecordBatch.from_arrays(
+                [pa.array([chunk] * len(counts), pa.int64()), pa.array(list(counts), pa.string()),
+                 pa.array(list(counts.values()), pa.int64()),
+                 pa.array([target[word] for word in counts], pa.int64())],
+                ["chunk", "word", "b", "t"])
 
         for batch in pieces_of(batches):
-            for text in batch.column(0).to_pylist():
-                counts.update(tokens(text))
-            if len(counts) > FLUSH_WORDS:
-                yield flushed()
+            for own, text, chosen in zip(*(batch.column(c).to_pylist()
+                                           for c in ("chunk", "text", "target"))):
+                if own != chunk:
+                    yield flushed()
+                    chunk, counts, target = own, Counter(), Counter()
+                words = tokens(text)
+                counts.update(words)
+                if chosen:
+                    target.update(words)
         yield flushed()
 
-    return docs.select("text").mapInArrow(run, "word string, n long")
+    return docs.select("chunk", "text", "target").mapInArrow(
+        run, "chunk long, word string, b long, t long")
 
 
 class Vocabulary:
-    """Numbers of the shared words; 0 begins a text, 1 stands for all other words."""
+    """A chunk's places of its stored words, behind those of BEGIN and OTHER."""
 
     def __init__(self, words: list[str]):
-        self.number = {word: i + 2 for i, word in enumerate(words)}
+        self.place = {word: i + 2 for i, word in enumerate(words)}
         self.size = len(words) + 2
 
     def codes(self, text: str | None) -> np.ndarray:
-        """The numbers of a text's words behind the number that begins it."""
+        """The places of a text's words behind the one that begins it."""
         words = tokens(text)
-        get = self.number.get
-        out = np.ones(len(words) + 1, np.int64)
-        out[0] = 0
-        out[1:] = [get(word, 1) for word in words]
+        get = self.place.get
+        out = np.full(len(words) + 1, OTHER, np.int64)
+        out[0] = BEGIN
+        out[1:] = [get(word, OTHER) for word in words]
         return out
 
+    def pairs(self, codes: np.ndarray) -> np.ndarray:
+        return codes[:-1] * self.size + codes[1:]
 
-def pair_counts(docs: DataFrame, shared) -> DataFrame:
-    """pair (left number times vocabulary size plus right number) and n, summed inside
-    tasks only."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, waiting, size = shared.value, [], 0
 
-        def flushed() -> pa.RecordBatch:
-            pairs, counts = np.unique(np.concatenate(waiting) if waiting else
-                                      np.zeros(0, np.int64), return_counts=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(pairs), pa.array(counts.astype(np.int64))], ["pair", "n"])
+def pair_counts(docs: DataFrame, numbered: DataFrame) -> DataFrame:
+    """chunk, l, r (numbers of the left and the right word), b and t. ``numbered`` has
+    chunk, word and number."""
 
-        for batch in pieces_of(batches):
-            for text in batch.column(0).to_pylist():
-                codes = vocabulary.codes(text)
-                waiting.append(codes[:-1] * vocabulary.size + codes[1:])
-                size += len(codes)
-            if size > FLUSH_PAIRS:
-                yield flushed()
-                waiting, size = [], 0
-        yield flushed()
+    def run(key, texts: pa.Table, words: pa.Table) -> pa.Table:
+        vocabulary = Vocabulary(words["word"].to_pylist())
+        numbers = np.concatenate([[BEGIN, OTHER], words["number"].to_numpy()]).astype(np.int64)
+        seen = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
+        for batch in texts.select(["text", "target"]).to_batches(256):
+            for text, target in zip(*(c.to_pylist() for c in batch.columns)):
+                seen[target].append(vocabulary.pairs(vocabulary.codes(text)))
+        chosen, among = np.unique(np.concatenate(seen[True]), return_counts=True)
+        rest, others = np.unique(np.concatenate(seen[False]), return_counts=True)
+        pairs = np.union1d(chosen, rest)
+        b, t = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
+        t[np.searchsorted(pairs, chosen)] = among
+        b[np.searchsorted(pairs, rest)] = others
+        return pa.table({
+            "chunk": pa.array(np.full(len(pairs), key[0].as_py(), np.int64)),
+            "l": numbers[pairs // vocabulary.size], "r": numbers[pairs % vocabulary.size],
+            "b": b + t, "t": t})
 
-    return docs.select("text").mapInArrow(run, "pair long, n long")
+    return docs.select("chunk", "text", "target").groupBy("chunk").cogroup(
+        numbered.select("chunk", "word", "number").groupBy("chunk")).applyInArrow(
+        run, "chunk long, l long, r long, b long, t long")
 
 
-def both(of, background: DataFrame, target: DataFrame, key: str) -> DataFrame:
-    """key, b and t: sums of counts over the background and over the target."""
-    zero = F.lit(0).cast("long")
-    rows = of(background).select(key, F.col("n").alias("b"), zero.alias("t")).unionByName(
-        of(target).select(key, zero.alias("b"), F.col("n").alias("t")))
-    return rows.groupBy(key).agg(F.sum("b").alias("b"), F.sum("t").alias("t"))
+def summed(rows: DataFrame, *key: str) -> DataFrame:
+    """The key, b and t of all chunks, where stored."""
+    return rows.groupBy(*key).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).filter(
+        F.col("b") + F.col("t") >= LEAST)
 
 
 class Model:
-    """Probabilities of words and of words after words under one set of counts."""
+    """Probabilities of a chunk's words and of words after words under one set of counts.
+
+    ``words``, ``after`` and ``kinds`` follow the chunk's places: a word's count, and the
+    sum and number of the stored pairs it begins anywhere. ``total`` and ``size`` are
+    those of all words and of the whole vocabulary."""
 
-    def __init__(self, words: np.ndarray, pairs: np.ndarray, counts: np.ndarray):
-        size = len(words)
-        self.single = ((words + 1) / (words.sum() + size)).astype(np.float32)
-        seen = counts > 0
-        left = pairs[seen] // size
-        self.kinds = np.bincount(left, minlength=size).astype(np.float32)
-        self.after = np.bincount(left, counts[seen], minlength=size).astype(np.float32)
-        self.counts = counts.astype(np.float32)
+    def __init__(self, words: np.ndarray, total: int, size: int, after: np.ndarray,
+                 kinds: np.ndarray, counts: np.ndarray):
+        self.single = (words + 1) / (total + size)
+        self.after, self.kinds, self.counts = after, kinds, counts
 
     def loss(self, codes: np.ndarray, place: np.ndarray, known: np.ndarray) -> np.ndarray:
         """Loss of every word but the first, given where its pair is stored, if it is."""
@@ -138,67 +177,82 @@ class Model:
                                 / np.maximum(after + kinds, 1), single))
 
 
-class Scorer:
-    """Both models, and the sorted pairs they share."""
-
-    def __init__(self, vocabulary: Vocabulary, words: np.ndarray, pairs: np.ndarray,
-                 counts: np.ndarray):
-        self.vocabulary = vocabulary
-        self.pairs = pairs if len(pairs) else np.array([-1], np.int64)
-        counts = counts if len(pairs) else np.zeros((1, 2), np.int64)
-        self.background = Model(words[:, 0], self.pairs, counts[:, 0])
-        self.target = Model(words[:, 1], self.pairs, counts[:, 1])
-
-    def losses(self, text: str | None) -> tuple[int, float | None, float | None]:
-        """Tokens, and the loss per token under the target and the background."""
-        codes = self.vocabulary.codes(text)
-        if len(codes) < 2:
-            return 0, None, None
-        wanted = codes[:-1] * self.vocabulary.size + codes[1:]
-        place = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        known = self.pairs[place] == wanted
-        return (len(wanted), float(self.target.loss(codes, place, known).mean(dtype=np.float64)),
-                float(self.background.loss(codes, place, known).mean(dtype=np.float64)))
-
-
-def fit(docs: DataFrame, target: DataFrame) -> Scorer:
-    """Both models from all rows of ``docs`` and ``target``, each with a column text."""
-    counted = stored(both(word_counts, docs, target, "word"), "lm-words")
-    totals = counted.agg(F.sum("b").alias("b"), F.sum("t").alias("t")).first()
-    total = (totals["b"] or 0, totals["t"] or 0)
-    kept = counted.filter(F.col("b") + F.col("t") >= max(2, -(-sum(total) // WORD_SHARE)))
-    chosen = sorted((r["word"], r["b"], r["t"]) for r in kept.collect())
-    vocabulary = Vocabulary([word for word, *_ in chosen])
-    words = np.zeros((vocabulary.size, 2), np.int64)
-    words[2:] = np.array([(b, t) for _, b, t in chosen], np.int64).reshape(-1, 2)
-    words[1] = np.array(total) - words[2:].sum(axis=0)
-    shared = docs.sparkSession.sparkContext.broadcast(vocabulary)
-    pairs = both(lambda rows: pair_counts(rows, shared), docs, target, "pair")
-    kept = pairs.filter(F.col("b") + F.col("t") >= max(2, -(-sum(total) // PAIR_SHARE))).toPandas()
-    kept = kept.sort_values("pair")
-    return Scorer(vocabulary, words, kept["pair"].to_numpy(np.int64),
-                  kept[["b", "t"]].to_numpy(np.int64))
+def scorer(total: dict[str, int], size: int, ends: np.ndarray):
+    """Scores a chunk's texts. ``ends`` has b, t, ab, at, kb and kt of BEGIN and OTHER."""
+
+    def run(key, texts: pa.Table, facts: pa.Table) -> pa.Table:
+        is_word = facts["word"].is_valid().to_numpy()
+        words, found = facts.filter(pa.array(is_word)), facts.filter(pa.array(~is_word))
+        vocabulary = Vocabulary(words["word"].to_pylist())
+        of = {name: np.concatenate([ends[:, i], words[name].to_numpy()]) for i, name in
+              enumerate(("b", "t", "ab", "at", "kb", "kt"))}
+        numbers = np.concatenate([[BEGIN, OTHER], words["l"].to_numpy()]).astype(np.int64)
+        order = np.argsort(numbers)
+        left, right = (order[np.searchsorted(numbers, found[side].to_numpy(), sorter=order)]
+                       for side in "lr")
+        pairs = left * vocabulary.size + right
+        order = np.argsort(pairs)
+        pairs = pairs[order] if len(pairs) else np.array([-1], np.int64)
+        target, background = (
+            Model(of[m], total[m], size, of["a" + m], of["k" + m],
+                  found[m].to_numpy()[order] if len(order) else np.zeros(1)) for m in "tb")
+        rows = []
+        for batch in texts.select(["doc_id", "text"]).to_batches(256):
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                codes = vocabulary.codes(text)
+                if len(codes) < 2:
+                    rows.append((doc_id, 0, None, None, None))
+                    continue
+                wanted = vocabulary.pairs(codes)
+                place = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
+                known = pairs[place] == wanted
+                one, two = (float(m.loss(codes, place, known).mean()) for m in (target, background))
+                rows.append((doc_id, len(wanted), one, two, one - two))
+        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+        columns = list(zip(*rows)) if rows else [[]] * 5
+        return pa.Table.from_arrays(
+            [pa.array(c, k) for c, k in zip(columns, kinds)],
+            ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return run
 
 
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id",
-                             text_col: str = "text") -> DataFrame:
+                             text_col: str = "text",
+                             chunk_words: int = CHUNK_WORDS) -> DataFrame:
     """doc_id, n_tokens, target_loss, background_loss and score of every row.
     ``target_ids`` names the target documents in a column of the same name as ``id_col``."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     chosen = target_ids.select(target_ids[id_col].cast("long").alias("doc_id"))
-    # the ids grow with the corpus, so they are joined alike at every size
-    target = stored(rows.join(chosen.hint("merge"), "doc_id", "left_semi").select("text"), "lm-target")
-    shared = docs.sparkSession.sparkContext.broadcast(fit(rows, target))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in pieces_of(batches):
-            found = [shared.value.losses(text) for text in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([f[0] for f in found], pa.int64()),
-                 pa.array([f[1] for f in found], pa.float64()),
-                 pa.array([f[2] for f in found], pa.float64()),
-                 pa.array([None if f[1] is None else f[1] - f[2] for f in found], pa.float64())],
-                ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return rows.mapInArrow(run, "doc_id long, n_tokens long, target_loss double, "
-                                "background_loss double, score double")
+    texts = stored(in_chunks(rows, chosen, chunk_words), "lm-texts")
+
+    uses = stored(word_counts(texts), "lm-uses")
+    words = stored(summed(uses, "word").withColumn(
+        "number", F.monotonically_increasing_id() + 2), "lm-words")
+    whole = uses.agg(F.sum("b").alias("b"), F.sum("t").alias("t")).first()
+    kept = words.agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.count("*").alias("n")).first()
+    total = {m: whole[m] or 0 for m in "bt"}
+
+    own = stored(pair_counts(texts, uses.join(words.select("word", "number"), "word")), "lm-own-pairs")
+    pairs = stored(summed(own, "l", "r"), "lm-pairs")
+    lefts = stored(pairs.groupBy("l").agg(
+        F.sum("b").alias("ab"), F.sum("t").alias("at"), F.count_if(F.col("b") > 0).alias("kb"),
+        F.count_if(F.col("t") > 0).alias("kt")), "lm-lefts")
+
+    ends = np.zeros((2, 6), np.int64)
+    ends[OTHER, :2] = [total[m] - (kept[m] or 0) for m in "bt"]
+    for row in lefts.filter(F.col("l") <= OTHER).collect():
+        ends[row["l"], 2:] = [row[c] for c in ("ab", "at", "kb", "kt")]
+
+    sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("ab", "at", "kb", "kt")]
+    known = words.withColumnRenamed("number", "l").join(lefts, "l", "left").select(
+        "word", "l", "b", "t", *sums)
+    none = F.lit(None).cast("long")
+    facts = uses.select("chunk", "word").join(known, "word").withColumn("r", none).unionByName(
+        own.select("chunk", "l", "r").join(pairs, ["l", "r"])
+        .select("chunk", F.lit(None).cast("string").alias("word"), "l", "r", "b", "t",
+                *(none.alias(c) for c in ("ab", "at", "kb", "kt"))))
+    return texts.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(
+        facts.groupBy("chunk")).applyInArrow(
+        scorer(total, kept["n"] + 2, ends),
+        "doc_id long, n_tokens long, target_loss double, background_loss double, score double")

@@ -110,6 +110,24 @@ def test_scores_without_target_and_without_rows(spark):
     assert lm_scoring.cross_entropy_difference(df.limit(0), none).collect() == []
 
 
+def check_scores(spark, texts, target_ids, **options):
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")
+    good = spark.createDataFrame([(i,) for i in target_ids], "doc_id BIGINT")
+    target, background = brute_losses(texts, [texts[i] for i in target_ids])
+    got = lm_scoring.cross_entropy_difference(df, good, **options).collect()
+    assert len(got) == len(texts)
+    for row in got:
+        assert row.target_loss == pytest.approx(target[row.doc_id], abs=1e-4)
+        assert row.background_loss == pytest.approx(background[row.doc_id], abs=1e-4)
+
+
+def test_scores_keep_rare_words_of_a_large_corpus(spark):
+    """A share of the corpus as the least count would drop all words but two."""
+    texts = ["dull words " * 400_000, *["alpha beta gamma", "beta gamma delta", "dull alpha"] * 2]
+    check_scores(spark, texts, [1, 4])
+    check_scores(spark, texts, [1, 4], chunk_words=5)
+
+
 def test_fingerprints(spark):
     texts = ["x", "", None, "ab", *[t for t in data.random_texts(70, 8) if t]]
     ids = random.Random(9).sample(range(10_000), len(texts))
