@@ -128,6 +128,13 @@ def test_scores_keep_rare_words_of_a_large_corpus(spark):
     check_scores(spark, texts, [1, 4], chunk_words=5)
 
 
+def test_scores_keep_rare_pairs_of_common_words(spark):
+    """All words are common; the target's pairs occur once there, and fewer times than one
+    in 2**20 of all pairs. What follows a left word sums to one."""
+    texts = ["left main a b " * 600_000, "a left b a", "b main", "main left", "b main"]
+    check_scores(spark, texts, [1, 2])
+
+
 def test_fingerprints(spark):
     texts = ["x", "", None, "ab", *[t for t in data.random_texts(70, 8) if t]]
     ids = random.Random(9).sample(range(10_000), len(texts))
