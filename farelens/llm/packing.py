@@ -7,9 +7,12 @@ pieces after a shorter first one; full pieces need no company.
 
 The work is split in groups of documents by a hash of their id, each packed in one
 task with one counter per gap. What a group leaves in sequences that are not full is
-unpacked and packed again among sixteen groups' leftovers, and so on up to one last
-group, which closes what is left by best fit. A group passes on its shortest
-twentieth and a few open sequences per gap, so sixteen of them make one group again.
+unpacked, counted over all groups, dealt anew to as many groups as that count needs,
+and packed again. That ends with one group, or as soon as a level passes on more than
+half of what it got (long documents or copies that leave the same gap, which no
+company fills): then every group of the next level closes its own by best fit. So a
+group is of ``docs_per_group`` documents at every level, as evenly as a hash deals
+them, and all levels together see each document about three times at most.
 
 Defined cases: null text counts as empty and still takes its end token; repeated
 rows, also of one doc_id, are packed each; columns other than the id and the text
@@ -34,7 +37,6 @@ from farelens.llm.bpe import ByteVocabulary, Encoder, byte_letters
 from farelens.llm.common import pieces_of, stored
 
 DOCS_PER_GROUP = 60_000
-FAN_IN = 16
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, copy long"
 PLACED = f"{PIECES}, level int, grp long, bin long, offset long, done boolean"
 
@@ -147,7 +149,7 @@ def pack_items(lengths: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarr
 
     The shortest twentieth waits while sum-of-squares takes the others in a mixed
     order. Items of bins that are not full, and those that wait, go on to the next
-    level; the last level closes with best fit over them.
+    level; a group of the last level closes with best fit over them.
     """
     mixed = np.random.default_rng(len(lengths)).permutation(len(lengths))
     waits = np.zeros(len(lengths), bool)
@@ -199,20 +201,20 @@ def pack(pieces: DataFrame, capacity: int = 2048,
         "*", F.lit(-1).alias("level"), F.xxhash64("doc_id", "copy", "piece").alias("grp"),
         F.monotonically_increasing_id().alias("bin"), F.lit(0).cast("long").alias("offset"),
         F.lit(True).alias("done"))
-    groups = max(1, math.ceil(short.count() / docs_per_group))
-    finished, level = [full], 0
-    rest = short.withColumn("grp", F.pmod(F.xxhash64("doc_id", "copy"), F.lit(groups)))
+    finished, level, count, rest, closing = [full], 0, short.count(), short, False
     while True:
-        last = groups == 1
-        placed = rest.groupBy("grp").applyInArrow(pack_group(capacity, level, last), PLACED)
+        groups = max(1, math.ceil(count / docs_per_group))
+        last = closing or groups == 1
+        dealt = rest.withColumn("grp", F.pmod(
+            F.xxhash64("doc_id", "copy", F.lit(level)), F.lit(groups)))
+        placed = dealt.groupBy("grp").applyInArrow(pack_group(capacity, level, last), PLACED)
         placed = placed if last else stored(placed, "packed")
         finished.append(placed.filter("done"))
         if last:
             break
-        groups, level = math.ceil(groups / FAN_IN), level + 1
-        rest = placed.filter("NOT done").select(
-            *[c.split(" ")[0] for c in PIECES.split(", ")],
-            F.pmod(F.col("grp"), F.lit(groups)).alias("grp"))
+        rest = placed.filter("NOT done").select(*[c.split(" ")[0] for c in PIECES.split(", ")])
+        left = rest.count()
+        closing, count, level = 2 * left > count, left, level + 1
     out = finished[0]
     for part in finished[1:]:
         out = out.unionByName(part)

@@ -140,6 +140,26 @@ def test_sum_of_squares_picks_the_smallest_sum():
     assert fills.tolist() == [20 - g for g in gaps]
 
 
+@pytest.mark.parametrize("mix", ["copies", "long", "short"])
+def test_packing_keeps_every_group_bounded(spark, mix):
+    """Lengths of which most leave gaps that nothing fills; none may meet in one task."""
+    rng = np.random.default_rng(9)
+    lengths = {"copies": np.where(np.arange(12_000) % 3 == 0, 1500, rng.lognormal(6.3, 0.7, 12_000)),
+               "long": rng.integers(1025, 2048, 12_000),
+               "short": rng.lognormal(5, 0.7, 12_000)}[mix].astype(int).clip(1, 2047)
+    pieces = spark.createDataFrame([(7, 0, 0, n, i, i) for i, n in enumerate(lengths.tolist())],
+                                   packing.PIECES)
+    rows = packing.pack(pieces, 2048, 1000).collect()
+    assert sorted(r.ids_crc32 for r in rows) == list(range(12_000))
+    fills: dict = {}
+    groups: dict = {}
+    for r in rows:
+        fills[r.sequence_id] = fills.get(r.sequence_id, 0) + r.length
+        groups[r.sequence_id >> 26] = groups.get(r.sequence_id >> 26, 0) + 1
+    assert max(fills.values()) <= 2048 and max(groups.values()) <= 1200
+    assert len(fills) <= (packing.best_fit(lengths, 2048).max() + 1) * 1.02
+
+
 def test_packing_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     assert packing.packed_documents(empty, public_tokenizers.path("byte_bpe_50k.json")).collect() == []
