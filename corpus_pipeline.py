@@ -37,7 +37,7 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts repeated passages out of the texts; n_chars follows."""
-    cut = line_dedup.deduplicate(docs).withColumn(
+    cut = line_dedup.deduplicate(docs, passage_words=50).withColumn(
         "n_chars", F.when(F.size("removed") > 0, F.length("text")).otherwise(F.col("n_chars")).cast("long"))
     return cut.filter("size(removed) = 0 OR trim(text) <> ''").select(*docs.columns)
 

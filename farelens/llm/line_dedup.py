@@ -8,6 +8,12 @@ bits. All documents' units are grouped by digest; the occurrence with the smalle
 ``min_words`` words of neighbouring repeated units; shorter runs, such as single
 words that happen to be sentences, stay. Offsets are those of the original text.
 
+With ``passage_words``, also every passage of at least that many words goes that occurs
+earlier, in order of (doc_id, start), wherever it begins and ends in either text. Such a
+passage shares one of the fingerprints of half its length that winnowing picks by their
+content; windows of ``passage_words`` words around repeated fingerprints are hashed at
+every word, grouped like units, and all but the earliest go.
+
 A digest that many documents share is counted before the shuffle; only repeated
 digests, a table of their own, meet the units again, in an equi-join that Spark splits
 where it is skewed.
@@ -28,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import pieces_of, stored
+from farelens.llm.common import BoundedCache, pieces_of, stored
 
 UNIT = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)")
 WORD = re.compile(r"[^\W_]+")
@@ -84,6 +90,128 @@ def repeated_units(docs: DataFrame) -> DataFrame:
                     F.col("kept.start").alias("kept_start")).distinct())
 
 
+def word_hash(word: str) -> int:
+    return int.from_bytes(blake2b(word.lower().encode(), digest_size=8).digest(), "little")
+
+
+BASE = 0x9E3779B97F4A7C15
+INVERSE = pow(BASE, -1, 1 << 64)
+
+
+def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every ``size`` neighbouring words, as signed integers."""
+    if len(hashes) < size:
+        return np.zeros(0, np.int64)
+    powers = np.full((2, len(hashes)), 1, np.uint64)
+    powers[0, 1:], powers[1, 1:] = BASE, INVERSE
+    powers = np.multiply.accumulate(powers, axis=1)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[0], dtype=np.uint64)])
+    out = (sums[size:] - sums[:-size]) * powers[1, :len(hashes) - size + 1]
+    out ^= out >> np.uint64(31)
+    out *= np.uint64(0xBF58476D1CE4E5B9)
+    return (out ^ out >> np.uint64(29)).view(np.int64)
+
+
+def winnowed(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray]:
+    """Positions and hashes of the fingerprints; each passage holds one or more."""
+    size = passage_words // 2
+    grams = window_hashes(hashes, size)
+    window = passage_words - size + 1
+    if len(grams) < window:
+        return np.zeros(0, np.int64), grams[:0]
+    views = np.lib.stride_tricks.sliding_window_view(grams, window)
+    at = np.unique(np.arange(len(views)) + views.argmin(axis=1))
+    return at, grams[at]
+
+
+def hashed_words(text: str | None, known: BoundedCache) -> np.ndarray:
+    return np.array([known[word] for word in WORD.findall(text or "")], np.uint64)
+
+
+def positions(rows: DataFrame, passage_words: int) -> DataFrame:
+    """hash, doc_id and at (a word's number): of the fingerprints of (doc_id, text); or, with
+    the offset where they start, of the whole windows around the fingerprints that a third
+    column ``near`` lists."""
+    whole = "near" in rows.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = BoundedCache(word_hash)
+        for batch in pieces_of(batches):
+            ids, places, found, starts = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
+            for doc_id, text, *near in zip(*(c.to_pylist() for c in batch.columns)):
+                hashes = hashed_words(text, known)
+                if whole:
+                    grams = window_hashes(hashes, passage_words)
+                    back = np.arange(passage_words - passage_words // 2 + 1)
+                    at = np.unique(np.subtract.outer(np.array(near[0], np.int64), back))
+                    at = at[(at >= 0) & (at < len(grams))]
+                    grams = grams[at]
+                    offsets = [m.start() for m in WORD.finditer(text)]
+                    starts.extend(offsets[i] for i in at.tolist())
+                else:
+                    at, grams = winnowed(hashes, passage_words)
+                ids.extend([doc_id] * len(at))
+                places.append(at)
+                found.append(grams)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate(found)), pa.array(ids, pa.int64()),
+                 pa.array(np.concatenate(places).astype(np.int32)),
+                 *([pa.array(starts, pa.int32())] if whole else [])],
+                ["hash", "doc_id", "at", *(["start"] if whole else [])])
+
+    return rows.mapInArrow(run, "hash long, doc_id long, at int" + ", start int" * whole)
+
+
+def repeated(table: DataFrame, purpose: str) -> DataFrame:
+    """hash and kept (the earliest place) of the hashes that occur at two places or more."""
+    place = F.struct(*table.columns[1:])
+    return stored(table.groupBy("hash").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
+                  .filter("kept <> last").select("hash", "kept"), purpose)
+
+
+def repeated_windows(docs: DataFrame, passage_words: int) -> DataFrame:
+    """doc_id and windows (at, kept_doc_id, kept_start) of all that are not the earliest."""
+    prints = stored(positions(docs, passage_words), "fingerprints")
+    near = prints.join(repeated(prints, "shared-fingerprints").select("hash"), "hash").groupBy(
+        "doc_id").agg(F.sort_array(F.collect_set("at")).alias("near"))
+    table = stored(positions(docs.join(near, "doc_id").select("doc_id", "text", "near"),
+                             passage_words), "windows")
+    return (table.join(repeated(table, "shared-windows"), "hash")
+            .filter("struct(doc_id, at, start) > kept").groupBy("doc_id")
+            .agg(F.collect_set(F.struct("at", F.col("kept.doc_id").alias("kept_doc_id"),
+                                        F.col("kept.start").alias("kept_start"))).alias("windows")))
+
+
+def passages(text: str, windows: list[dict], passage_words: int) -> list[tuple[int, int, int, int]]:
+    """(start, stop, kept_doc_id, kept_start) of each run of words that repeated windows cover."""
+    places = [m.span() for m in WORD.finditer(text)]
+    out: list[list[int]] = []
+    for window in sorted(windows, key=lambda w: w["at"]):
+        first, last = window["at"], window["at"] + passage_words - 1
+        if last >= len(places):
+            continue
+        if out and first <= out[-1][1] + 1:
+            out[-1][1] = last
+        else:
+            out.append([first, last, window["kept_doc_id"], window["kept_start"]])
+    return [(places[first][0], places[last][1], *kept) for first, last, *kept in out]
+
+
+def united(units: list[tuple], found: list[tuple]) -> list[tuple]:
+    """Spans of units and the parts of passages outside them, in order."""
+    out = list(units)
+    for start, stop, *kept in found:
+        for other_start, other_stop, *_ in units:
+            if other_stop <= start or other_start >= stop:
+                continue
+            if other_start > start:
+                out.append((start, other_start, *kept))
+            start = max(start, other_stop)
+        if start < stop:
+            out.append((start, stop, *kept))
+    return sorted(out)
+
+
 def spans(found: list[dict], min_words: int) -> list[tuple[int, int, int, int]]:
     """Runs of neighbouring repeated units with enough words, as (start, stop, kept_doc_id,
     kept_start) of each unit in them."""
@@ -115,26 +243,34 @@ def without(text: str, removed: list[tuple[int, int, int, int]]) -> str:
     return "".join(parts)
 
 
-def deduplicate(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
-                text_col: str = "text") -> DataFrame:
+def deduplicate(docs: DataFrame, min_words: int = 8, passage_words: int = 0,
+                id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with their text cut down, plus ``removed``: the spans of the
-    original text that went, with the document and offset of the kept occurrence."""
+    original text that went, with the document and offset of the kept occurrence;
+    for the parts of a passage, those of its first window."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     repeats = (repeated_units(slim.filter("doc_id IS NOT NULL"))
                .groupBy("doc_id")
                .agg(F.collect_list(F.struct("start", "stop", "words", "number", "kept_doc_id",
                                             "kept_start")).alias("found")))
+    windows = (repeated_windows(slim.filter("doc_id IS NOT NULL AND text IS NOT NULL"), passage_words)
+               if passage_words else None)
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     names = {c: f"c{i}_kept" for i, c in enumerate(rest)}
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        *(F.col(f"`{c}`").alias(names[c]) for c in rest))
-    joined = rows.join(repeats, "doc_id", "left").select("doc_id", "text", "found", *names.values())
+    joined = rows.join(repeats, "doc_id", "left")
+    joined = (joined.join(windows, "doc_id", "left") if passage_words
+              else joined.withColumn("windows", F.lit(None)))
+    joined = joined.select("doc_id", "text", "found", "windows", *names.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             texts, removed = [], []
-            for text, found in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+            for text, found, seen in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 gone = spans(found or [], min_words) if text else []
+                if text and seen:
+                    gone = united(gone, passages(text, seen, passage_words))
                 texts.append(without(text, gone) if gone else text)
                 removed.append([dict(zip(("start", "stop", "kept_doc_id", "kept_start"), s))
                                 for s in gone])
@@ -142,7 +278,7 @@ def deduplicate(docs: DataFrame, min_words: int = 8, id_col: str = "doc_id",
                                        ("kept_doc_id", pa.int64()), ("kept_start", pa.int32())]))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(texts, batch.column(1).type), pa.array(removed, kind),
-                 *batch.columns[3:]], ["doc_id", "text", "removed", *names.values()])
+                 *batch.columns[4:]], ["doc_id", "text", "removed", *names.values()])
 
     kinds = dict(rows.dtypes)
     out = joined.mapInArrow(run, ", ".join(

@@ -56,7 +56,8 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.deduplicate(read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return line_dedup.deduplicate(
+        read(spark, sf_dir, "documents").select("doc_id", "text"), passage_words=50)
 
 
 QUERIES = {

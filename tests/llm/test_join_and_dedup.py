@@ -143,6 +143,33 @@ def test_dedup_finds_a_passage_inside_lines(spark):
         "The first part of it goes here.", "Then comes a second part with many more words!", "And a third."]
 
 
+def test_dedup_finds_passages_wherever_they_stand(spark):
+    """Planted in the middle of sentences, against all windows of 50 words."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(6))
+    own = lambda n: " ".join(word() for _ in range(n))
+    long, short, other = own(60), own(49), own(200)
+    texts = {1: f"{own(30)} {long} {own(20)} {other}", 2: f"{own(7)} {long.upper()} {own(9)}",
+             3: f"{own(30)} {short}\n{own(3)}", 4: f"{own(11)} {short} {own(80)}",
+             5: f"{own(40)} {' '.join(other.split()[20:150])}, {own(5)} {long}. {own(4)}"}
+    rows = {r.doc_id: r for r in line_dedup.deduplicate(
+        docs(spark, texts).repartition(3), passage_words=50).collect()}
+    seen = set()
+    for i in sorted(texts):
+        words = texts[i].lower().replace(",", "").replace(".", "").split()
+        gone = set()
+        for at in range(len(words) - 49):
+            window = tuple(words[at:at + 50])
+            gone |= set(range(at, at + 50)) if window in seen else set()
+            seen.add(window)
+        left = [w for n, w in enumerate(words) if n not in gone]
+        assert line_dedup.WORD.findall(rows[i].text.lower()) == left
+        assert bool(rows[i].removed) == (i in (2, 5)) == bool(gone)
+        for r in rows[i].removed:
+            kept, cut = texts[r.kept_doc_id][r.kept_start:].lower(), texts[i][r.start:r.stop].lower()
+            assert kept.split()[:9] == cut.split()[:9]
+
+
 def test_dedup_of_nothing(spark):
     assert line_dedup.deduplicate(spark.createDataFrame([], SCHEMA)).collect() == []
     same = "many words make up this one line of text that is repeated"
