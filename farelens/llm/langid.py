@@ -141,9 +141,9 @@ def training_counts(docs: DataFrame, train_rows: int, fold: F.Column, id_col: st
                            < int(train_rows / total * (1 << 30)))
     words = (rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
              .filter("word != ''").groupBy("lang", "word").count())
-    words = words.filter("count > 1").cache()
+    words = words.cache()
     seen = [(r["lang"], r["word"], 0, r["count"]) for r in words.toLocalIterator()]
-    out = list(seen)
+    out = [row for row in seen if row[3] > 1]
     by_gram: dict[tuple[str, str, int], int] = {}
     for lang, word, _, count in seen:
         for size in range(1, LONGEST + 1):

@@ -41,6 +41,14 @@ def test_language_id_of_odd_rows(spark):
     assert langid.identify(df.limit(0)).collect() == []
 
 
+def test_language_id_learns_from_words_seen_once(spark):
+    """Every word of a language stands once; its n-grams still tell it."""
+    rows = [(1, "alpha beta alpha beta", "aa"), (2, "xyzzy quuxel zyxquu", "bb"), (3, "xyzquux", None)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    assert not any(zlib.crc32(str(i).encode()) % 5 == 0 for i in (1, 2))
+    assert {r.doc_id: r.lang_pred for r in langid.identify(df).collect()}[3] == "bb"
+
+
 def test_backoff_goes_to_shorter_grams():
     model = langid.LanguageModel([("a", "known", 0, 5), ("b", "other", 0, 5), ("a", "kno", 3, 4),
                                   ("b", "now", 3, 4), ("a", "k", 1, 9), ("b", "z", 1, 9)])
