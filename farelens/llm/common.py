@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from farelens.session import stored
+from farelens.session import scratch_dir, stored
 
-__all__ = ["BoundedCache", "pieces_of", "read", "shuffle_width", "stored"]
+__all__ = ["BoundedCache", "discard", "pieces_of", "read", "shuffle_width", "stored", "written"]
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
@@ -54,3 +54,16 @@ def pieces_of(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows)
+
+
+def written(df: DataFrame, purpose: str) -> tuple[DataFrame, str]:
+    """The rows as a written table in the scratch folder, and its path, for ``discard``."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Removes a written table of which all that is needed has been written elsewhere."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
