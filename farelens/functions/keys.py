@@ -13,11 +13,16 @@ SPLIT_MULTIPLIER = 2654435761
 FOLD_MULTIPLIER = 2246822519
 
 
-def unit_hash(key: Column | str, multiplier: int = SPLIT_MULTIPLIER) -> Column:
-    """A number in [0, 1) from an integer key, by multiplicative hashing."""
+def whole_hash(key: Column | str, multiplier: int = SPLIT_MULTIPLIER) -> Column:
+    """A whole number below ``HASH_RANGE`` from an integer key, by multiplicative hashing."""
     value = F.col(key) if isinstance(key, str) else key
     reduced = F.pmod(value, F.lit(KEY_RANGE))
-    return F.pmod(reduced * F.lit(multiplier), F.lit(HASH_RANGE)) / float(HASH_RANGE)
+    return F.pmod(reduced * F.lit(multiplier), F.lit(HASH_RANGE))
+
+
+def unit_hash(key: Column | str, multiplier: int = SPLIT_MULTIPLIER) -> Column:
+    """A number in [0, 1) from an integer key."""
+    return whole_hash(key, multiplier) / float(HASH_RANGE)
 
 
 def fold_of(key: Column | str, folds: int) -> Column:

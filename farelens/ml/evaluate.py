@@ -118,6 +118,71 @@ def _curve(steps: DataFrame, by: Sequence[str], axes: dict[str, tuple[Column, Co
     return steps.select(*by, F.inline(F.when(first, F.array(start, here)).otherwise(F.array(here))))
 
 
+#: Points of a thinned curve at most, with those of its two ends.
+CURVE_POINTS = 1_000
+
+
+def _thinned(steps: DataFrame, by: Sequence[str], along: Column, axes: dict[str, Column],
+             first: dict[str, Column], kept: Sequence[str], points: int) -> DataFrame:
+    """The steps of a curve in ranges of ``along`` (0 to 1), each with its first and last step
+    and those with the least and greatest value of the axes in ``kept``.
+
+    The line through these crosses every value that a left out step has, inside its
+    range, so no step is farther from the line than the range is wide. ``gap`` is the
+    greatest width of that range on any axis outside ``kept``. One aggregate of single
+    numbers; its rows are bounded by ``points``.
+    """
+    ranges = (points - 2) // (2 + 2 * len(kept))
+    place = F.col("pos_before") + F.col("pos") + F.col("neg_before") + F.col("neg")
+    rows = steps.select(
+        *by, F.col("score").alias("threshold"), place.alias("_place"),
+        F.least(F.floor(along * ranges), F.lit(ranges - 1)).cast("int").alias("_range"),
+        *[axis.alias(name) for name, axis in axes.items()])
+    order = {"first": (F.min_by, F.col("_place")), "last": (F.max_by, F.col("_place"))}
+    for name in kept:
+        # of equal values the earliest step
+        order |= {f"least_{name}": (F.min_by, F.struct(name, "_place")),
+                  f"most_{name}": (F.max_by, F.struct(name, -F.col("_place")))}
+    chosen = rows.groupBy(*by, "_range").agg(
+        *[pick(F.struct("_place", "threshold", *axes), key).alias(f"_{which}")
+          for which, (pick, key) in order.items()],
+        F.greatest(F.lit(0.0), *[F.max(name) - F.min(name) for name in axes if name not in kept],
+                   F.lit(0.0)).alias("gap"))
+    picked = chosen.select(*by, "gap", F.explode(F.array_distinct(F.array(*[f"_{w}" for w in order])))
+                           .alias("_at"))
+    found = picked.select(*by, F.col("_at.threshold").alias("threshold"),
+                          *[F.round(f"_at.{name}", 9).alias(name) for name in axes],
+                          F.round("gap", 9).alias("gap"))
+    least = rows.groupBy(*by).agg(F.min_by(F.struct(*axes), "_place").alias("_at"))
+    start = least.select(*by, F.lit(None).cast("double").alias("threshold"),
+                         *[F.round(value, 9).alias(name) for name, value in first.items()],
+                         F.lit(0.0).alias("gap"))
+    return start.unionByName(found)
+
+
+def thin_roc_curve(df: DataFrame, label: str = "label", score: str = "score",
+                   by: Sequence[str] = (), points: int = CURVE_POINTS) -> DataFrame:
+    """As ``roc_curve`` with at most ``points`` points a group; ``gap`` bounds how far the left
+    out points near a point are from the thinned line. Both rates only grow."""
+    fpr = F.try_divide(F.col("neg_before") + F.col("neg"), F.col("neg_total"))
+    tpr = F.try_divide(F.col("pos_before") + F.col("pos"), F.col("pos_total"))
+    along = (F.coalesce(fpr, F.lit(0.0)) + F.coalesce(tpr, F.lit(0.0))) / 2
+    zero = F.lit(0.0)
+    return _thinned(_score_steps(df, label, score, by), by, along, {"fpr": fpr, "tpr": tpr},
+                    {"fpr": zero, "tpr": zero}, (), points)
+
+
+def thin_pr_curve(df: DataFrame, label: str = "label", score: str = "score",
+                  by: Sequence[str] = (), points: int = CURVE_POINTS) -> DataFrame:
+    """As ``pr_curve`` with at most ``points`` points a group. Recall only grows; precision goes
+    up and down, so each range keeps its least and greatest."""
+    tp, fp = F.col("pos_before") + F.col("pos"), F.col("neg_before") + F.col("neg")
+    recall = F.try_divide(tp, F.col("pos_total"))
+    return _thinned(_score_steps(df, label, score, by), by, F.coalesce(recall, F.lit(0.0)),
+                    {"recall": recall, "precision": _precision(tp, fp)},
+                    {"recall": F.lit(0.0), "precision": F.col("_at.precision")}, ("precision",), points)
+
+
 def curve_areas(df: DataFrame, label: str = "label", score: str = "score",
                 by: Sequence[str] = ()) -> DataFrame:
     """Exact roc_auc and pr_auc by trapezoids between distinct scores."""

@@ -57,6 +57,16 @@ def cost_analysis(df: DataFrame) -> DataFrame:
         .orderBy("pickup_month"))
 
 
+def fare_subtotals(df: DataFrame, dimensions: list[str]) -> DataFrame:
+    """Fares by all dimensions, by ever fewer of them from the right, and in all. ``level`` is
+    the bit mask of the dimensions that a row sums over, which tells a subtotal from a
+    missing value. One scan; rows are laid out by level and summed inside tasks first."""
+    return (
+        df.rollup(*dimensions)
+        .agg(F.grouping_id().cast("int").alias("level"), average("fare_amount").alias("avg_fare"),
+             exact_sum("fare_amount").alias("total_fare"), F.count("*").alias("trip_count")))
+
+
 def payment_distribution(df: DataFrame) -> DataFrame:
     """Payment types, the most used first."""
     return (

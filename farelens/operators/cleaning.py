@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from farelens.functions.calendar import duration_seconds
@@ -93,3 +93,28 @@ def cleaning_funnel(df: DataFrame, rules: Mapping[str, Column] | None = None) ->
 def apply_rules(df: DataFrame, rules: Mapping[str, Column] | None = None) -> DataFrame:
     """The rows at the end of the funnel."""
     return df.where(reduce(lambda a, b: a & b, (rules or cleaning_rules()).values()))
+
+
+def write_clean(df: DataFrame, path: str, rules: Mapping[str, Column] | None = None
+                ) -> tuple[DataFrame, DataFrame]:
+    """Writes the rows at the end of the funnel as Parquet; gives the funnel and the null
+    counts of the raw columns, which the writing job counts as the rows pass by."""
+    rules = rules or cleaning_rules()
+    kept_so_far, counts = F.lit(True), [F.count(F.lit(1)).alias("0")]
+    for place, rule in enumerate(rules.values(), start=1):
+        kept_so_far = kept_so_far & F.coalesce(rule, F.lit(False))
+        counts.append(F.count(F.when(kept_so_far, 1)).alias(str(place)))
+    gaps = [F.count(F.when(F.col(c).isNull(), 1)).alias(f"null {c}") for c in df.columns]
+    seen = Observation()
+    df.observe(seen, *counts, *gaps).where(kept_so_far).write.parquet(path)
+    found = seen.get
+    records = [found[str(place)] for place in range(len(rules) + 1)]
+    spark = df.sparkSession
+    funnel = spark.createDataFrame(
+        [(name, count, before - count) for name, count, before in
+         zip([RAW_STEP, *rules], records, [records[0], *records])],
+        "Step string, Records bigint, Removed bigint")
+    nulls = spark.createDataFrame(
+        [(c, found[f"null {c}"], records[0]) for c in df.columns],
+        "column_name string, null_rows bigint, row_count bigint")
+    return funnel, nulls

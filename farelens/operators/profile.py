@@ -4,34 +4,40 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from farelens.functions.keys import unit_hash
 from farelens.operators.quantiles import quantiles_of, ranged_totals, value_histogram
+from farelens.operators.sampling import bottom_k
+
+PAIRS_IN_A_ROW = 14  # six aggregation buffers each: more leave whole-stage codegen
 
 
 def correlation_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Pearson correlation of every pair, long form.
 
-    Like a pairwise matrix, each pair uses the rows where both values exist. One scan:
-    every row is laid out by pair and summed up before it leaves its task.
+    Like a pairwise matrix, each pair uses the rows where both values exist. Each group of
+    pairs is one row of moments: a count, two means, two squares and a product a pair. All
+    pairs in one row are too wide to be compiled and several times slower, so the groups
+    are scans of their own, each of its own columns.
     """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    laid_out = df.select(F.inline(F.array(*[
-        F.struct(F.lit(a).alias("x_name"), F.lit(b).alias("y_name"),
-                 F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
-        for a, b in pairs])))
-    measured = laid_out.groupBy("x_name", "y_name").agg(F.round(F.corr("x", "y"), 6).alias("c"))
+    numbers = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
+
+    def cell(x: str, y: str, place: int) -> Column:
+        return F.struct(F.lit(x).alias("feature_x"), F.lit(y).alias("feature_y"),
+                        F.col(f"`{place}`").alias("correlation"))
 
-    def cell(x: str, y: str) -> Column:
-        return F.struct(F.col(x).alias("feature_x"), F.col(y).alias("feature_y"),
-                        F.col("c").alias("correlation"))
+    def measured(group: Sequence[tuple[str, str]]) -> DataFrame:
+        row = numbers.agg(*[F.round(F.corr(a, b), 6).alias(f"{i}") for i, (a, b) in enumerate(group)])
+        cells = [cell(x, y, i) for i, pair in enumerate(group) for x, y in dict.fromkeys([pair, pair[::-1]])]
+        return row.select(F.inline(F.array(*cells)))
 
-    both = F.when(F.col("x_name") == F.col("y_name"), F.array(cell("x_name", "y_name"))).otherwise(
-        F.array(cell("x_name", "y_name"), cell("y_name", "x_name")))
-    return measured.select(F.inline(both))
+    return reduce(DataFrame.unionByName, [
+        measured(pairs[at:at + PAIRS_IN_A_ROW]) for at in range(0, len(pairs), PAIRS_IN_A_ROW)])
 
 
 def _range_of(df: DataFrame, value: str) -> Column:
@@ -104,6 +110,13 @@ def boxplot_by_group(df: DataFrame, group: str, value: str) -> DataFrame:
         .orderBy(group))
 
 
+def scatter_points(df: DataFrame, key: str | Column, x: str, y: str, most: int) -> DataFrame:
+    """The points of a scatter plot, ``most`` of them or all: the rows with the smallest key
+    hashes, the same for any layout."""
+    place = F.col(key) if isinstance(key, str) else key
+    return bottom_k(df.select(place.alias("_key"), x, y), "_key", most).select(x, y)
+
+
 def scatter_sample(df: DataFrame, key: str | Column, x: str, y: str, fraction: float) -> DataFrame:
     """The points of a scatter plot: a repeatable sample of rows by key hash."""
     return df.where(unit_hash(key) < fraction).select(x, y)

@@ -1,10 +1,11 @@
 """Registered queries over the shared tables, each with equivalent SQL where SQL can say it."""
 
 from farelens.plans import (
-    closed_form, evaluation, features, insights, models, profile, quality, reports, sampling, sources, stability)
+    closed_form, deliveries, evaluation, features, insights, models, profile, quality, reports, sampling, sources,
+    stability)
 
 MODULES = (sources, quality, features, reports, profile, insights, sampling, evaluation, stability,
-           models, closed_form)
+           models, closed_form, deliveries)
 
 
 def queries():

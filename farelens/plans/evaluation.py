@@ -64,6 +64,8 @@ QUERIES = {
     "roc_auc": lambda spark, folder: evaluate.curve_areas(scored_bills(spark, folder)),
     "roc_curve": lambda spark, folder: evaluate.roc_curve(scored_bills(spark, folder)),
     "pr_curve": lambda spark, folder: evaluate.pr_curve(scored_bills(spark, folder)),
+    "roc_curve_thin": lambda spark, folder: evaluate.thin_roc_curve(scored_bills(spark, folder)),
+    "pr_curve_thin": lambda spark, folder: evaluate.thin_pr_curve(scored_bills(spark, folder)),
     "confusion_multiclass": lambda spark, folder: evaluate.confusion_multiclass(
         fare_guesses(spark, folder)),
     "multiclass_metrics": lambda spark, folder: evaluate.multiclass_metrics(
@@ -138,6 +140,29 @@ ORACLE = {
           ROUND(tp / (tp + fp), 9) AS "precision" FROM steps
         UNION ALL (SELECT NULL, 0, ROUND(tp / (tp + fp), 9) FROM steps ORDER BY score DESC LIMIT 1)
         """, SCORED_SQL, STEPS_SQL),
+    "roc_curve_thin": sql("""
+        SELECT threshold, ROUND(fpr, 9) AS fpr, ROUND(tpr, 9) AS tpr, ROUND(gap, 9) AS gap
+        FROM (SELECT threshold, fpr, tpr,
+                GREATEST(MAX(fpr) OVER here - MIN(fpr) OVER here, MAX(tpr) OVER here - MIN(tpr) OVER here) AS gap,
+                place = MIN(place) OVER here OR place = MAX(place) OVER here AS taken
+              FROM (SELECT score AS threshold, tp + fp AS place, fp / n AS fpr, tp / p AS tpr,
+                      LEAST(floor((fp / n + tp / p) / 2 * 499), 498) AS part FROM steps)
+              WINDOW here AS (PARTITION BY part))
+        WHERE taken UNION ALL SELECT NULL, 0, 0, 0""", SCORED_SQL, STEPS_SQL),
+    "pr_curve_thin": sql("""
+        SELECT threshold, ROUND(recall, 9) AS recall, ROUND("precision", 9) AS "precision",
+          ROUND(gap, 9) AS gap
+        FROM (SELECT *, MAX(recall) OVER here - MIN(recall) OVER here AS gap,
+                1 IN (ROW_NUMBER() OVER (PARTITION BY part ORDER BY place),
+                      ROW_NUMBER() OVER (PARTITION BY part ORDER BY place DESC),
+                      ROW_NUMBER() OVER (PARTITION BY part ORDER BY "precision", place),
+                      ROW_NUMBER() OVER (PARTITION BY part ORDER BY "precision" DESC, place)) AS taken
+              FROM (SELECT score AS threshold, tp + fp AS place, tp / p AS recall,
+                      tp / (tp + fp) AS "precision", LEAST(floor(tp / p * 249), 248) AS part FROM steps)
+              WINDOW here AS (PARTITION BY part))
+        WHERE taken
+        UNION ALL (SELECT NULL, 0, ROUND(tp / (tp + fp), 9), 0 FROM steps ORDER BY score DESC LIMIT 1)
+        """, SCORED_SQL, STEPS_SQL),
     "confusion_multiclass": sql(
         "SELECT actual, " + ", ".join(
             f"COUNT(*) FILTER (WHERE predicted = '{c}') AS {c}" for c in evaluate.CATEGORY_NAMES)

@@ -11,6 +11,7 @@ from farelens.sources import line_charges, trips
 CHARGES = ["trip_distance", "fare_amount", "tip_amount", "tolls_amount", "extra",
            "congestion_surcharge", "total_amount"]
 BINS, POINTS = 50, 100
+SCATTER_POINTS = 2_000
 
 QUERIES = {
     "correlation_matrix": lambda spark, folder: profile.correlation_matrix(
@@ -27,6 +28,8 @@ QUERIES = {
         trips(spark, folder).withColumn("pickup_hour", F.hour("pickup_datetime")), "pickup_hour", "fare_amount"),
     "scatter_sample": lambda spark, folder: profile.scatter_sample(
         trips(spark, folder), "trip_id", "trip_distance", "fare_amount", 0.1),
+    "scatter_points": lambda spark, folder: profile.scatter_points(
+        trips(spark, folder), "trip_id", "trip_distance", "fare_amount", SCATTER_POINTS),
 }
 
 
@@ -93,4 +96,7 @@ ORACLE = {
     "scatter_sample": sql(
         "SELECT trip_distance, fare_amount FROM trips WHERE "
         + UNIT_HASH.format("trip_id") + " < 0.1"),
+    "scatter_points": sql(
+        "SELECT trip_distance, fare_amount FROM trips ORDER BY "
+        + UNIT_HASH.format("trip_id") + f", trip_id LIMIT {SCATTER_POINTS}"),
 }

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from farelens.operators import cleaning, quality
 from farelens.plans.sql_views import SECONDS, sql
+from farelens.session import scratch_dir
 from farelens.sources import documents_labels, line_charges, load_table, trips
 
 KEY = ["l_orderkey", "l_linenumber"]
@@ -18,6 +19,11 @@ def lines(spark, folder):
     return load_table(spark, folder, "lineitem")
 
 
+def written_clean(spark, folder):
+    return cleaning.write_clean(
+        trips(spark, folder, with_dropoff=True), scratch_dir(spark, "clean-trips"))
+
+
 QUERIES = {
     "null_counts": lambda spark, folder: quality.null_counts(documents_labels(spark, folder)),
     "null_nan_counts": lambda spark, folder: quality.null_nan_counts(
@@ -45,6 +51,8 @@ QUERIES = {
         trips(spark, folder, with_dropoff=True)),
     "data_quality_funnel": lambda spark, folder: cleaning.cleaning_funnel(
         trips(spark, folder, with_dropoff=True)),
+    "funnel_while_writing": lambda spark, folder: written_clean(spark, folder)[0],
+    "nulls_while_writing": lambda spark, folder: written_clean(spark, folder)[1],
     "dataset_overview": lambda spark, folder: quality.dataset_overview(trips(spark, folder)),
     "describe_numeric": lambda spark, folder: quality.describe_numeric(
         line_charges(spark, folder), NUMERIC),
@@ -145,6 +153,10 @@ ORACLE = {
         f"COUNT(*) - COUNT(*) FILTER (WHERE {rule}) AS failed FROM trips"
         for name, rule in RULES.items())),
     "data_quality_funnel": _funnel_sql(),
+    "funnel_while_writing": _funnel_sql(),
+    "nulls_while_writing": sql(" UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, COUNT(*) FILTER (WHERE {c} IS NULL) AS null_rows, "
+        "COUNT(*) AS row_count FROM trips" for c in TRIP_COLUMNS)),
     "dataset_overview": _overview_sql(),
     "describe_numeric": _describe_sql(),
 }

@@ -8,7 +8,7 @@ TRIPS = """trips AS (
     LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dropoff_datetime,
     CAST(k % 7 AS BIGINT) AS passenger_count, CAST(k AS DOUBLE) / 10 AS trip_distance,
     CASE WHEN event_id % 50 = 0 THEN 'Y' ELSE 'N' END AS store_and_fwd_flag,
-    CAST(user_id AS INTEGER) AS PULocationID, k AS DOLocationID,
+    user_id AS PULocationID, k AS DOLocationID,
     event_type AS payment_type, value AS fare_amount
   FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events))"""
 
@@ -16,7 +16,7 @@ BILLS = """bills AS (
   SELECT l_orderkey, l_linenumber, CAST(l_linenumber % 2 + 1 AS INTEGER) AS VendorID,
     CAST(l_linenumber AS BIGINT) AS passenger_count, l_quantity AS trip_distance,
     CAST(l_partkey % 6 + 1 AS BIGINT) AS RatecodeID, l_linestatus AS store_and_fwd_flag,
-    CAST(l_suppkey AS INTEGER) AS PULocationID, CAST(l_partkey AS INTEGER) AS DOLocationID,
+    l_suppkey AS PULocationID, l_partkey AS DOLocationID,
     l_extendedprice AS fare_amount, l_discount * 10 AS extra,
     l_extendedprice * l_discount AS tip_amount, l_extendedprice * l_tax AS tolls_amount,
     l_linenumber * CAST(0.5 AS DOUBLE) AS congestion_surcharge,

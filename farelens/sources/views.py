@@ -30,7 +30,7 @@ def trips(spark: SparkSession, folder: str, with_dropoff: bool = False) -> DataF
         "passenger_count": (k % 7).cast("bigint"),
         "trip_distance": k / F.lit(10.0),
         "store_and_fwd_flag": F.when(F.col("event_id") % 50 == 0, "Y").otherwise("N"),
-        "PULocationID": F.col("user_id").cast("int"),
+        "PULocationID": F.col("user_id"),
         "DOLocationID": k,
         "payment_type": F.col("event_type"),
         "fare_amount": F.col("value"),
@@ -48,8 +48,8 @@ def _charges() -> dict[str, Column]:
         "trip_distance": F.col("l_quantity"),
         "RatecodeID": (F.col("l_partkey") % 6 + 1).cast("bigint"),
         "store_and_fwd_flag": F.col("l_linestatus"),
-        "PULocationID": F.col("l_suppkey").cast("int"),
-        "DOLocationID": F.col("l_partkey").cast("int"),
+        "PULocationID": F.col("l_suppkey"),
+        "DOLocationID": F.col("l_partkey"),
         "fare_amount": price,
         "extra": discount * 10,
         "tip_amount": price * discount,
