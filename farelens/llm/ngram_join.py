@@ -14,7 +14,9 @@ Two documents link when their sets of word shingles have a Jaccard similarity of
    traversal of signature trees: nodes with OR-combined bitmaps and size ranges, pruned
    by the largest possible overlap. What the bounds let through are documents that may
    link with a component; they are compared with its members exactly, on the whole
-   texts, until one links.
+   texts, until one links. In lists of more than ``FEW`` nodes the bitmaps have ``WIDE``
+   bits for each shingle, so that texts that share a passage and nothing else are told
+   apart there and are not compared one by one.
 
 A group of thousands of copies so costs about its size in rows, not its square, and no
 two components that a link joins are left apart.
@@ -30,29 +32,34 @@ returned each; an empty table gives no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import pieces_of, shuffle_width, stored
+from farelens.llm.common import discard, pieces_of, shuffle_width, stored
 from farelens.llm.components import components
 from farelens.llm.shingles import mix, shingle_sets
-from farelens.llm.signature_tree import Entry, bitmap, build, reached
+from farelens.llm.signature_tree import WIDE, Entry, bitmap, build, reached
 from farelens.session import scratch_dir
 
 FREQUENT_SHARE = 1 << 20
 FREQUENT_LEAST = 64
 BLOCK = 512
+#: Nodes of a list up to which narrow bitmaps do: it has few pairs in any case.
+FEW = 32
+#: Tasks over which the members and askers of one component are spread.
+SPREAD = 16
 PER_TASK = 4_096
 FOLD = 4_000_000
 
 
 def summaries(docs: DataFrame, words: int) -> DataFrame:
     """Two kinds of rows in one pass over the texts. kind 0: a document's doc_id, set size n,
-    digest (d1, d2) and bitmap. kind 1: a shingle d1 and how many times n it recurs in a task."""
+    digest (d1, d2), bitmap and wide bitmap. kind 1: a shingle d1 and how many times n it
+    recurs in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[np.ndarray] = []
@@ -63,7 +70,7 @@ def summaries(docs: DataFrame, words: int) -> DataFrame:
                                       np.zeros(0, np.uint64), return_counts=True)
             many = counts > 1
             return rows(1, [None] * int(many.sum()), counts[many] - 1, found[many].view(np.int64),
-                        None, None)
+                        None, None, None)
 
         for batch in pieces_of(batches):
             sets = list(shingle_sets(batch.column(1).to_pylist(), words))
@@ -71,7 +78,8 @@ def summaries(docs: DataFrame, words: int) -> DataFrame:
             others = [mix(s ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64) for s in sets]
             yield rows(0, batch.column(0), np.array([len(s) for s in sets], np.int64),
                        np.array(sums, np.uint64).view(np.int64),
-                       np.array(others, np.uint64).view(np.int64), [bitmap(s) for s in sets])
+                       np.array(others, np.uint64).view(np.int64), [bitmap(s) for s in sets],
+                       [bitmap(s, WIDE) for s in sets])
             waiting += sets
             size += sum(map(len, sets))
             if size > FOLD:
@@ -79,17 +87,18 @@ def summaries(docs: DataFrame, words: int) -> DataFrame:
                 waiting, size = [], 0
         yield recurring()
 
-    def rows(kind, ids, n, d1, d2, bits) -> pa.RecordBatch:
+    def rows(kind, ids, n, d1, d2, bits, wide) -> pa.RecordBatch:
         count = len(n)
         return pa.RecordBatch.from_arrays(
             [pa.array(np.full(count, kind, np.int32)), pa.array(ids, pa.int64()),
              pa.array(n.astype(np.int64)), pa.array(d1),
              pa.array(d2 if d2 is not None else [None] * count, pa.int64()),
-             pa.array(bits if bits is not None else [None] * count, pa.binary())],
-            ["kind", "doc_id", "n", "d1", "d2", "bits"])
+             pa.array(bits if bits is not None else [None] * count, pa.binary()),
+             pa.array(wide if wide is not None else [None] * count, pa.binary())],
+            ["kind", "doc_id", "n", "d1", "d2", "bits", "wide"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "kind int, doc_id long, n long, d1 long, d2 long, bits binary")
+        run, "kind int, doc_id long, n long, d1 long, d2 long, bits binary, wide binary")
 
 
 def frequent_shingles(summary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -211,9 +220,11 @@ def lists(prefix: DataFrame, width: int, size: int) -> DataFrame:
             .mapInArrow(run, "list long, block long, node long, head long"))
 
 
-def listed_texts(docs: DataFrame, found: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+def listed_texts(docs: DataFrame, found: DataFrame, nodes: DataFrame, width: int
+                 ) -> tuple[DataFrame, Callable[[], None]]:
     """doc_id and text of every node in a list, written in buckets of doc_id: comparisons
-    then move pairs to texts, not texts to pairs. Plans are alike at every size."""
+    then move pairs to texts, not texts to pairs. Plans are alike at every size. Also what
+    drops the table again, once all that reads it is written."""
     spark = docs.sparkSession
     needed = found.select("node").distinct().hint("merge").join(nodes.select("node", "rep"), "node").select(
         F.col("rep").alias("doc_id")).distinct()
@@ -221,7 +232,12 @@ def listed_texts(docs: DataFrame, found: DataFrame, nodes: DataFrame, width: int
     path = scratch_dir(spark, "join-texts")
     name = path.rsplit("/", 1)[1].replace("-", "_")
     texts.write.bucketBy(width, "doc_id").option("path", path).saveAsTable(name)
-    return spark.table(name)
+
+    def drop() -> None:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, path)
+
+    return spark.table(name), drop
 
 
 def same_enough(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
@@ -269,13 +285,21 @@ def with_members(duties: DataFrame, texts: DataFrame, labels: DataFrame, width:
     def every(count: str):
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
+    # a component's one row is laid out for each salt, so that its many members and askers
+    # need not meet it in one task
+    salted = members.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))))
+
+    def by_salt(rows: DataFrame, column: str) -> DataFrame:
+        return rows.withColumn("salt", F.pmod(F.xxhash64(column, F.lit(1)), F.lit(SPREAD)).cast("int"))
+
     alone = members.select("component", F.col("component").alias("doc_id"))
-    inside = (labels.select("component", F.col("id").alias("doc_id")).join(
-        members.select("component").hint("merge"), "component", "left_semi").unionByName(alone).distinct())
-    held = (inside.join(members.hint("merge"), "component")
+    named = by_salt(labels.select("component", F.col("id").alias("doc_id")), "doc_id").join(
+        salted.select("component", "salt").hint("merge"), ["component", "salt"], "left_semi")
+    inside = named.select("component", "doc_id").unionByName(alone).distinct()
+    held = (by_salt(inside, "doc_id").join(salted.hint("merge"), ["component", "salt"])
             .select("component", "doc_id", block("doc_id", "mb").alias("mb"), every("xb").alias("xb"))
             .withColumn("side", F.lit(0)))
-    asking = (duties.join(members.hint("merge"), "component")
+    asking = (by_salt(duties, "x").join(salted.hint("merge"), ["component", "salt"])
               .select("component", F.col("x").alias("doc_id"), every("mb").alias("mb"),
                       F.col("xb").alias("count")).withColumn("xb", block("doc_id", "count"))
               .select("component", "doc_id", "mb", "xb").withColumn("side", F.lit(1)))
@@ -339,7 +363,7 @@ def tree_duties(rows: DataFrame, width: int, percent: int) -> DataFrame:
                     found += duties()
                     key, sides, sizes = (name, i, j), ([], []), {}
                 sizes[component] = members
-                sides[side].append(Entry(rep, component, n, int.from_bytes(bits, "little")))
+                sides[side].append(Entry(rep, component, n, int.from_bytes(bits, "little"), 8 * len(bits)))
             if found:
                 yield batch_of(found)
         if found := duties():
@@ -370,16 +394,17 @@ def mixed_lists(found: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
              .withColumn("component", F.coalesce("component", "rep")))
     counts = labels.groupBy("component").agg(F.count("*").alias("members"))
     sized = (named.join(counts, "component", "left")
-             .select("rep", "n", "bits", F.coalesce("members", F.lit(1)).alias("members")))
+             .select("rep", "n", "bits", "wide", F.coalesce("members", F.lit(1)).alias("members")))
     rows = stored(found.select("list", "block", "node").join(
         named.select("node", "rep", "component"), "node"), "join-lists")
     mixed = (rows.groupBy("list").agg(F.min("component").alias("least"), F.max("component").alias("most"),
-                                      F.min("block").alias("first"), F.max("block").alias("last"))
-             .filter("least < most").select("list", "first", "last"))
+                                      F.min("block").alias("first"), F.max("block").alias("last"),
+                                      (F.count("*") > FEW).alias("many"))
+             .filter("least < most").select("list", "first", "last", "many"))
     rows = rows.select("list", "block", "rep", "component").distinct().join(mixed, "list")
     own = rows.filter("first = last").select(
         "list", F.col("block").alias("i"), F.col("block").alias("j"), F.lit(0).alias("side"),
-        "rep", "component")
+        "rep", "component", "many")
     cut = rows.filter("first < last").select("list", "block", "rep", "component")
     blocks = cut.groupBy("list", "block").agg(F.min("component").alias("least"),
                                               F.max("component").alias("most"))
@@ -391,8 +416,10 @@ def mixed_lists(found: DataFrame, nodes: DataFrame, labels: DataFrame) -> DataFr
                 .unionByName(duties.filter("i < j").withColumn("block", F.col("j"))
                              .withColumn("side", F.lit(1)))
                 .join(cut, ["list", "block"])
-                .select("list", "i", "j", "side", "rep", "component"))
-    return own.unionByName(cut_rows).join(sized, "rep")
+                .select("list", "i", "j", "side", "rep", "component", F.lit(True).alias("many")))
+    return own.unionByName(cut_rows).join(sized, "rep").select(
+        "list", "i", "j", "side", "rep", "component", "members", "n",
+        F.when(F.col("many"), F.col("wide")).otherwise(F.col("bits")).alias("bits"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col: str = "doc_id",
@@ -402,18 +429,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75, id_col:
     width = shuffle_width(spark)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     summary = stored(summaries(rows, words), "join-summary")
-    sets = summary.filter("kind = 0").select("doc_id", "n", "d1", "d2", "bits")
-    nodes = stored(sets.filter("n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(
-        F.min("doc_id").alias("rep"), F.first("bits").alias("bits"))
+    sets = summary.filter("kind = 0").select("doc_id", "n", "d1", "d2")
+    nodes = stored(summary.filter("kind = 0 AND n > 0 AND doc_id IS NOT NULL").groupBy("n", "d1", "d2").agg(
+        F.min("doc_id").alias("rep"), F.first("bits").alias("bits"), F.first("wide").alias("wide"))
         .withColumnRenamed("d1", "node"), "join-nodes")
     frequent = spark.sparkContext.broadcast(frequent_shingles(summary))
     found = stored(lists(prefixes(rows, words, percent, frequent), width, BLOCK), "join-lists")
-    texts = listed_texts(rows, found, nodes, width)
+    texts, drop_texts = listed_texts(rows, found, nodes, width)
     links = stored(exact(heads(found, nodes, percent), texts, words, percent), "join-links")
     labels = components(links)
     duties = tree_duties(mixed_lists(found, nodes, labels), width, percent)
     links = links.unionByName(stored(
         with_members(duties, texts, labels, width, words, percent, BLOCK), "join-links"))
+    drop_texts()
     own = (sets.filter("n > 0 AND doc_id IS NOT NULL")
            .join(nodes.select("n", F.col("node").alias("d1"), "d2", "rep"), ["n", "d1", "d2"]))
     shared = own.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).filter("a <> b")

@@ -17,9 +17,14 @@ import numpy as np
 FAN_OUT = 8
 
 
-def bitmap(tokens: np.ndarray) -> bytes:
-    """One bit for each token at its hash modulo a power of two of about the set's size."""
-    width = width_of(len(tokens))
+#: Bits for each token of a wide bitmap.
+WIDE = 4
+
+
+def bitmap(tokens: np.ndarray, each: int = 1) -> bytes:
+    """One bit for each token at its hash modulo a power of two of about ``each`` times the
+    set's size."""
+    width = width_of(len(tokens) * each)
     bits = np.zeros(width, bool)
     bits[(tokens % np.uint64(width)).astype(np.int64)] = True
     return np.packbits(bits, bitorder="little").tobytes()
@@ -42,6 +47,8 @@ class Entry(NamedTuple):
     component: int
     size: int
     bits: int
+    #: of the bitmap; 0: that of one bit for each token
+    width: int = 0
 
 
 class Node(NamedTuple):
@@ -56,7 +63,7 @@ class Node(NamedTuple):
 
 
 def leaf(entry: Entry) -> Node:
-    return Node(entry.bits, width_of(entry.size), entry.size, entry.size,
+    return Node(entry.bits, entry.width or width_of(entry.size), entry.size, entry.size,
                 entry.size - entry.bits.bit_count(), entry.component, None, entry)
 
 
