@@ -134,13 +134,14 @@ UNEVEN = re.compile(r"\s | \s| \Z")
 class Encoder:
     """Whole texts in terms of cached parts; ``form`` says what is kept of a part's ids."""
 
-    def __init__(self, vocabulary: ByteVocabulary, form, encode_part=None):
+    def __init__(self, vocabulary: ByteVocabulary, form, encode_part=None,
+                 limits: tuple[int, int, int] = (500_000, 200_000, 50_000)):
         self.vocabulary = vocabulary
         encode = encode_part or vocabulary.encode_part
-        self.parts = BoundedCache(lambda part: form(encode(part)), limit=500_000)
+        self.parts = BoundedCache(lambda part: form(encode(part)), limit=limits[0])
         self.form = form
-        self.joined = BoundedCache(self.word, limit=200_000)
-        self.first = BoundedCache(self.split_join, limit=50_000)
+        self.joined = BoundedCache(self.word, limit=limits[1])
+        self.first = BoundedCache(self.split_join, limit=limits[2])
 
     def word(self, word: str):
         """A word after a blank; letters alone are one part."""

@@ -12,8 +12,16 @@ from farelens.session import scratch_dir, stored
 __all__ = ["BoundedCache", "discard", "pieces_of", "read", "shuffle_width", "stored", "written"]
 
 
+#: Bytes of an Arrow batch on its way to Python; a single larger row goes alone.
+BATCH_BYTES = 4 << 20
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    """The whole table."""
+    """The whole table. From here on the session's Arrow batches are bounded in bytes as well
+    as in rows: ten thousand texts are tens of megabytes, held several times in a task."""
+    limit = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(limit).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(limit, str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 

@@ -6,8 +6,9 @@ inside it, and so on down to single letters. The language with the largest sum o
 the text wins (ties to the first in alphabetical order); its score is its share of
 the languages' likelihoods, taken per word.
 
-Training counts words and n-grams by Spark over at most ``train_rows`` labelled
-documents, chosen by a hash of their id. Languages are weighed alike.
+Training counts words and n-grams by Spark over at most about ``train_rows`` labelled
+documents with ``train_chars`` characters, chosen by a hash of their id; the model is
+what comes to the driver. Languages are weighed alike.
 
 Defined cases: a text that is null or has no letters is ``und`` with score 0, also
 where there is nothing to learn from; null ids train nothing; repeated rows are judged
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import BoundedCache, pieces_of
+from farelens.llm.common import BoundedCache, pieces_of, stored
 
 UNKNOWN = "und"
 LONGEST = 4
@@ -51,14 +52,18 @@ class LanguageModel:
         self.languages = sorted({lang for lang, *_ in counts})
         place = {lang: i for i, lang in enumerate(self.languages)}
         self.rows: list[dict[str, int]] = [{} for _ in range(LONGEST + 1)]
-        for _, gram, size, _ in counts:
-            self.rows[size].setdefault(gram, len(self.rows[size]))
-        self.logs = [np.zeros((len(rows), len(self.languages))) for rows in self.rows]
+        cells: list[list[tuple[int, int, int]]] = [[] for _ in range(LONGEST + 1)]
         for lang, gram, size, count in counts:
-            self.logs[size][self.rows[size][gram], place[lang]] += count
-        for size, table in enumerate(self.logs):
-            self.logs[size] = np.log(
-                (table + 0.5) / (table.sum(axis=0) + 0.5 * len(table))).astype(np.float32)
+            rows = self.rows[size]
+            cells[size].append((rows.setdefault(gram, len(rows)), place[lang], count))
+        self.logs = []
+        for rows, own in zip(self.rows, cells):
+            table = np.zeros((len(rows), len(self.languages)))
+            if own:
+                row, lang, count = np.array(own, np.int64).T
+                table[row, lang] = count
+            self.logs.append(np.log(
+                (table + 0.5) / (table.sum(axis=0) + 0.5 * len(table))).astype(np.float32))
 
     def known(self, gram: str, size: int) -> np.ndarray | None:
         """Log frequencies by language of a seen n-gram, or of a seen word at size 0."""
@@ -129,82 +134,103 @@ class Judge:
         return self.rows[places].sum(axis=0, dtype=np.float64)
 
 
-def training_counts(docs: DataFrame, train_rows: int, fold: F.Column, id_col: str,
+def gram_counts(words: DataFrame) -> DataFrame:
+    """lang, gram, size and count of all n-grams of words (lang, word, count), as ``grams``
+    cuts them."""
+
+    def cut(size: int) -> F.Column:
+        marked = F.concat(F.lit("<"), "word", F.lit(">")) if size > 1 else F.col("word")
+        each = F.transform(F.sequence(F.lit(1), F.length(marked) - size + 1), lambda at: F.struct(
+            F.lit(size).alias("size"), F.substr(marked, at, F.lit(size)).alias("gram")))
+        return F.when(F.length(marked) >= size, each).otherwise(F.slice(F.array(F.struct(
+            F.lit(size).alias("size"), F.lit("").alias("gram"))), 1, 0))
+
+    found = F.explode(F.flatten(F.array(*[cut(size) for size in range(1, LONGEST + 1)])))
+    return words.select("lang", "count", found.alias("one")).groupBy(
+        "lang", F.col("one.gram").alias("gram"), F.col("one.size").alias("size")).agg(
+        F.sum("count").alias("count"))
+
+
+def training_counts(docs: DataFrame, train_rows: int, train_chars: int, fold: F.Column, id_col: str,
                     text_col: str, lang_col: str) -> list[tuple[str, str, int, int]]:
     """Counts of the words seen twice or more and of all n-grams in the training rows."""
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"),
                        docs[lang_col].alias("lang")).filter(
         docs[id_col].isNotNull() & docs[text_col].isNotNull() & docs[lang_col].isNotNull() & ~fold)
-    total = rows.count()
-    if total > train_rows:
-        rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30))
-                           < int(train_rows / total * (1 << 30)))
-    words = (rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
-             .filter("word != ''").groupBy("lang", "word").count())
-    words = words.cache()
-    seen = [(r["lang"], r["word"], 0, r["count"]) for r in words.toLocalIterator()]
-    out = [row for row in seen if row[3] > 1]
-    by_gram: dict[tuple[str, str, int], int] = {}
-    for lang, word, _, count in seen:
-        for size in range(1, LONGEST + 1):
-            for gram in grams(word, size):
-                key = lang, gram, size
-                by_gram[key] = by_gram.get(key, 0) + count
-    words.unpersist()
-    out.extend((*key, count) for key, count in by_gram.items())
-    return out
-
-
-def fitted(docs: DataFrame, train_rows: int, id_col: str, text_col: str, lang_col: str):
+    total = rows.agg(F.count("*").alias("rows"), F.sum(F.length("text").cast("long")).alias("chars")).first()
+    share = min(1.0, train_rows / max(total["rows"], 1), train_chars / max(total["chars"] or 0, 1))
+    if share < 1:
+        rows = rows.filter(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    words = stored(rows.select("lang", F.explode(F.split(F.lower("text"), r"[^\p{L}]+")).alias("word"))
+                   .filter("word != ''").groupBy("lang", "word").count(), "language-words")
+    counts = words.filter("count > 1").select("lang", F.col("word").alias("gram"), F.lit(0).alias("size"), "count")
+    found = counts.unionByName(gram_counts(words)).toArrow()
+    return list(zip(*(found.column(c).to_pylist() for c in ("lang", "gram", "size", "count"))))
+
+
+TRAIN_ROWS = 20_000
+TRAIN_CHARS = 100_000_000
+
+
+def fitted(docs: DataFrame, train_rows: int, train_chars: int, id_col: str, text_col: str, lang_col: str):
     """The model of the rows of ``docs`` that have a language and are not held out, for
     all tasks."""
     model = LanguageModel(training_counts(
-        docs, train_rows, held_out(docs[id_col]), id_col, text_col, lang_col))
+        docs, train_rows, train_chars, held_out(docs[id_col]), id_col, text_col, lang_col))
     return docs.sparkSession.sparkContext.broadcast(model)
 
 
-def identify(docs: DataFrame, train_rows: int = 20_000, id_col: str = "doc_id",
-             text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, train_rows: int = TRAIN_ROWS, id_col: str = "doc_id",
+             text_col: str = "text", lang_col: str = "lang",
+             train_chars: int = TRAIN_CHARS) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row. Learns from the rows of
     ``docs`` with a language that are not held out."""
-    shared = fitted(docs, train_rows, id_col, text_col, lang_col)
+    shared = fitted(docs, train_rows, train_chars, id_col, text_col, lang_col)
     rows = docs.select(
         docs[text_col].alias("text"), docs[id_col].cast("long").alias("doc_id"),
         F.coalesce(held_out(docs[id_col]), F.lit(False)).alias("held_out"))
-    return rows.mapInArrow(
-        judged(shared, keep=slice(1, 3)),
-        "doc_id long, held_out boolean, lang_pred string, score double")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        judge = Judge(shared.value)
+        for batch in pieces_of(batches):
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[1:], *verdicts(judge, batch.column(0))],
+                ["doc_id", "held_out", "lang_pred", "score"])
+
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double")
 
 
 def with_language(docs: DataFrame, into: tuple[str, str] | None = ("lang_pred", "score"),
-                  train_rows: int = 20_000, id_col: str = "doc_id", text_col: str = "text",
-                  lang_col: str = "lang") -> DataFrame:
+                  train_rows: int = TRAIN_ROWS, id_col: str = "doc_id", text_col: str = "text",
+                  lang_col: str = "lang", train_chars: int = TRAIN_CHARS) -> DataFrame:
     """The rows of ``docs`` whose text has a language, with its name and score in the
     columns that ``into`` names, or as they are if that is None. Other columns may have
-    any names."""
-    shared = fitted(docs, train_rows, id_col, text_col, lang_col)
+    any names. Texts go to Python once and only the verdicts come back; all else stays
+    where it is."""
+    shared = fitted(docs, train_rows, train_chars, id_col, text_col, lang_col)
+
+    @F.arrow_udf("struct<lang:string,score:double>")
+    def verdict(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        judge = Judge(shared.value)
+        for column in texts:
+            parts = [pa.StructArray.from_arrays(verdicts(judge, column[at:at + 256]), ["lang", "score"])
+                     for at in range(0, len(column), 256)]
+            yield pa.concat_arrays(parts) if parts else pa.array([], VERDICT)
+
+    # else the optimizer may judge once for the filter and again for the columns
+    verdict = verdict.asNondeterministic()
     names = {c: f"c{i}_kept" for i, c in enumerate(docs.columns)}
-    kinds = dict(docs.dtypes)
-    rows = docs.select(docs[text_col].alias("text"),
-                       *(F.col(f"`{c}`").alias(n) for c, n in names.items()))
-    out = rows.mapInArrow(
-        judged(shared, keep=slice(1, None)), ", ".join(
-            [*(f"{n} {kinds[c]}" for c, n in names.items()), "lang_pred string, score double"]))
-    added = [F.col("lang_pred").alias(into[0]), F.col("score").alias(into[1])] if into else []
-    return out.filter(F.col("lang_pred") != UNKNOWN).select(
+    judged = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items())).withColumn(
+        "verdict", verdict(names[text_col]))
+    added = ([F.col("verdict.lang").alias(into[0]), F.col("verdict.score").alias(into[1])] if into else [])
+    return judged.filter(F.col("verdict.lang") != UNKNOWN).select(
         *(F.col(n).alias(c) for c, n in names.items()), *added)
 
 
-def judged(shared, keep: slice):
-    """Judges the text in the first column and puts the verdict behind the kept columns."""
+VERDICT = pa.struct([("lang", pa.string()), ("score", pa.float64())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        judge = Judge(shared.value)
-        for batch in pieces_of(batches):
-            found = [judge.judge(text) for text in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[keep], pa.array([f[0] for f in found], pa.string()),
-                 pa.array([f[1] for f in found], pa.float64())],
-                [*batch.schema.names[keep], "lang_pred", "score"])
 
-    return run
+def verdicts(judge: Judge, texts: pa.Array) -> list[pa.Array]:
+    """Languages and scores of texts."""
+    found = [judge.judge(text) for text in texts.to_pylist()]
+    return [pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())]
