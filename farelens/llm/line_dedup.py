@@ -14,13 +14,17 @@ passage shares one of the fingerprints of half its length that winnowing picks b
 content; windows of ``passage_words`` words around repeated fingerprints are hashed at
 every word, grouped like units, and all but the earliest go.
 
-A digest that many documents share is counted before the shuffle; only repeated
-digests, a table of their own, meet the units again, in an equi-join that Spark splits
-where it is skewed.
-
-Defined cases: null text stays null and has no units; rows that share a doc_id count
-as one document, of which every row keeps what the document keeps; an empty table
-gives no rows; a text of which everything is removed becomes empty.
+Places are single numbers (``places``), so that the least place of a digest is combined
+before the shuffle, however many documents share it. Only repeated digests, a table of
+their own, meet the units again, in an equi-join that Spark splits where it is skewed.
+Before such a join a bit table of fixed size (``Sieve``) leaves out most rows that meet
+nothing; what it lets through wrongly only costs time.
+
+Defined cases: null text stays null and has no units; rows that share a doc_id and differ
+in their texts are documents of their own, ranked by doc_id and then by a digest of the
+text; rows that share both are one document, each cut alike; rows without doc_id are
+left as they are; an empty table gives no rows; a text of which everything is removed
+becomes empty.
 """
 
 from __future__ import annotations
@@ -34,11 +38,66 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import BoundedCache, pieces_of, stored
+from farelens.llm.common import BoundedCache, discard, pieces_of, stored, written
 
 UNIT = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)")
 WORD = re.compile(r"[^\W_]+")
 REMOVED = "array<struct<start:int,stop:int,kept_doc_id:bigint,kept_start:int>>"
+PLACE = "decimal(38,0)"
+HALF = np.uint64((1 << 31) - 1)
+
+
+def tags(texts: list[str]) -> np.ndarray:
+    """31 bits that tell texts with one doc_id apart."""
+    return np.array([int.from_bytes(blake2b(t.encode(), digest_size=4).digest(), "little") >> 1
+                     for t in texts], np.uint64)
+
+
+def places(ids: np.ndarray, own_tags: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """(doc_id, tag, start) as numbers in the same order: doc_id * 2**62 + tag * 2**31 + start."""
+    both = np.empty((len(ids), 2), np.uint64)
+    rest = own_tags.astype(np.uint64) << np.uint64(31) | starts.astype(np.uint64)
+    both[:, 0] = ids.astype(np.int64).view(np.uint64) << np.uint64(62) | rest
+    both[:, 1] = (ids.astype(np.int64) >> 2).view(np.uint64)
+    return pa.Array.from_buffers(pa.decimal128(38, 0), len(ids), [None, pa.py_buffer(both.tobytes())])
+
+
+def parts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """doc_id, tag and start of places without nulls."""
+    both = np.frombuffer(column.buffers()[1], np.uint64).reshape(-1, 2)[column.offset:column.offset + len(column)]
+    ids = ((both[:, 1] << np.uint64(2)) | both[:, 0] >> np.uint64(62)).view(np.int64)
+    return ids, (both[:, 0] >> np.uint64(31) & HALF).astype(np.int64), (both[:, 0] & HALF).astype(np.int64)
+
+
+class Sieve:
+    """Which values of a uniform hash may be in a table: 2**27 bits, whatever its size."""
+
+    BITS = 27
+
+    def __init__(self, hashes: DataFrame, column: str):
+        position = F.col(column).bitwiseAND((1 << self.BITS) - 1) + 1
+        found = (hashes.groupBy(F.bitmap_bucket_number(position).alias("bucket"))
+                 .agg(F.bitmap_construct_agg(F.bitmap_bit_position(position)).alias("bits")).collect())
+        table = np.zeros(1 << self.BITS - 3, np.uint8)
+        for row in found:
+            at = (row["bucket"] - 1) * len(row["bits"])
+            table[at:at + len(row["bits"])] = np.frombuffer(row["bits"], np.uint8)
+        self.shared = hashes.sparkSession.sparkContext.broadcast(table)
+
+    def keeps(self, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.uint64) & np.uint64((1 << self.BITS) - 1)
+        return (self.shared.value[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+
+    def let_through(self, rows: DataFrame, column: str) -> DataFrame:
+        names = rows.columns
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                kept = batch.filter(pa.array(self.keeps(batch.column(names.index(column)).to_numpy())))
+                if kept.num_rows:
+                    yield kept
+
+        return rows.mapInArrow(run, rows.schema)
 
 
 def units(text: str) -> list[tuple[int, int, int, bytes]]:
@@ -53,41 +112,60 @@ def units(text: str) -> list[tuple[int, int, int, bytes]]:
 
 
 def unit_table(docs: DataFrame) -> DataFrame:
-    """hi, lo (the digest), doc_id, start, stop, words and number of every unit."""
+    """hi, lo (the digest), place, and info (length * 2**32 + words) of every unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            ids, places, digests = [], [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for number, (start, stop, words, digest) in enumerate(units(text or "")):
+            ids, own_tags, starts, info, digests = [], [], [], [], []
+            texts = batch.column(1).to_pylist()
+            for doc_id, tag, text in zip(batch.column(0).to_pylist(), tags(texts).tolist(), texts):
+                for start, stop, words, digest in units(text):
                     ids.append(doc_id)
-                    places.append((start, stop, words, number))
+                    own_tags.append(tag)
+                    starts.append(start)
+                    info.append(stop - start << 32 | words)
                     digests.append(digest)
             three = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 3)
             high = np.ascontiguousarray(three[:, :2]).view(np.int64).ravel()
-            four = np.array(places, np.int32).reshape(-1, 4)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(high), pa.array(three[:, 2]), pa.array(ids, pa.int64()),
-                 *(pa.array(four[:, i]) for i in range(4))],
-                ["hi", "lo", "doc_id", "start", "stop", "words", "number"])
+                [pa.array(high), pa.array(three[:, 2]),
+                 places(np.array(ids, np.int64), np.array(own_tags, np.uint64), np.array(starts, np.uint64)),
+                 pa.array(info, pa.int64())], ["hi", "lo", "place", "info"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"hi long, lo int, place {PLACE}, info long")
+
+
+def kept_places(table: DataFrame, key: list[str], purpose: str) -> DataFrame:
+    """The key and the least place of what occurs more than once."""
+    return stored(table.groupBy(*key).agg(F.min("place").alias("kept"), F.count("*").alias("n"))
+                  .filter("n > 1").select(*key, "kept"), purpose)
+
+
+def by_document(found: DataFrame) -> DataFrame:
+    """doc_id, tag, start, info, kept_doc_id and kept_start from place, info and kept."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, own_tags, starts = parts_of(batch.column(0))
+            kept_ids, _, kept_starts = parts_of(batch.column(2))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(own_tags), pa.array(starts.astype(np.int32)), batch.column(1),
+                 pa.array(kept_ids), pa.array(kept_starts.astype(np.int32))],
+                ["doc_id", "tag", "start", "info", "kept_doc_id", "kept_start"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "hi long, lo int, doc_id long, start int, stop int, words int, number int")
+    return found.select("place", "info", "kept").mapInArrow(
+        run, "doc_id long, tag long, start int, info long, kept_doc_id long, kept_start int")
 
 
 def repeated_units(docs: DataFrame) -> DataFrame:
-    """doc_id, start, stop, words, number, kept_doc_id and kept_start of every unit
-    that is not the kept occurrence of its digest."""
-    table = stored(unit_table(docs), "units")
-    shared = stored(
-        table.groupBy("hi", "lo")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "start")).alias("kept"))
-        .filter("n > 1").select("hi", "lo", "kept"), "shared-units")
-    return (table.join(shared, ["hi", "lo"])
-            .filter("doc_id > kept.doc_id OR (doc_id = kept.doc_id AND start > kept.start)")
-            .select("doc_id", "start", "stop", "words", "number",
-                    F.col("kept.doc_id").alias("kept_doc_id"),
-                    F.col("kept.start").alias("kept_start")).distinct())
+    """doc_id, tag, start, info, kept_doc_id and kept_start of every unit that is not the
+    kept occurrence of its digest."""
+    table, path = written(unit_table(docs), "units")
+    shared = kept_places(table, ["hi", "lo"], "shared-units")
+    met = Sieve(shared, "hi").let_through(table, "hi").join(shared, ["hi", "lo"]).filter("place > kept").distinct()
+    out = stored(by_document(met), "repeated-units")
+    discard(docs.sparkSession, path)
+    return out
 
 
 def word_hash(word: str) -> int:
@@ -128,73 +206,116 @@ def hashed_words(text: str | None, known: BoundedCache) -> np.ndarray:
     return np.array([known[word] for word in WORD.findall(text or "")], np.uint64)
 
 
-def positions(rows: DataFrame, passage_words: int) -> DataFrame:
-    """hash, doc_id and at (a word's number): of the fingerprints of (doc_id, text); or, with
-    the offset where they start, of the whole windows around the fingerprints that a third
-    column ``near`` lists."""
-    whole = "near" in rows.columns
+def fingerprints(docs: DataFrame, passage_words: int) -> DataFrame:
+    """hash, doc_id, tag and at (a word's number) of the fingerprints of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = BoundedCache(word_hash)
         for batch in pieces_of(batches):
-            ids, places, found, starts = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], []
-            for doc_id, text, *near in zip(*(c.to_pylist() for c in batch.columns)):
-                hashes = hashed_words(text, known)
-                if whole:
-                    grams = window_hashes(hashes, passage_words)
-                    back = np.arange(passage_words - passage_words // 2 + 1)
-                    at = np.unique(np.subtract.outer(np.array(near[0], np.int64), back))
-                    at = at[(at >= 0) & (at < len(grams))]
-                    grams = grams[at]
-                    offsets = [m.start() for m in WORD.finditer(text)]
-                    starts.extend(offsets[i] for i in at.tolist())
-                else:
-                    at, grams = winnowed(hashes, passage_words)
-                ids.extend([doc_id] * len(at))
-                places.append(at)
-                found.append(grams)
+            texts = batch.column(1).to_pylist()
+            found = [winnowed(hashed_words(text, known), passage_words) for text in texts]
+            sizes = [len(at) for at, _ in found]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(found)), pa.array(ids, pa.int64()),
-                 pa.array(np.concatenate(places).astype(np.int32)),
-                 *([pa.array(starts, pa.int32())] if whole else [])],
-                ["hash", "doc_id", "at", *(["start"] if whole else [])])
+                [pa.array(np.concatenate([h for _, h in found])),
+                 pa.array(np.repeat(batch.column(0).to_numpy(), sizes)),
+                 pa.array(np.repeat(tags(texts).astype(np.int32), sizes)),
+                 pa.array(np.concatenate([at for at, _ in found]).astype(np.int32))],
+                ["hash", "doc_id", "tag", "at"])
 
-    return rows.mapInArrow(run, "hash long, doc_id long, at int" + ", start int" * whole)
+    return docs.select("doc_id", "text").mapInArrow(run, "hash long, doc_id long, tag int, at int")
 
 
-def repeated(table: DataFrame, purpose: str) -> DataFrame:
-    """hash and kept (the earliest place) of the hashes that occur at two places or more."""
-    place = F.struct(*table.columns[1:])
-    return stored(table.groupBy("hash").agg(F.min(place).alias("kept"), F.max(place).alias("last"))
-                  .filter("kept <> last").select("hash", "kept"), purpose)
+def windows_near(rows: DataFrame, passage_words: int, min_words: int) -> DataFrame:
+    """hash, place and info (0) of the whole windows around the fingerprints that ``near`` lists
+    in rows (doc_id, tag, text, found, near). Windows inside ``found`` units that go
+    anyway are left out: wherever such units stand in a row, they go."""
 
-
-def repeated_windows(docs: DataFrame, passage_words: int) -> DataFrame:
-    """doc_id and windows (at, kept_doc_id, kept_start) of all that are not the earliest."""
-    prints = stored(positions(docs, passage_words), "fingerprints")
-    near = prints.join(repeated(prints, "shared-fingerprints").select("hash"), "hash").groupBy(
-        "doc_id").agg(F.sort_array(F.collect_set("at")).alias("near"))
-    table = stored(positions(docs.join(near, "doc_id").select("doc_id", "text", "near"),
-                             passage_words), "windows")
-    return (table.join(repeated(table, "shared-windows"), "hash")
-            .filter("struct(doc_id, at, start) > kept").groupBy("doc_id")
-            .agg(F.collect_set(F.struct("at", F.col("kept.doc_id").alias("kept_doc_id"),
-                                        F.col("kept.start").alias("kept_start"))).alias("windows")))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = BoundedCache(word_hash)
+        back = np.arange(passage_words - passage_words // 2 + 1)
+        for batch in pieces_of(batches):
+            hashes, ids, own_tags, starts = [], [], [], []
+            for doc_id, tag, text, found, near in zip(*(c.to_pylist() for c in batch.columns)):
+                grams = window_hashes(hashed_words(text, known), passage_words)
+                at = np.unique(np.subtract.outer(np.array(near, np.int64), back))
+                at = at[(at >= 0) & (at < len(grams))]
+                if not len(at):
+                    continue
+                spans_of_words = np.array([m.span() for m in WORD.finditer(text)], np.int64)
+                gone = spans(text, found or [], min_words)
+                if gone:
+                    first = np.array([g[0] for g in gone])
+                    place = np.searchsorted(first, spans_of_words[:, 0], side="right") - 1
+                    inside = (place >= 0) & (spans_of_words[:, 1] <= np.array([g[1] for g in gone])[place])
+                    left = np.concatenate([[0], np.cumsum(~inside)])
+                    at = at[left[at + passage_words] > left[at]]
+                hashes.append(grams[at])
+                ids.append(np.full(len(at), doc_id, np.int64))
+                own_tags.append(np.full(len(at), tag, np.uint64))
+                starts.append(spans_of_words[at, 0])
+            if hashes:
+                count = sum(map(len, hashes))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate(hashes)),
+                     places(np.concatenate(ids), np.concatenate(own_tags), np.concatenate(starts)),
+                     pa.array(np.zeros(count, np.int64))], ["hash", "place", "info"])
+
+    return rows.select("doc_id", "tag", "text", "found", "near").mapInArrow(
+        run, f"hash long, place {PLACE}, info long")
+
+
+KEY = ["doc_id", "tag"]
+
+
+def split_by_tag(docs: DataFrame, found: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``docs``, with their tag, whose document may be in ``found``, and those that
+    are not. Only texts go to Python, and two numbers come back."""
+    keeps = Sieve(found.select("tag"), "tag").keeps
+
+    @F.arrow_udf("struct<tag:long,may:boolean>")
+    def tagged(texts: pa.Array) -> pa.Array:
+        own = tags([t or "" for t in texts.to_pylist()]).astype(np.int64)
+        return pa.StructArray.from_arrays([pa.array(own), pa.array(keeps(own))], ["tag", "may"])
+
+    rows = docs.withColumn("tagged", tagged.asNondeterministic()("text"))
+    return tuple(rows.filter(wanted).withColumn("tag", F.col("tagged.tag")).drop("tagged")
+                 for wanted in (F.col("tagged.may"), ~F.col("tagged.may")))
+
+
+def repeated_windows(docs: DataFrame, units_found: DataFrame, passage_words: int, min_words: int) -> DataFrame:
+    """doc_id, tag, start, info, kept_doc_id and kept_start of the windows of that many words
+    that are not the earliest."""
+    spark = docs.sparkSession
+    prints, path = written(fingerprints(docs, passage_words), "fingerprints")
+    often = stored(prints.groupBy("hash").count().filter("count > 1").select("hash"), "shared-fingerprints")
+    near = stored(Sieve(often, "hash").let_through(prints, "hash").join(often, "hash")
+                  .groupBy("doc_id", F.col("tag").cast("long").alias("tag"))
+                  .agg(F.sort_array(F.collect_set("at")).alias("near")), "near")
+    discard(spark, path)
+    found = units_found.groupBy(*KEY).agg(F.collect_list(one_found()).alias("found"))
+    wanted = near.join(found, KEY, "left")
+    texts = split_by_tag(docs, near)[0].select(*KEY, "text").dropDuplicates(KEY)
+    table, path = written(windows_near(texts.join(wanted, KEY), passage_words, min_words), "windows")
+    kept = kept_places(table, ["hash"], "shared-windows")
+    met = Sieve(kept, "hash").let_through(table, "hash").join(kept, "hash").filter("place > kept")
+    out = stored(by_document(met.distinct()), "repeated-windows")
+    discard(spark, path)
+    return out
 
 
 def passages(text: str, windows: list[dict], passage_words: int) -> list[tuple[int, int, int, int]]:
     """(start, stop, kept_doc_id, kept_start) of each run of words that repeated windows cover."""
-    places = [m.span() for m in WORD.finditer(text)]
+    words = [m.span() for m in WORD.finditer(text)]
+    number = {start: i for i, (start, _) in enumerate(words)}
     out: list[list[int]] = []
-    for window in sorted(windows, key=lambda w: w["at"]):
-        first, last = window["at"], window["at"] + passage_words - 1
-        if last >= len(places):
-            continue
+    for window in sorted(windows, key=lambda w: w["start"]):
+        first = number[window["start"]]
+        last = first + passage_words - 1
         if out and first <= out[-1][1] + 1:
             out[-1][1] = last
         else:
             out.append([first, last, window["kept_doc_id"], window["kept_start"]])
-    return [(places[first][0], places[last][1], *kept) for first, last, *kept in out]
+    return [(words[first][0], words[last][1], *kept) for first, last, *kept in out]
 
 
 def united(units: list[tuple], found: list[tuple]) -> list[tuple]:
@@ -212,19 +333,18 @@ def united(units: list[tuple], found: list[tuple]) -> list[tuple]:
     return sorted(out)
 
 
-def spans(found: list[dict], min_words: int) -> list[tuple[int, int, int, int]]:
+def spans(text: str, found: list[dict], min_words: int) -> list[tuple[int, int, int, int]]:
     """Runs of neighbouring repeated units with enough words, as (start, stop, kept_doc_id,
-    kept_start) of each unit in them."""
-    out, run = [], []
-    for unit in sorted(found, key=lambda u: u["number"]):
-        if run and unit["number"] != run[-1]["number"] + 1:
-            if sum(u["words"] for u in run) >= min_words:
-                out.extend(run)
-            run = []
-        run.append(unit)
-    if sum(u["words"] for u in run) >= min_words:
-        out.extend(run)
-    return [(u["start"], u["stop"], u["kept_doc_id"], u["kept_start"]) for u in out]
+    kept_start) of each unit in them. Units are neighbours without words between them."""
+    out, run, words = [], [], 0
+    for unit in sorted(found, key=lambda u: u["start"]):
+        stop = unit["start"] + (unit["info"] >> 32)
+        if run and WORD.search(text, run[-1][1], unit["start"]):
+            out.extend(run if words >= min_words else [])
+            run, words = [], 0
+        run.append((unit["start"], stop, unit["kept_doc_id"], unit["kept_start"]))
+        words += unit["info"] & 0xFFFFFFFF
+    return out + (run if words >= min_words else [])
 
 
 def without(text: str, removed: list[tuple[int, int, int, int]]) -> str:
@@ -243,32 +363,39 @@ def without(text: str, removed: list[tuple[int, int, int, int]]) -> str:
     return "".join(parts)
 
 
+def one_found() -> F.Column:
+    return F.struct("start", "info", "kept_doc_id", "kept_start")
+
+
 def deduplicate(docs: DataFrame, min_words: int = 8, passage_words: int = 0,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` with their text cut down, plus ``removed``: the spans of the
     original text that went, with the document and offset of the kept occurrence;
     for the parts of a passage, those of its first window."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    repeats = (repeated_units(slim.filter("doc_id IS NOT NULL"))
-               .groupBy("doc_id")
-               .agg(F.collect_list(F.struct("start", "stop", "words", "number", "kept_doc_id",
-                                            "kept_start")).alias("found")))
-    windows = (repeated_windows(slim.filter("doc_id IS NOT NULL AND text IS NOT NULL"), passage_words)
-               if passage_words else None)
+    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
+        "doc_id IS NOT NULL AND text IS NOT NULL")
+    units_found = repeated_units(slim)
+    found = units_found.withColumn("whole", F.lit(False))
+    if passage_words:
+        found = found.unionByName(repeated_windows(slim, units_found, passage_words, min_words)
+                                  .withColumn("whole", F.lit(True)))
+    cuts = stored(found.groupBy(*KEY).agg(
+        F.collect_list(F.when(~F.col("whole"), one_found())).alias("found"),
+        F.collect_list(F.when(F.col("whole"), one_found())).alias("windows")), "cuts")
+
     rest = [c for c in docs.columns if c not in (id_col, text_col)]
     names = {c: f"c{i}_kept" for i, c in enumerate(rest)}
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                        *(F.col(f"`{c}`").alias(names[c]) for c in rest))
-    joined = rows.join(repeats, "doc_id", "left")
-    joined = (joined.join(windows, "doc_id", "left") if passage_words
-              else joined.withColumn("windows", F.lit(None)))
-    joined = joined.select("doc_id", "text", "found", "windows", *names.values())
+    # only texts that may have a cut move to it
+    touched, others = split_by_tag(rows, cuts)
+    joined = touched.join(cuts, KEY, "left").select("doc_id", "text", "found", "windows", *names.values())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             texts, removed = [], []
             for text, found, seen in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                gone = spans(found or [], min_words) if text else []
+                gone = spans(text, found, min_words) if text and found else []
                 if text and seen:
                     gone = united(gone, passages(text, seen, passage_words))
                 texts.append(without(text, gone) if gone else text)
@@ -281,8 +408,10 @@ def deduplicate(docs: DataFrame, min_words: int = 8, passage_words: int = 0,
                  *batch.columns[4:]], ["doc_id", "text", "removed", *names.values()])
 
     kinds = dict(rows.dtypes)
-    out = joined.mapInArrow(run, ", ".join(
+    cut = joined.mapInArrow(run, ", ".join(
         ["doc_id long", "text string", f"removed {REMOVED}",
          *(f"{name} {kinds[name]}" for name in names.values())]))
+    whole = others.select("doc_id", "text", F.array().cast(REMOVED).alias("removed"), *names.values())
+    out = cut.unionByName(whole)
     back = {id_col: "doc_id", text_col: "text"} | names
     return out.select(*(F.col(back[c]).alias(c) for c in docs.columns), F.col("removed"))

@@ -8,7 +8,7 @@ import pytest
 from farelens.llm import line_dedup, ngram_join
 from farelens.llm.components import components
 from farelens.llm.shingles import shingle_sets
-from farelens.llm.signature_tree import Entry, bitmap, build, reached
+from farelens.llm.signature_tree import WIDE, Entry, bitmap, build, reached
 from tests.llm import data
 
 SCHEMA = "doc_id BIGINT, text STRING, n BIGINT, component STRING"
@@ -91,6 +91,38 @@ def test_trees_keep_every_pair_that_links():
     assert all(name % 2 == 0 and component == 1 for name, component in found_)
 
 
+def test_wide_bitmaps_tell_texts_with_one_common_passage_apart():
+    """None of them links; the pairs that the bounds leave do not grow with the square."""
+    rng = np.random.default_rng(9)
+    passage = rng.integers(0, 1 << 63, 90, dtype=np.uint64)
+    for count in (128, 256, 512):
+        sets = [np.unique(np.concatenate([passage, rng.integers(0, 1 << 63, 60, dtype=np.uint64)]))
+                for _ in range(count)]
+        entries = []
+        for i, own in enumerate(sets):
+            bits = bitmap(own, WIDE)
+            entries.append(Entry(i, i, len(own), int.from_bytes(bits, "little"), 8 * len(bits)))
+        left = list(reached(build(entries), None, {i: 1 for i in range(count)}, 75))
+        assert len(left) <= count / 8
+
+
+def test_join_of_texts_with_one_common_passage(spark, monkeypatch):
+    """A list of many components, in wide bitmaps and in blocks; some of its texts link."""
+    monkeypatch.setattr(ngram_join, "BLOCK", 16)
+    rng = random.Random(8)
+    word = lambda: f"w{rng.randrange(10_000)}"
+    passage = [word() for _ in range(60)]
+    texts = {}
+    for i in range(70):
+        own = [word() for _ in range(40)]
+        texts[i] = " ".join(passage + own)
+        if i % 10 == 0:
+            texts[100 + i] = " ".join(passage + own[:-1] + [word()])
+    tables = {t.name for t in spark.catalog.listTables()}
+    assert found(ngram_join.near_duplicates(docs(spark, texts))) == data.components(texts)
+    assert {t.name for t in spark.catalog.listTables()} == tables
+
+
 def test_components_of_chains_and_stars(spark):
     links = [(i, i + 1) for i in range(20)] + [(100, i) for i in range(101, 140)] + [(7, 7), (200, 199)]
     got = {r.id: r.component for r in components(
@@ -177,3 +209,67 @@ def test_dedup_of_nothing(spark):
                                "doc_id BIGINT, text STRING")
     rows = {r.doc_id: r.text for r in line_dedup.deduplicate(df).collect()}
     assert rows == {1: None, 2: "", 3: same, 4: "", None: same}
+
+
+def test_dedup_keeps_what_only_one_text_of_an_id_has(spark):
+    """Two texts of one doc_id: what is repeated in one is not cut out of the other."""
+    line = "This whole sentence of many words stands in both documents here."
+    first = f"{line} And here goes something that nobody else has said so far."
+    other = "Some words that are the opening. And more of it follows after that first part of the text."
+    rows = [(1, line), (2, first), (2, other), (2, first), (None, line)]
+    got = sorted((str(r.doc_id), r.text.strip()) for r in line_dedup.deduplicate(
+        spark.createDataFrame(rows, "doc_id BIGINT, text STRING"), passage_words=50).collect())
+    cut = "And here goes something that nobody else has said so far."
+    assert got == sorted([("1", line), ("2", cut), ("2", cut), ("2", other), ("None", line)])
+
+
+def brute_passages(texts, size, units_gone):
+    """Spans of all windows of ``size`` words that stand earlier, and the units' spans."""
+    first, out = {}, {}
+    for i in sorted(texts):
+        words = [(m.group().lower(), *m.span()) for m in line_dedup.WORD.finditer(texts[i] or "")]
+        gone = [False] * len(texts[i] or "")
+        for at in range(len(words) - size + 1):
+            window = tuple(w[0] for w in words[at:at + size])
+            if first.setdefault(window, (i, at)) != (i, at):
+                gone[words[at][1]:words[at + size - 1][2]] = [True] * (words[at + size - 1][2] - words[at][1])
+        for start, stop in units_gone[i]:
+            gone[start:stop] = [True] * (stop - start)
+        out[i] = gone
+    return out
+
+
+def test_units_and_passages_together_equal_brute_force(spark):
+    """As registered, where passages overlap units that go and stand across line ends; with
+    one very long text."""
+    rng = random.Random(17)
+    texts = dict(enumerate(data.random_texts(80, 18)))
+    long = [t for t in texts.values() if t and len(t.split()) > 70]
+    for i in range(200, 230):
+        one = rng.choice(long).split(" ")
+        at = rng.randrange(max(1, len(one) - 60))
+        texts[i] = " ".join(["own" + str(i), "words,", *one[at:at + rng.randrange(40, 70)], "end", f"x{i}."])
+    texts[300] = " ".join(f"w{rng.randrange(9000)}" for _ in range(60_000)) + " " + rng.choice(long)
+    rows = line_dedup.deduplicate(docs(spark, texts).repartition(3), passage_words=50).collect()
+    wanted = brute_passages(texts, 50, brute_dedup(texts))
+    seen = 0
+    for row in rows:
+        gone = [False] * len(texts[row.doc_id] or "")
+        for r in row.removed:
+            gone[r.start:r.stop] = [True] * (r.stop - r.start)
+        # what stands between words that go may stay
+        words = [m.span() for m in line_dedup.WORD.finditer(texts[row.doc_id] or "")]
+        assert [gone[a:b] for a, b in words] == [wanted[row.doc_id][a:b] for a, b in words], row.doc_id
+        seen += any(gone)
+    assert seen > 30
+
+
+@pytest.mark.parametrize("ids", [[0, 5, 1 << 40, -3, -(1 << 62), (1 << 63) - 1, -(1 << 63)]])
+def test_places_are_in_order(ids):
+    rng = random.Random(1)
+    parts = [(i, rng.randrange(1 << 31), rng.randrange(1 << 31)) for i in ids for _ in range(5)]
+    columns = [np.array(c) for c in zip(*parts)]
+    packed = line_dedup.places(*columns)
+    assert [tuple(p) for p in zip(*(c.tolist() for c in line_dedup.parts_of(packed)))] == parts
+    assert [p for _, p in sorted(zip(packed.to_pylist(), parts))] == sorted(parts)
+    assert [tuple(p) for p in zip(*(c.tolist() for c in line_dedup.parts_of(packed.slice(3, 4))))] == parts[3:7]
