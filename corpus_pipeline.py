@@ -10,7 +10,8 @@ columns of ``documents``; the last returns the packing of what is left:
 - best-fit packing: sequences of at most 2048 tokens.
 
 ``run`` writes every stage's rows as Parquet in the shared folder and reads them
-again for the next. Rows without doc_id cannot be told apart and go in the first stage.
+again for the next. Before the first, rows without doc_id get a negative one made of their
+text, and of rows that share doc_id and text one stays.
 """
 
 from __future__ import annotations
@@ -23,9 +24,22 @@ from farelens.llm import langid, line_dedup, ngram_join, packing
 from farelens.llm.common import read, stored
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """Every (doc_id, text) once. Only ids and digests are counted; texts move only for the
+    ids that have some text repeatedly."""
+    columns = docs.columns
+    own = -F.shiftrightunsigned(F.xxhash64("text"), 1) - 1
+    keyed = docs.withColumn("doc_id", F.coalesce("doc_id", own)).select(*columns)
+    repeated = stored(keyed.groupBy("doc_id", F.xxhash64("text").alias("digest")).count()
+                      .filter("count > 1").select("doc_id").distinct(), "pipeline-repeated")
+    once = keyed.join(repeated, "doc_id", "left_anti").select(*columns)
+    again = keyed.join(repeated, "doc_id", "left_semi").dropDuplicates(["doc_id", "text"]).select(*columns)
+    return once.unionByName(again)
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps every row whose text has a language."""
-    return langid.with_language(docs.filter("doc_id IS NOT NULL"), into=None)
+    """Keeps every row whose text has a language, rows that share doc_id and text once."""
+    return langid.with_language(one_of_each(docs), into=None)
 
 
 def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
