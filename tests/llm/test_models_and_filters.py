@@ -242,3 +242,79 @@ def test_query_equals_sql(spark, medium, name):
 def test_all_ten_are_registered():
     numbers = {re.match(r"op(\d+)_", name)[1] for name in entry.queries() if name.startswith("op")}
     assert numbers == {str(n) for n in range(1, 11)} and "pipeline" in entry.queries()
+
+
+def brute_languages(rows):
+    """(language, score) of each text, from plain counts over all training rows."""
+    import math
+    import re
+
+    letters = re.compile(r"[^\W\d_]+")
+    counts: dict = {}
+    for doc_id, text, lang in rows:
+        if text and lang and doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5:
+            counts.setdefault(lang, Counter()).update(letters.findall(text.lower()))
+    languages = sorted(counts)
+    tables = [{}, {}, {}, {}, {}]
+    for lang in languages:
+        for word, n in counts[lang].items():
+            if n > 1:
+                tables[0].setdefault(word, Counter())[lang] += n
+            for size in range(1, 5):
+                marked = f"<{word}>" if size > 1 else word
+                for at in range(len(marked) - size + 1):
+                    tables[size].setdefault(marked[at:at + size], Counter())[lang] += n
+    sums = [{lang: sum(c[lang] for c in table.values()) for lang in languages} for table in tables]
+
+    def logs(gram, size):
+        return [math.log((tables[size][gram][lang] + 0.5) / (sums[size][lang] + 0.5 * len(tables[size])))
+                for lang in languages]
+
+    def of_gram(gram, size):
+        if gram in tables[size]:
+            return logs(gram, size)
+        if size == 1:
+            return [0.0] * len(languages)
+        return [(a + b) / 2 for a, b in zip(of_gram(gram[:-1], size - 1), of_gram(gram[1:], size - 1))]
+
+    def of_word(word):
+        if word in tables[0]:
+            return logs(word, 0)
+        size = min(4, len(word) + 2)
+        marked = f"<{word}>" if size > 1 else word
+        parts = [of_gram(marked[at:at + size], size) for at in range(len(marked) - size + 1)]
+        return [sum(p) for p in zip(*parts)]
+
+    out = {}
+    for doc_id, text, _ in rows:
+        words = letters.findall((text or "").lower())
+        if not words:
+            out[doc_id] = "und", 0.0
+            continue
+        total = [sum(p) for p in zip(*map(of_word, words))]
+        best = max(range(len(languages)), key=lambda i: (total[i], -i))
+        out[doc_id] = languages[best], 1 / sum(math.exp((t - total[best]) / len(words)) for t in total)
+    return out
+
+
+def test_language_id_equals_brute_force(spark):
+    """Predictions and scores, with one very long text."""
+    import random
+
+    rng = random.Random(21)
+    sounds = {"aa": "abcdé", "bb": "cdefgü", "cc": "efghñ"}
+    rows = []
+    for i in range(150):
+        lang = rng.choice(sorted(sounds))
+        text = " ".join("".join(rng.choice(sounds[lang]) for _ in range(rng.randint(1, 6)))
+                        for _ in range(rng.randint(1, 40)))
+        rows.append((i, text.capitalize() + rng.choice([".", " 12!", "\n"]), rng.choice([lang, lang, None])))
+    rows += [(500, None, "aa"), (501, " 1 ", "bb"), (502, " ".join(r[1] for r in rows) * 20, None)]
+    df = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, lang STRING")
+    wanted = brute_languages(rows)
+    for row in langid.identify(df.repartition(3)).collect():
+        lang, score = wanted[row.doc_id]
+        assert row.lang_pred == lang and abs(row.score - score) < 1e-4, row
+    kept = {r.doc_id: (r.lang_pred, r.score) for r in langid.with_language(df).collect()}
+    assert set(kept) == {i for i, (lang, _) in wanted.items() if lang != "und"}
+    assert all(kept[i][0] == wanted[i][0] and abs(kept[i][1] - wanted[i][1]) < 1e-4 for i in kept)
