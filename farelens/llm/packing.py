@@ -6,13 +6,14 @@ sum of the squared counts of open sequences with that residual gap becomes small
 pieces after a shorter first one; full pieces need no company.
 
 The work is split in groups of documents by a hash of their id, each packed in one
-task with one counter per gap. What a group leaves in sequences that are not full is
-unpacked, counted over all groups, dealt anew to as many groups as that count needs,
-and packed again. That ends with one group, or as soon as a level passes on more than
-half of what it got (long documents or copies that leave the same gap, which no
-company fills): then every group of the next level closes its own by best fit. So a
-group is of ``docs_per_group`` documents at every level, as evenly as a hash deals
-them, and all levels together see each document about three times at most.
+task, longest first, with one counter per gap. Sequences stay as they are but for a
+group's emptiest twentieth: that is unpacked, counted over all groups, dealt anew to as
+many groups as that count needs, and packed again. It ends with one group, or as soon
+as a level passes on more than half of what it got (groups of few sequences): then
+every group of the next level closes its own. Closing refills the emptiest twentieth by
+best fit, where that needs fewer sequences. So a group is of ``docs_per_group`` documents
+at every level, as evenly as a hash deals them, and all levels together see each
+document about three times at most.
 
 Defined cases: null text counts as empty and still takes its end token; repeated
 rows, also of one doc_id, are packed each; columns other than the id and the text
@@ -37,6 +38,8 @@ from farelens.llm.bpe import ByteVocabulary, Encoder, byte_letters
 from farelens.llm.common import pieces_of, stored
 
 DOCS_PER_GROUP = 60_000
+#: What part of a group's sequences is unpacked, the emptiest first, and how many at least.
+LOOSE_SHARE, LOOSE_LEAST = 0.05, 100
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, copy long"
 PLACED = f"{PIECES}, level int, grp long, bin long, offset long, done boolean"
 
@@ -150,21 +153,21 @@ def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
 def pack_items(lengths: np.ndarray, capacity: int, last: bool) -> tuple[np.ndarray, np.ndarray]:
     """The bin of each item, and which items stay in it.
 
-    The shortest twentieth waits while sum-of-squares takes the others in a mixed
-    order. Items of bins that are not full, and those that wait, go on to the next
-    level; a group of the last level closes with best fit over them.
+    Sum-of-squares takes the items longest first. Those of the emptiest bins go on to the
+    next level; a group of the last level refills these bins with best fit.
     """
-    mixed = np.random.default_rng(len(lengths)).permutation(len(lengths))
-    waits = np.zeros(len(lengths), bool)
-    waits[np.argsort(lengths, kind="stable")[:len(lengths) // 20]] = True
-    taken = mixed[~waits[mixed]]
-    bins = np.full(len(lengths), -1, np.int64)
-    bins[taken], fills = sum_of_squares(lengths[taken], capacity)
-    done = ~waits
-    done[taken] = fills[bins[taken]] == capacity
+    order = np.argsort(-lengths, kind="stable")
+    bins = np.empty(len(lengths), np.int64)
+    bins[order], fills = sum_of_squares(lengths[order], capacity)
+    emptiest = np.argsort(fills, kind="stable")[:max(LOOSE_LEAST, math.ceil(len(fills) * LOOSE_SHARE))]
+    loose = np.zeros(len(fills), bool)
+    loose[emptiest] = fills[emptiest] < capacity
+    done = ~loose[bins]
     if last:
         rest = np.flatnonzero(~done)
-        bins[rest] = len(fills) + best_fit(lengths[rest], capacity)
+        again = best_fit(lengths[rest], capacity)
+        if len(rest) and again.max() + 1 < np.count_nonzero(loose):
+            bins[rest] = len(fills) + again
         done[:] = True
     return bins, done
 

@@ -160,6 +160,26 @@ def test_packing_keeps_every_group_bounded(spark, mix):
     assert len(fills) <= (packing.best_fit(lengths, 2048).max() + 1) * 1.02
 
 
+@pytest.mark.parametrize("scale, placed, above_bound", [("sf0.01", 0.65, 2), ("sf0.1", 0.9, 0)])
+def test_sum_of_squares_places_most_documents(library, scale, placed, above_bound):
+    """How many keep the place that sum-of-squares gave them, and that no fewer sequences
+    could hold them all, give or take what a small table's end leaves."""
+    import pyarrow.parquet as pq
+    texts = pq.read_table(f"/root/testdata/{scale}/documents.parquet", columns=["text"])["text"].to_pylist()
+    sizes = np.array([len(found.ids) + 1 for found in library.encode_batch(
+        [t or "" for t in texts], add_special_tokens=False)])
+    lengths = sizes % 2048
+    lengths = lengths[lengths > 0]
+    order = np.argsort(-lengths, kind="stable")
+    first = np.empty(len(lengths), np.int64)
+    first[order], fills = packing.sum_of_squares(lengths[order], 2048)
+    bins, done = packing.pack_items(lengths, 2048, True)
+    assert done.all() and np.mean(bins == first) >= placed
+    assert len(np.unique(bins)) <= -(-int(lengths.sum()) // 2048) + above_bound
+    stays = packing.pack_items(lengths, 2048, False)[1]
+    assert (bins[stays] == first[stays]).all()
+
+
 def test_packing_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id BIGINT, text STRING")
     assert packing.packed_documents(empty, public_tokenizers.path("byte_bpe_50k.json")).collect() == []
