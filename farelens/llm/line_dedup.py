@@ -1,12 +1,13 @@
 """Substring dedup by hashing of lines and the sentences in them.
 
 Every text is cut into units: at line ends, and inside lines after ``. ! ?`` before
-a blank, so that a repeated passage is found wherever in a line it stands. A unit is
+a blank, so that a repeated passage is found wherever in a line it stands; a line of less
+than ``min_words`` words is one unit. A unit is
 normalised (lower case, letters and digits only, single blanks) and hashed to 96
 bits. All documents' units are grouped by digest; the occurrence with the smallest
-(doc_id, start) is kept. The others are removed where they form runs of at least
-``min_words`` words of neighbouring repeated units; shorter runs, such as single
-words that happen to be sentences, stay. Offsets are those of the original text.
+(doc_id, start) is kept. The others are removed where they are whole lines or form runs of
+at least ``min_words`` words of neighbouring repeated units; shorter runs inside lines, such
+as single words that happen to be sentences, stay. Offsets are those of the original text.
 
 With ``passage_words``, also every passage of at least that many words goes that occurs
 earlier, in order of (doc_id, start), wherever it begins and ends in either text. Such a
@@ -40,7 +41,8 @@ from pyspark.sql import functions as F
 
 from farelens.llm.common import BoundedCache, discard, pieces_of, stored, written
 
-UNIT = re.compile(r"[^\n]+?(?:[.!?](?=\s)|(?=\n)|\Z)")
+LINE = re.compile(r"[^\n]+")
+SENTENCE = re.compile(r".+?(?:[.!?](?=\s)|\Z)", re.DOTALL)
 WORD = re.compile(r"[^\W_]+")
 REMOVED = "array<struct<start:int,stop:int,kept_doc_id:bigint,kept_start:int>>"
 PLACE = "decimal(38,0)"
@@ -100,18 +102,19 @@ class Sieve:
         return rows.mapInArrow(run, rows.schema)
 
 
-def units(text: str) -> list[tuple[int, int, int, bytes]]:
+def units(text: str, min_words: int = 8) -> list[tuple[int, int, int, bytes]]:
     """Start, stop, words and digest of every unit that has words."""
     out = []
-    for match in UNIT.finditer(text):
-        words = WORD.findall(match.group().lower())
-        if words:
-            out.append((*match.span(), len(words),
-                        blake2b(" ".join(words).encode(), digest_size=12).digest()))
+    for line in LINE.finditer(text):
+        found = [(*m.span(), WORD.findall(m.group().lower())) for m in SENTENCE.finditer(text, *line.span())]
+        if sum(len(words) for *_, words in found) < min_words:
+            found = [(*line.span(), [word for *_, words in found for word in words])]
+        out += [(start, stop, len(words), blake2b(" ".join(words).encode(), digest_size=12).digest())
+                for start, stop, words in found if words]
     return out
 
 
-def unit_table(docs: DataFrame) -> DataFrame:
+def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
     """hi, lo (the digest), place, and info (length * 2**32 + words) of every unit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,7 +122,7 @@ def unit_table(docs: DataFrame) -> DataFrame:
             ids, own_tags, starts, info, digests = [], [], [], [], []
             texts = batch.column(1).to_pylist()
             for doc_id, tag, text in zip(batch.column(0).to_pylist(), tags(texts).tolist(), texts):
-                for start, stop, words, digest in units(text):
+                for start, stop, words, digest in units(text, min_words):
                     ids.append(doc_id)
                     own_tags.append(tag)
                     starts.append(start)
@@ -157,10 +160,10 @@ def by_document(found: DataFrame) -> DataFrame:
         run, "doc_id long, tag long, start int, info long, kept_doc_id long, kept_start int")
 
 
-def repeated_units(docs: DataFrame) -> DataFrame:
+def repeated_units(docs: DataFrame, min_words: int) -> DataFrame:
     """doc_id, tag, start, info, kept_doc_id and kept_start of every unit that is not the
     kept occurrence of its digest."""
-    table, path = written(unit_table(docs), "units")
+    table, path = written(unit_table(docs, min_words), "units")
     shared = kept_places(table, ["hi", "lo"], "shared-units")
     met = Sieve(shared, "hi").let_through(table, "hi").join(shared, ["hi", "lo"]).filter("place > kept").distinct()
     out = stored(by_document(met), "repeated-units")
@@ -334,17 +337,22 @@ def united(units: list[tuple], found: list[tuple]) -> list[tuple]:
 
 
 def spans(text: str, found: list[dict], min_words: int) -> list[tuple[int, int, int, int]]:
-    """Runs of neighbouring repeated units with enough words, as (start, stop, kept_doc_id,
-    kept_start) of each unit in them. Units are neighbours without words between them."""
+    """Whole lines, and runs of neighbouring repeated units with enough words, as (start, stop,
+    kept_doc_id, kept_start) of each unit. Units are neighbours without words between them."""
     out, run, words = [], [], 0
+
+    def that_go() -> list[tuple[int, int, int, int]]:
+        return run if words >= min_words else [
+            unit for unit in run if text[unit[0] - 1:unit[0]] in ("", "\n") and text[unit[1]:unit[1] + 1] in ("", "\n")]
+
     for unit in sorted(found, key=lambda u: u["start"]):
         stop = unit["start"] + (unit["info"] >> 32)
         if run and WORD.search(text, run[-1][1], unit["start"]):
-            out.extend(run if words >= min_words else [])
+            out.extend(that_go())
             run, words = [], 0
         run.append((unit["start"], stop, unit["kept_doc_id"], unit["kept_start"]))
         words += unit["info"] & 0xFFFFFFFF
-    return out + (run if words >= min_words else [])
+    return out + that_go()
 
 
 def without(text: str, removed: list[tuple[int, int, int, int]]) -> str:
@@ -374,7 +382,7 @@ def deduplicate(docs: DataFrame, min_words: int = 8, passage_words: int = 0,
     for the parts of a passage, those of its first window."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter(
         "doc_id IS NOT NULL AND text IS NOT NULL")
-    units_found = repeated_units(slim)
+    units_found = repeated_units(slim, min_words)
     found = units_found.withColumn("whole", F.lit(False))
     if passage_words:
         found = found.unionByName(repeated_windows(slim, units_found, passage_words, min_words)

@@ -1,6 +1,7 @@
 """N-gram join, signature trees, components and substring dedup against brute force."""
 
 import random
+import re
 
 import numpy as np
 import pytest
@@ -141,8 +142,9 @@ def brute_dedup(texts, min_words=8):
             if digest is not None and first[digest] != (i, start):
                 run.append((start, stop, words))
                 continue
-            if sum(r[2] for r in run) >= min_words:
-                gone += [r[:2] for r in run]
+            enough = sum(r[2] for r in run) >= min_words
+            lines = [m.span() for m in re.finditer(r"[^\n]+", text or "")]
+            gone += [r[:2] for r in run if enough or r[:2] in lines]
             run = []
         out[i] = gone
     return out
@@ -175,6 +177,18 @@ def test_dedup_finds_a_passage_inside_lines(spark):
         "The first part of it goes here.", "Then comes a second part with many more words!", "And a third."]
 
 
+def test_dedup_removes_later_whole_lines_of_any_length(spark):
+    texts = {1: "All rights reserved.\nThis opening line belongs to the first document alone, yes.\nStop. Go.",
+             2: "Another opening line that stands in the second document and nowhere else.\n  all rights reserved \nStop.",
+             3: "stop... GO\nMy words. Stop. Go. These are the words of the third document itself.\n\nStop.\nGo. Stop.",
+             4: "All rights reserved."}
+    rows = {r.doc_id: r.text for r in line_dedup.deduplicate(docs(spark, texts).repartition(2)).collect()}
+    assert rows == {
+        1: texts[1], 4: "",
+        2: "Another opening line that stands in the second document and nowhere else.\nStop.",
+        3: "My words. Stop. Go. These are the words of the third document itself.\n\nGo. Stop."}
+
+
 def test_dedup_finds_passages_wherever_they_stand(spark):
     """Planted in the middle of sentences, against all windows of 50 words."""
     rng = random.Random(3)
