@@ -12,9 +12,10 @@ are left out before a left word's total and kinds are taken, so each model sums
 one; they fall back to single words with the mass that Witten and Bell give them.
 
 No model is held whole anywhere. Documents are dealt to chunks of some million words.
-A chunk sends each of its words and pairs once, with its own counts, and gets the
-counts over all chunks back by equi-joins, so a word or pair has at most one row for
-each chunk, however common it is.
+A chunk sends each of its words and pairs once, with its own counts, so a word or pair has
+at most one row for each chunk, however common it is. Words get their counts over all
+chunks back by an equi-join. The rows of a pair are shuffled to one place, get the
+sum over them there, and only those of stored pairs go on, back to their chunks.
 
 Defined cases: a null or wordless text has no tokens and null losses and score; a
 document whose label is missing or not the target's is background only; the
@@ -31,7 +32,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from farelens.llm.common import pieces_of, stored
@@ -155,6 +156,15 @@ def summed(rows: DataFrame, *key: str) -> DataFrame:
         F.col("b") + F.col("t") >= LEAST)
 
 
+def with_sums(own: DataFrame) -> DataFrame:
+    """chunk, l, r, b and t of a chunk's pairs with the counts over all chunks, where these
+    are stored, and ``first``: true for one row of each pair."""
+    pair = Window.partitionBy("l", "r")
+    return own.select(
+        "chunk", "l", "r", F.sum("b").over(pair).alias("b"), F.sum("t").over(pair).alias("t"),
+        (F.col("chunk") == F.min("chunk").over(pair)).alias("first")).filter(F.col("b") + F.col("t") >= LEAST)
+
+
 class Model:
     """Probabilities of a chunk's words and of words after words under one set of counts.
 
@@ -233,9 +243,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     kept = words.agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.count("*").alias("n")).first()
     total = {m: whole[m] or 0 for m in "bt"}
 
-    own = stored(pair_counts(texts, uses.join(words.select("word", "number"), "word")), "lm-own-pairs")
-    pairs = stored(summed(own, "l", "r"), "lm-pairs")
-    lefts = stored(pairs.groupBy("l").agg(
+    pairs = stored(with_sums(pair_counts(texts, uses.join(words.select("word", "number"), "word"))), "lm-pairs")
+    lefts = stored(pairs.filter("first").groupBy("l").agg(
         F.sum("b").alias("ab"), F.sum("t").alias("at"), F.count_if(F.col("b") > 0).alias("kb"),
         F.count_if(F.col("t") > 0).alias("kt")), "lm-lefts")
 
@@ -249,9 +258,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
         "word", "l", "b", "t", *sums)
     none = F.lit(None).cast("long")
     facts = uses.select("chunk", "word").join(known, "word").withColumn("r", none).unionByName(
-        own.select("chunk", "l", "r").join(pairs, ["l", "r"])
-        .select("chunk", F.lit(None).cast("string").alias("word"), "l", "r", "b", "t",
-                *(none.alias(c) for c in ("ab", "at", "kb", "kt"))))
+        pairs.select("chunk", F.lit(None).cast("string").alias("word"), "l", "r", "b", "t",
+                     *(none.alias(c) for c in ("ab", "at", "kb", "kt"))))
     return texts.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(
         facts.groupBy("chunk")).applyInArrow(
         scorer(total, kept["n"] + 2, ends),
