@@ -58,7 +58,7 @@ class LibraryIds(Encoder):
                 part.encode().decode("latin-1").translate(letters))],
             # a worker that waits for its next task holds these: fewer than for op6, whose own
             # merges cost more than the library's; words are found whole before their parts
-            limits=(50_000, 100_000, 10_000))
+            limits=(50_000, 160_000, 10_000))
 
     def join(self, forms):
         return b"".join(forms)
