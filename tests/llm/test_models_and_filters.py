@@ -163,6 +163,37 @@ def test_fingerprints(spark):
         assert 0 <= row.near_next <= 1 and len(row.fingerprint) == 130
 
 
+def plain_digest(text):
+    """Length byte and quartiles of the triplets' buckets, one number at a time."""
+    data = list(text.encode())
+    size = len(data)
+    buckets = [0] * 256
+    padded = data + [0] * (3 - size)
+    for one, two, three in zip(padded, padded[1:], padded[2:]) if size else ():
+        mixed = (one * 2654435761 + two * 2246822519 + three * 3266489917) % 2 ** 32
+        buckets[(mixed ^ mixed // 2 ** 15) * 668265263 % 2 ** 32 // 2 ** 24] += 1
+    ranked = sorted(buckets)
+    quartiles = [sum(count > ranked[place] for place in (63, 127, 191)) for count in buckets]
+    return min(255, round(12 * math.log2(size + 1))), quartiles
+
+
+def plain_likeness(text, other):
+    (length, mine), (other_length, theirs) = plain_digest(text), plain_digest(other)
+    steps = sum({0: 0, 1: 1, 2: 2, 3: 6}[abs(a - b)] for a, b in zip(mine, theirs))
+    return 1 - (steps + min(64, abs(length - other_length))) / (6 * 256 + 64)
+
+
+def test_digest_and_likeness_equal_a_plain_count():
+    texts = ["", "a", "ab", "abc", "日本語", "\0\0\0", "word " * 30_000, *[t for t in data.random_texts(40, 21) if t]]
+    for text, other in zip(texts, texts[1:] + texts[:1]):
+        length, quartiles = plain_digest(text)
+        digits = "".join("0123"[q] for q in quartiles)
+        written = fingerprint.digest(fingerprint.codes(text))
+        assert written == f"{length:02x}" + f"{int(digits, 4):0128x}"
+        found = fingerprint.likeness(fingerprint.codes(text), fingerprint.codes(other))
+        assert found == pytest.approx(plain_likeness(text, other), abs=1e-12)
+
+
 def test_fingerprints_of_one_and_of_repeated_rows(spark):
     one = spark.createDataFrame([(4, "some text")], "doc_id BIGINT, text STRING")
     assert [r.near_next for r in fingerprint.fingerprints(one).collect()] == [1.0]
