@@ -32,6 +32,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from functools import cache
 from hashlib import blake2b
 
 import numpy as np
@@ -39,11 +40,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from farelens.llm.common import BoundedCache, discard, pieces_of, stored, written
+from farelens.llm.common import discard, pieces_of, stored, written
 
-LINE = re.compile(r"[^\n]+")
-SENTENCE = re.compile(r".+?(?:[.!?](?=\s)|\Z)", re.DOTALL)
 WORD = re.compile(r"[^\W_]+")
+CODES = 0x110000
+#: Characters hashed at once, so that a very long text needs little memory beside its own.
+AT_ONCE = 1 << 20
 REMOVED = "array<struct<start:int,stop:int,kept_doc_id:bigint,kept_start:int>>"
 PLACE = "decimal(38,0)"
 HALF = np.uint64((1 << 31) - 1)
@@ -102,16 +104,109 @@ class Sieve:
         return rows.mapInArrow(run, rows.schema)
 
 
-def units(text: str, min_words: int = 8) -> list[tuple[int, int, int, bytes]]:
+def mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ x >> np.uint64(31)
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ x >> np.uint64(29)
+
+
+@cache
+def character_kinds() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of every code point: whether it is part of a word, whether it is a blank, and a
+    64-bit number."""
+    every = "".join(map(chr, range(CODES)))
+    in_word, blank = np.zeros(CODES, bool), np.zeros(CODES, bool)
+    for pattern, table in ((WORD, in_word), (re.compile(r"\s+"), blank)):
+        for found in pattern.finditer(every):
+            table[slice(*found.span())] = True
+    return in_word, blank, mixed(np.arange(1, CODES + 1, dtype=np.uint64) * np.uint64(BASE))
+
+
+BASE = 0x9E3779B97F4A7C15
+OTHER_BASE = 0xD1342543DE82EF95
+
+
+def powers_of(base: int, count: int) -> tuple[np.ndarray, np.ndarray]:
+    """The first powers of an odd number and of its inverse, modulo 2**64."""
+    if count <= AT_ONCE:
+        return tuple(row[:count] for row in many_powers(base))
+    powers = np.ones((2, count), np.uint64)
+    powers[0, 1:], powers[1, 1:] = base, pow(base, -1, 1 << 64)
+    return tuple(np.multiply.accumulate(powers, axis=1))
+
+
+@cache
+def many_powers(base: int) -> tuple[np.ndarray, np.ndarray]:
+    return tuple(np.concatenate([p[:AT_ONCE], p[-1:]]) for p in powers_of(base, AT_ONCE + 1))
+
+
+def hashes_of_runs(values: np.ndarray, starts: np.ndarray, stops: np.ndarray, base: int) -> np.ndarray:
+    """A 64-bit hash of values[start:stop] for each start and stop, wherever the run stands."""
+    powers, inverses = powers_of(base, len(values) + 1)
+    sums = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers[:-1], out=sums[1:])
+    return mixed((sums[stops] - sums[starts]) * inverses[starts])
+
+
+def codes_of(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Start and stop of every word, and a hash of it in lower case."""
+    in_word, _, numbers = character_kinds()
+    codes = codes_of(text)
+    inside = np.zeros(len(codes) + 2, bool)
+    inside[1:-1] = in_word[codes]
+    ends = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+    lowered, at = text.lower(), ends
+    if len(lowered) != len(text) or "\u03a3" in text:
+        # these letters become two, or another one at the end of a word
+        words = [text[start:stop].lower() for start, stop in ends.tolist()]
+        sizes = np.cumsum([0, *map(len, words)])
+        lowered, at = "".join(words), np.stack([sizes[:-1], sizes[1:]], axis=1)
+    codes = codes_of(lowered)
+    hashes, done = np.empty(len(at), np.uint64), 0
+    while done < len(at):
+        first = at[done, 0]
+        upto = max(done + 1, int(np.searchsorted(at[:, 1], first + AT_ONCE - 1, side="right")))
+        own = at[done:upto] - first
+        hashes[done:upto] = hashes_of_runs(numbers[codes[first:at[upto - 1, 1]]], own[:, 0], own[:, 1], BASE)
+        done = upto
+    return ends, hashes
+
+
+def unit_arrays(text: str, min_words: int) -> tuple[np.ndarray, ...]:
+    """Start, stop, number of words and both parts of the digest of every unit with words."""
+    codes, (_, blank, _) = codes_of(text), character_kinds()
+    ends, hashes = words_of(text)
+    line_ends = np.flatnonzero(codes == 10)
+    starts, stops = np.concatenate([[0], line_ends + 1]), np.concatenate([line_ends, [len(codes)]])
+    marks = np.flatnonzero((codes == 33) | (codes == 46) | (codes == 63))
+    marks = marks[marks + 1 < len(codes)]
+    marks = marks[blank[codes[marks + 1]] & (codes[marks + 1] != 10)]
+    line = np.searchsorted(starts, marks, side="right") - 1
+    sizes = np.searchsorted(ends[:, 0], stops) - np.searchsorted(ends[:, 0], starts)
+    cuts = marks[(marks > starts[line]) & (sizes[line] >= min_words)] + 1
+    starts, stops = np.sort(np.concatenate([starts, cuts])), np.sort(np.concatenate([stops, cuts]))
+    first, last = np.searchsorted(ends[:, 0], starts), np.searchsorted(ends[:, 0], stops)
+    worded = last > first
+    first, last = first[worded], last[worded]
+    low = hashes_of_runs(hashes, first, last, OTHER_BASE) >> np.uint64(32)
+    return (starts[worded], stops[worded], last - first,
+            hashes_of_runs(hashes, first, last, BASE).view(np.int64), low.astype(np.uint32).view(np.int32))
+
+
+def units(text: str, min_words: int = 8) -> list[tuple[int, int, int, tuple[int, int]]]:
     """Start, stop, words and digest of every unit that has words."""
-    out = []
-    for line in LINE.finditer(text):
-        found = [(*m.span(), WORD.findall(m.group().lower())) for m in SENTENCE.finditer(text, *line.span())]
-        if sum(len(words) for *_, words in found) < min_words:
-            found = [(*line.span(), [word for *_, words in found for word in words])]
-        out += [(start, stop, len(words), blake2b(" ".join(words).encode(), digest_size=12).digest())
-                for start, stop, words in found if words]
-    return out
+    return [(start, stop, words, tuple(digest)) for start, stop, words, *digest in zip(
+        *(part.tolist() for part in unit_arrays(text, min_words)))]
+
+
+def joined(texts: list[str]) -> tuple[str, np.ndarray]:
+    """All texts as one, a line end between them, which no word and no unit crosses; and
+    where each starts."""
+    return "\n".join(texts), np.cumsum([0, *(len(text) + 1 for text in texts[:-1])])
 
 
 def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
@@ -119,21 +214,14 @@ def unit_table(docs: DataFrame, min_words: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
-            ids, own_tags, starts, info, digests = [], [], [], [], []
             texts = batch.column(1).to_pylist()
-            for doc_id, tag, text in zip(batch.column(0).to_pylist(), tags(texts).tolist(), texts):
-                for start, stop, words, digest in units(text, min_words):
-                    ids.append(doc_id)
-                    own_tags.append(tag)
-                    starts.append(start)
-                    info.append(stop - start << 32 | words)
-                    digests.append(digest)
-            three = np.frombuffer(b"".join(digests), np.int32).reshape(-1, 3)
-            high = np.ascontiguousarray(three[:, :2]).view(np.int64).ravel()
+            together, offsets = joined(texts)
+            starts, stops, words, high, low = unit_arrays(together, min_words)
+            own = np.searchsorted(offsets, starts, side="right") - 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(high), pa.array(three[:, 2]),
-                 places(np.array(ids, np.int64), np.array(own_tags, np.uint64), np.array(starts, np.uint64)),
-                 pa.array(info, pa.int64())], ["hi", "lo", "place", "info"])
+                [pa.array(high), pa.array(low),
+                 places(batch.column(0).to_numpy()[own], tags(texts)[own], starts - offsets[own]),
+                 pa.array(stops - starts << 32 | words)], ["hi", "lo", "place", "info"])
 
     return docs.select("doc_id", "text").mapInArrow(run, f"hi long, lo int, place {PLACE}, info long")
 
@@ -171,26 +259,10 @@ def repeated_units(docs: DataFrame, min_words: int) -> DataFrame:
     return out
 
 
-def word_hash(word: str) -> int:
-    return int.from_bytes(blake2b(word.lower().encode(), digest_size=8).digest(), "little")
-
-
-BASE = 0x9E3779B97F4A7C15
-INVERSE = pow(BASE, -1, 1 << 64)
-
-
 def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     """A 64-bit hash of every ``size`` neighbouring words, as signed integers."""
-    if len(hashes) < size:
-        return np.zeros(0, np.int64)
-    powers = np.full((2, len(hashes)), 1, np.uint64)
-    powers[0, 1:], powers[1, 1:] = BASE, INVERSE
-    powers = np.multiply.accumulate(powers, axis=1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers[0], dtype=np.uint64)])
-    out = (sums[size:] - sums[:-size]) * powers[1, :len(hashes) - size + 1]
-    out ^= out >> np.uint64(31)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    return (out ^ out >> np.uint64(29)).view(np.int64)
+    starts = np.arange(max(0, len(hashes) - size + 1))
+    return hashes_of_runs(hashes, starts, starts + size, BASE).view(np.int64) if len(starts) else np.zeros(0, np.int64)
 
 
 def winnowed(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,18 +277,16 @@ def winnowed(hashes: np.ndarray, passage_words: int) -> tuple[np.ndarray, np.nda
     return at, grams[at]
 
 
-def hashed_words(text: str | None, known: BoundedCache) -> np.ndarray:
-    return np.array([known[word] for word in WORD.findall(text or "")], np.uint64)
-
-
 def fingerprints(docs: DataFrame, passage_words: int) -> DataFrame:
     """hash, doc_id, tag and at (a word's number) of the fingerprints of every text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = BoundedCache(word_hash)
         for batch in pieces_of(batches):
             texts = batch.column(1).to_pylist()
-            found = [winnowed(hashed_words(text, known), passage_words) for text in texts]
+            together, offsets = joined(texts)
+            ends, hashes = words_of(together)
+            found = [winnowed(own, passage_words) for own in
+                     np.split(hashes, np.searchsorted(ends[:, 0], offsets[1:]))]
             sizes = [len(at) for at, _ in found]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate([h for _, h in found])),
@@ -234,17 +304,16 @@ def windows_near(rows: DataFrame, passage_words: int, min_words: int) -> DataFra
     anyway are left out: wherever such units stand in a row, they go."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = BoundedCache(word_hash)
         back = np.arange(passage_words - passage_words // 2 + 1)
         for batch in pieces_of(batches):
             hashes, ids, own_tags, starts = [], [], [], []
             for doc_id, tag, text, found, near in zip(*(c.to_pylist() for c in batch.columns)):
-                grams = window_hashes(hashed_words(text, known), passage_words)
+                spans_of_words, word_hashes = words_of(text)
+                grams = window_hashes(word_hashes, passage_words)
                 at = np.unique(np.subtract.outer(np.array(near, np.int64), back))
                 at = at[(at >= 0) & (at < len(grams))]
                 if not len(at):
                     continue
-                spans_of_words = np.array([m.span() for m in WORD.finditer(text)], np.int64)
                 gone = spans(text, found or [], min_words)
                 if gone:
                     first = np.array([g[0] for g in gone])
@@ -308,11 +377,11 @@ def repeated_windows(docs: DataFrame, units_found: DataFrame, passage_words: int
 
 def passages(text: str, windows: list[dict], passage_words: int) -> list[tuple[int, int, int, int]]:
     """(start, stop, kept_doc_id, kept_start) of each run of words that repeated windows cover."""
-    words = [m.span() for m in WORD.finditer(text)]
-    number = {start: i for i, (start, _) in enumerate(words)}
+    words = words_of(text)[0].tolist()
+    windows = sorted(windows, key=lambda w: w["start"])
+    numbers = np.searchsorted([start for start, _ in words], [w["start"] for w in windows]).tolist()
     out: list[list[int]] = []
-    for window in sorted(windows, key=lambda w: w["start"]):
-        first = number[window["start"]]
+    for first, window in zip(numbers, windows):
         last = first + passage_words - 1
         if out and first <= out[-1][1] + 1:
             out[-1][1] = last
