@@ -37,6 +37,7 @@ from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,13 +153,16 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
+def ends_of(text: str) -> np.ndarray:
+    """Start and stop of every word."""
+    inside = np.zeros(len(text) + 2, bool)
+    inside[1:-1] = character_kinds()[0][codes_of(text)]
+    return np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+
+
 def words_of(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Start and stop of every word, and a hash of it in lower case."""
-    in_word, _, numbers = character_kinds()
-    codes = codes_of(text)
-    inside = np.zeros(len(codes) + 2, bool)
-    inside[1:-1] = in_word[codes]
-    ends = np.flatnonzero(inside[1:] != inside[:-1]).reshape(-1, 2)
+    ends, numbers = ends_of(text), character_kinds()[2]
     lowered, at = text.lower(), ends
     if len(lowered) != len(text) or "\u03a3" in text:
         # these letters become two, or another one at the end of a word
@@ -375,19 +379,15 @@ def repeated_windows(docs: DataFrame, units_found: DataFrame, passage_words: int
     return out
 
 
-def passages(text: str, windows: list[dict], passage_words: int) -> list[tuple[int, int, int, int]]:
+def passages(text: str, starts: np.ndarray, kept_ids: np.ndarray, kept_starts: np.ndarray,
+             passage_words: int) -> list[tuple[int, int, int, int]]:
     """(start, stop, kept_doc_id, kept_start) of each run of words that repeated windows cover."""
-    words = words_of(text)[0].tolist()
-    windows = sorted(windows, key=lambda w: w["start"])
-    numbers = np.searchsorted([start for start, _ in words], [w["start"] for w in windows]).tolist()
-    out: list[list[int]] = []
-    for first, window in zip(numbers, windows):
-        last = first + passage_words - 1
-        if out and first <= out[-1][1] + 1:
-            out[-1][1] = last
-        else:
-            out.append([first, last, window["kept_doc_id"], window["kept_start"]])
-    return [(words[first][0], words[last][1], *kept) for first, last, *kept in out]
+    ends, order = ends_of(text), np.argsort(starts, kind="stable")
+    first = np.searchsorted(ends[:, 0], starts[order])
+    opens = np.flatnonzero(np.diff(first, prepend=-passage_words - 1) > passage_words)
+    last = first[np.append(opens[1:], len(first)) - 1] + passage_words - 1
+    return list(zip(ends[first[opens], 0].tolist(), ends[last, 1].tolist(),
+                    kept_ids[order[opens]].tolist(), kept_starts[order[opens]].tolist()))
 
 
 def united(units: list[tuple], found: list[tuple]) -> list[tuple]:
@@ -471,10 +471,17 @@ def deduplicate(docs: DataFrame, min_words: int = 8, passage_words: int = 0,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces_of(batches):
             texts, removed = [], []
-            for text, found, seen in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+            # the many windows stay arrays
+            starts, _, kept_ids, kept_starts = (
+                part.to_numpy() for part in batch.column(3).flatten().flatten())
+            upto = np.cumsum(pc.list_value_length(batch.column(3)).fill_null(0).to_numpy()).tolist()
+            for text, found, begin, end in zip(
+                    batch.column(1).to_pylist(), batch.column(2).to_pylist(), [0, *upto], upto):
                 gone = spans(text, found, min_words) if text and found else []
-                if text and seen:
-                    gone = united(gone, passages(text, seen, passage_words))
+                if begin < end:
+                    own = slice(begin, end)
+                    gone = united(gone, passages(
+                        text, starts[own], kept_ids[own], kept_starts[own], passage_words))
                 texts.append(without(text, gone) if gone else text)
                 removed.append([dict(zip(("start", "stop", "kept_doc_id", "kept_start"), s))
                                 for s in gone])
