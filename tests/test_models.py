@@ -1,6 +1,8 @@
 import os
 
 import pytest
+from pyspark.ml.feature import VectorAssembler
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from farelens import jobs
@@ -142,3 +144,16 @@ def test_json_falls_back(spark, tmp_path):
 def test_row_key_is_stable(spark):
     df = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "n INT, s STRING")
     assert df.select(row_key(df)).distinct().count() == 2
+
+
+def test_classifiers_score_after_an_observation(spark):
+    seen = Observation()
+    numbers = spark.range(200).select(
+        (F.col("id") % 2).cast("double").alias("side"), (F.col("id") % 10 < 6).cast("double").alias("label"))
+    numbers.observe(seen, F.count("*").alias("n")).write.format("noop").mode("overwrite").save()
+    assert seen.get == {"n": 200}
+    rows = VectorAssembler(inputCols=["side"], outputCol="features").transform(numbers)
+    for name, settings in (("logistic_regression", {"maxIter": 5}), ("random_forest", {"numTrees": 2})):
+        fitted, seconds = training.timed_fit(training.classifier(name, **settings), rows)
+        report = training.class_report(fitted, rows, name, seconds).first()
+        assert report["TP"] + report["TN"] + report["FP"] + report["FN"] == 200
