@@ -157,3 +157,23 @@ def test_classifiers_score_after_an_observation(spark):
         fitted, seconds = training.timed_fit(training.classifier(name, **settings), rows)
         report = training.class_report(fitted, rows, name, seconds).first()
         assert report["TP"] + report["TN"] + report["FP"] + report["FN"] == 200
+
+
+def test_training_tasks_stay_small_and_ensembles_have_few(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert training.training_partitions(spark.range(1), 4 << 30) == max(cores, 512)
+    wide = spark.range(0, 1000, 1, 8 * cores)
+    assert training.for_fit(training.regressor("gbt"), wide).rdd.getNumPartitions() == 4 * cores
+    assert training.for_fit(training.regressor("decision_tree"), wide).rdd.getNumPartitions() == 8 * cores
+
+
+def test_training_rows_are_encoded_once(spark, small):
+    data = models.prepared_totals(spark, small)
+    assert data.encoded.storageLevel.useMemory
+    held = data.train.agg(F.count("*"))._jdf.queryExecution().withCachedData().toString()
+    assert "InMemoryRelation" in held
+    expected = data.pipeline.transform(data.raw_train).select("row_key", "features").collect()
+    found = data.train.select("row_key", "features").collect()
+    assert sorted((r[0], list(r[1])) for r in found) == sorted((r[0], list(r[1])) for r in expected)
+    data.release()
+    assert not data.encoded.storageLevel.useMemory
