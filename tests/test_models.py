@@ -177,3 +177,23 @@ def test_training_rows_are_encoded_once(spark, small):
     assert sorted((r[0], list(r[1])) for r in found) == sorted((r[0], list(r[1])) for r in expected)
     data.release()
     assert not data.encoded.storageLevel.useMemory
+
+
+def test_boosted_search_fits_only_the_longest(spark, small, monkeypatch):
+    data = models.prepared_totals(spark, small).cached()
+    estimator = training.regressor("gbt", maxDepth=2, seed=42)
+    grid = training.param_grid(estimator, {"maxIter": [2, 5], "maxDepth": [2, 3]})
+    asked, fit_multiple = [], type(estimator).fitMultiple
+    monkeypatch.setattr(type(estimator), "fitMultiple", lambda self, rows, points: (
+        asked.append(len(points)), fit_multiple(self, rows, points))[1])
+    found = training.cross_validate(data.train, estimator, grid, folds=2)
+    assert asked == [2, 2]
+    for point, (named, score) in zip(grid, found.scores):
+        apart = 0.0
+        for fold in range(2):
+            rows = training.for_fit(estimator, data.train.where(F.col("fold") != fold))
+            scored = estimator.fit(rows, point).transform(data.train.where(F.col("fold") == fold))
+            apart += scored.agg(F.sqrt(F.avg((F.col("label") - F.col("prediction")) ** 2))).first()[0] / 2
+        assert score == pytest.approx(apart, rel=1e-9), named
+    data.release()
+    assert found.best_model.getNumTrees == found.best_params["maxIter"]
