@@ -100,11 +100,9 @@ def open_lines(spark: SparkSession, folder: str) -> DataFrame:
     orders = load_table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
     lines = bills(spark, folder).select(
         F.col("customer_id").alias("o_custkey"), "pickup_datetime", "dropoff_datetime", "fare_amount")
-    met = intervals.in_intervals(
-        orders, "o_orderdate", lines, "pickup_datetime", "dropoff_datetime", ["o_custkey"], width=30 * 86_400)
-    return met.groupBy("o_orderkey", "o_custkey", "o_orderdate").agg(
-        F.count("*").alias("open_lines"),
-        exact_sum("fare_amount").alias("open_amount"))
+    return intervals.open_totals(
+        orders, "o_orderdate", lines, "pickup_datetime", "dropoff_datetime", ["o_custkey"], "fare_amount",
+        "open_lines", "open_amount")
 
 
 def fare_subtotals(spark: SparkSession, folder: str) -> DataFrame:

@@ -179,6 +179,31 @@ def test_interval_join_equals_brute_force(spark):
     assert none.collect() == []
 
 
+def test_open_totals_equal_the_interval_join(spark):
+    rng = random.Random(6)
+    moment = lambda: START + dt.timedelta(seconds=rng.randrange(400 * 86_400))
+    points = [(i, rng.randrange(3), moment()) for i in range(200)]
+    points += [*points[:5], (900, 1, None), (901, None, moment())]
+    spans = [(rng.randrange(3), *sorted((moment(), moment())), rng.randrange(-500, 9000) / 100) for _ in range(60)]
+    # begin and end at moments, carry no amount, run over everything or backwards
+    spans += [(k, at, at + dt.timedelta(hours=5), 1.25) for _, k, at in points[:40]]
+    spans += [(k, at - dt.timedelta(hours=5), at, 2.5) for _, k, at in points[40:80]]
+    spans += [(7, START, moment(), None), (1, dt.datetime(1960, 1, 1), dt.datetime(2060, 1, 1), None),
+              (1, moment(), dt.datetime(1990, 1, 1), 1.0), (None, START, moment(), 1.0), (2, START, None, 1.0)]
+    points.append((902, 7, START))
+    p = spark.createDataFrame(points, "point INT, k INT, at TIMESTAMP_NTZ")
+    s = spark.createDataFrame(spans, "k INT, start TIMESTAMP_NTZ, stop TIMESTAMP_NTZ, fare DOUBLE")
+    pairs = intervals.in_intervals(p, "at", s, "start", "stop", ["k"]).groupBy(*p.columns).agg(
+        F.count("*").alias("n"), F.sum(F.col("fare").cast("decimal(18,2)")).cast("double").alias("cents"))
+    expected = sorted(map(tuple, pairs.collect()))
+    assert (902, 7, START, 1, None) in expected and len(expected) > 150
+    for width in (3600, 86_400 * 30, 365 * 86_400):
+        found = intervals.open_totals(p, "at", s, "start", "stop", ["k"], "fare", "n", "cents", width)
+        assert sorted(map(tuple, found.collect())) == expected
+        assert found.schema == pairs.schema
+        assert "Generate explode" not in plan(found)
+
+
 def test_an_interval_over_all_buckets_costs_two_rows(spark):
     wide = spark.createDataFrame([(1, dt.datetime(1970, 1, 1), dt.datetime(2100, 1, 1))],
                                  "span INT, start TIMESTAMP_NTZ, stop TIMESTAMP_NTZ")
