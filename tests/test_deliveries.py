@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from farelens.ml import evaluate
 from farelens.operators import cleaning, increments, intervals, profile, reconcile, sampling
+from farelens.plans import reports, sources
 from farelens.session import scratch_dir
 from farelens.sources import trips
 from farelens.streaming import hourly
@@ -256,3 +257,16 @@ def test_ids_beyond_32_bits_stay_whole(spark, tmp_path):
     spark.createDataFrame(rows, "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, "
                           "value DOUBLE, props STRING").write.parquet(f"{tmp_path}/events.parquet")
     assert {r.PULocationID for r in trips(spark, str(tmp_path)).collect()} == {3_000_000_000}
+
+
+def test_exports_by_month_read_one_stored_aggregate(spark, small, monkeypatch):
+    written, write_csv = {}, sources.files.write_csv
+    monkeypatch.setattr(sources.files, "write_csv", lambda report, path: (
+        written.update({path.rsplit("/", 1)[1]: report}), write_csv(report, path))[1])
+    sources.export_manifest(spark, small)
+    for name in ("cost_analysis", "trip_behavior", "monthly_fare_summary"):
+        alone = reports.QUERIES[name](spark, small)
+        assert written[name].columns == alone.columns
+        assert written[name].collect() == alone.collect()
+        assert "Join" not in plan(written[name])
+    assert "Join" not in plan(written["missing_values"]) and "Join" not in plan(written["data_quality"])
