@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from farelens.functions.fares import exact_sum
 from farelens.operators import aggregates, increments, intervals, reconcile
 from farelens.plans.sql_views import MONTH, mean, money, sql
-from farelens.session import scratch_dir, stored
+from farelens.session import narrow_scans, scratch_dir, stored
 from farelens.sources import bills, load_table, trips
 from farelens.streaming import hourly
 
@@ -44,6 +44,7 @@ def kept_months(spark: SparkSession, folder: str, amounts=(), quantiles=(), dist
     """The bills by month and their state. All months but the last are delivered first, the
     first of them with its first three lines an order only; then both come whole."""
     root = scratch_dir(spark, "months")
+    narrow_scans(spark)  # a scan's task counts distinct values of all its rows
     columns = list(dict.fromkeys([*amounts, *quantiles, *distinct]))
     everything = bills(spark, folder).select(
         "l_linenumber", *columns, increments.month_of().alias(increments.MONTH))

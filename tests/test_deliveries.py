@@ -1,16 +1,19 @@
 """Streams, months kept by increments, reconciled versions, interval joins, capped samples."""
 
 import datetime as dt
+import math
+import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
+from farelens import session
 from farelens.ml import evaluate
 from farelens.operators import cleaning, increments, intervals, profile, reconcile, sampling
 from farelens.plans import reports, sources
 from farelens.session import scratch_dir
-from farelens.sources import trips
+from farelens.sources import bills, trips
 from farelens.streaming import hourly
 
 TRIP = "trip_id BIGINT, pickup_datetime TIMESTAMP_NTZ, fare_amount DOUBLE"
@@ -270,3 +273,18 @@ def test_exports_by_month_read_one_stored_aggregate(spark, small, monkeypatch):
         assert written[name].collect() == alone.collect()
         assert "Join" not in plan(written[name])
     assert "Join" not in plan(written["missing_values"]) and "Join" not in plan(written["data_quality"])
+
+
+def test_shuffles_of_the_bills_widen_with_the_files(spark, small, monkeypatch):
+    sizes = [os.path.getsize(f"{small}/{table}.parquet") for table in ("lineitem", "orders")]
+    monkeypatch.setattr(session, "SHUFFLE_INPUT_BYTES", math.ceil(sum(sizes) / 50))
+    threshold = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(threshold)
+    spark.conf.set(threshold, "-1")
+    try:
+        assert "hashpartitioning(l_orderkey" in plan(bills(spark, small))
+        assert ", 50), ENSURE_REQUIREMENTS" in plan(bills(spark, small))
+        assert session.widen_shuffles(spark, 0) == 50
+    finally:
+        spark.conf.unset(session.INITIAL_WIDTH)
+        spark.conf.set(threshold, before)
