@@ -12,10 +12,12 @@ are left out before a left word's total and kinds are taken, so each model sums
 one; they fall back to single words with the mass that Witten and Bell give them.
 
 No model is held whole anywhere. Documents are dealt to chunks of some million words.
-A chunk sends each of its words and pairs once, with its own counts, so a word or pair has
-at most one row for each chunk, however common it is. Words get their counts over all
-chunks back by an equi-join. The rows of a pair are shuffled to one place, get the
-sum over them there, and only those of stored pairs go on, back to their chunks.
+A chunk sends each of its words and pairs once, with its own counts, so a word or pair is
+sent at most once by each chunk, however common it is. Words get their counts over all
+chunks back by an equi-join. Pairs are dealt by hash to shares of some million. A chunk
+sends its pairs of a share as one block, sorted and compressed. A share's blocks meet in one
+place, get the sums over them there, and only the stored pairs go on, in a block to each
+chunk that has them.
 
 Defined cases: a null or wordless text has no tokens and null losses and score; a
 document whose label is missing or not the target's is background only; the
@@ -26,13 +28,14 @@ vocabulary.
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from farelens.llm.common import pieces_of, stored
@@ -41,6 +44,8 @@ from farelens.llm.common import pieces_of, stored
 LEAST = 2
 #: Words in a chunk; only its last document goes beyond.
 CHUNK_WORDS = 3_000_000
+#: Pairs of all chunks in a share, about.
+SHARE_PAIRS = 2_000_000
 #: Numbers of what begins a text and of all words that are not stored.
 BEGIN, OTHER = 0, 1
 
@@ -123,11 +128,40 @@ class Vocabulary:
         return codes[:-1] * self.size + codes[1:]
 
 
-def pair_counts(docs: DataFrame, numbered: DataFrame) -> DataFrame:
-    """chunk, l, r (numbers of the left and the right word), b and t. ``numbered`` has
-    chunk, word and number."""
+def block(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers in a compressed block. The first must not fall; its steps are
+    kept. Bytes of one weight lie together, since most high ones are zero."""
+    steps = np.diff(columns[0], prepend=0)
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in (steps, *columns[1:])]
+    return len(steps).to_bytes(8, "little") + pa.compress(
+        b"".join(p.tobytes() for p in planes), codec="zstd", asbytes=True)
+
+
+def unblock(data: bytes, width: int) -> np.ndarray:
+    """The columns of a block, one in each row of the array."""
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros((width, 0), np.int64)
+    planes = np.frombuffer(pa.decompress(
+        data[8:], decompressed_size=8 * size * width, codec="zstd", asbytes=True), np.uint8)
+    columns = np.ascontiguousarray(planes.reshape(width, 8, size).transpose(0, 2, 1)).view("<i8")[:, :, 0].copy()
+    columns[0] = np.cumsum(columns[0])
+    return columns
+
+
+def shares_of(left: np.ndarray, right: np.ndarray, shares: int) -> np.ndarray:
+    """The share of every pair: the same in all chunks."""
+    mixed = (left.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+             ^ right.astype(np.uint64)) * np.uint64(0xC2B2AE3D27D4EB4F)
+    return ((mixed >> np.uint64(32)) % np.uint64(shares)).astype(np.int64)
+
+
+def pair_counts(docs: DataFrame, numbered: DataFrame, shares: int) -> DataFrame:
+    """share, chunk and a block of l, r (numbers of the left and the right word), b and t of
+    the chunk's pairs of that share. ``numbered`` has chunk, word and number."""
 
     def run(key, texts: pa.Table, words: pa.Table) -> pa.Table:
+        words = words.sort_by("number")  # so pairs in order of place are in order of number
         vocabulary = Vocabulary(words["word"].to_pylist())
         numbers = np.concatenate([[BEGIN, OTHER], words["number"].to_numpy()]).astype(np.int64)
         seen = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
@@ -140,14 +174,19 @@ def pair_counts(docs: DataFrame, numbered: DataFrame) -> DataFrame:
         b, t = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
         t[np.searchsorted(pairs, chosen)] = among
         b[np.searchsorted(pairs, rest)] = others
+        left, right = numbers[pairs // vocabulary.size], numbers[pairs % vocabulary.size]
+        share = shares_of(left, right, shares)
+        order = np.argsort(share, kind="stable")
+        ends = np.searchsorted(share[order], np.arange(shares + 1))
+        parts = [(i, order[ends[i]:ends[i + 1]]) for i in range(shares) if ends[i] < ends[i + 1]]
         return pa.table({
-            "chunk": pa.array(np.full(len(pairs), key[0].as_py(), np.int64)),
-            "l": numbers[pairs // vocabulary.size], "r": numbers[pairs % vocabulary.size],
-            "b": b + t, "t": t})
+            "share": pa.array([i for i, _ in parts], pa.int64()),
+            "chunk": pa.array([key[0].as_py()] * len(parts), pa.int64()),
+            "pairs": pa.array([block(left[at], right[at], (b + t)[at], t[at]) for _, at in parts], pa.binary())})
 
     return docs.select("chunk", "text", "target").groupBy("chunk").cogroup(
         numbered.select("chunk", "word", "number").groupBy("chunk")).applyInArrow(
-        run, "chunk long, l long, r long, b long, t long")
+        run, "share long, chunk long, pairs binary")
 
 
 def summed(rows: DataFrame, *key: str) -> DataFrame:
@@ -157,12 +196,42 @@ def summed(rows: DataFrame, *key: str) -> DataFrame:
 
 
 def with_sums(own: DataFrame) -> DataFrame:
-    """chunk, l, r, b and t of a chunk's pairs with the counts over all chunks, where these
-    are stored, and ``first``: true for one row of each pair."""
-    pair = Window.partitionBy("l", "r")
-    return own.select(
-        "chunk", "l", "r", F.sum("b").over(pair).alias("b"), F.sum("t").over(pair).alias("t"),
-        (F.col("chunk") == F.min("chunk").over(pair)).alias("first")).filter(F.col("b") + F.col("t") >= LEAST)
+    """Two kinds of rows, the other's columns null: chunk and a block of l, r, b and t of its
+    pairs with the counts over all chunks, where these are stored; and for a left word l
+    the sums (ab, at) and numbers (kb, kt) of the stored pairs that it begins in a share."""
+
+    def run(blocks: pa.Table) -> pa.Table:
+        columns = [unblock(data, 4) for data in blocks["pairs"].to_pylist()]
+        chunks = blocks["chunk"].to_pylist()
+        source = np.repeat(np.arange(len(columns)), [c.shape[1] for c in columns])
+        l, r, b, t = np.concatenate(columns, axis=1)
+        order = np.lexsort((r, l))
+        l, r, b, t, source = (c[order] for c in (l, r, b, t, source))
+        starts = np.flatnonzero(np.r_[True, (l[1:] != l[:-1]) | (r[1:] != r[:-1])])
+        copies = np.diff(np.r_[starts, len(l)])
+        b, t = np.add.reduceat(b, starts), np.add.reduceat(t, starts)
+        kept = b + t >= LEAST
+        stays = np.repeat(kept, copies)
+        places = np.repeat(np.arange(len(starts)), copies)[stays]
+        source = source[stays]
+        order = np.argsort(source, kind="stable")
+        ends = np.searchsorted(source[order], np.arange(len(columns) + 1))
+        parts = [(chunk, places[order[one:two]]) for chunk, one, two in zip(chunks, ends, ends[1:]) if one < two]
+        out = [block(l[starts[at]], r[starts[at]], b[at], t[at]) for _, at in parts]
+
+        left, b, t = l[starts][kept], b[kept], t[kept]
+        firsts = np.flatnonzero(np.r_[len(left) > 0, left[1:] != left[:-1]])
+        sums = [np.add.reduceat(c, firsts) if len(firsts) else np.zeros(0, np.int64)
+                for c in (b, t, (b > 0).astype(np.int64), (t > 0).astype(np.int64))]
+        none, rest = [None] * len(firsts), [None] * len(out)
+        return pa.table({
+            "chunk": pa.array([chunk for chunk, _ in parts] + none, pa.int64()),
+            "pairs": pa.array(out + none, pa.binary()),
+            **{name: pa.concat_arrays([pa.array(rest, pa.int64()), pa.array(c, pa.int64())])
+               for name, c in zip(("l", "ab", "at", "kb", "kt"), [left[firsts], *sums])}})
+
+    return own.groupBy("share").applyInArrow(
+        run, "chunk long, pairs binary, l long, ab long, at long, kb long, kt long")
 
 
 class Model:
@@ -192,20 +261,23 @@ def scorer(total: dict[str, int], size: int, ends: np.ndarray):
 
     def run(key, texts: pa.Table, facts: pa.Table) -> pa.Table:
         is_word = facts["word"].is_valid().to_numpy()
-        words, found = facts.filter(pa.array(is_word)), facts.filter(pa.array(~is_word))
+        words = facts.filter(pa.array(is_word))
+        lefts, rights, *counts = np.concatenate(
+            [np.zeros((4, 0), np.int64), *(unblock(data, 4) for data in facts["pairs"].drop_null().to_pylist())],
+            axis=1)
+        found = dict(zip("bt", counts))
         vocabulary = Vocabulary(words["word"].to_pylist())
         of = {name: np.concatenate([ends[:, i], words[name].to_numpy()]) for i, name in
               enumerate(("b", "t", "ab", "at", "kb", "kt"))}
         numbers = np.concatenate([[BEGIN, OTHER], words["l"].to_numpy()]).astype(np.int64)
         order = np.argsort(numbers)
-        left, right = (order[np.searchsorted(numbers, found[side].to_numpy(), sorter=order)]
-                       for side in "lr")
+        left, right = (order[np.searchsorted(numbers, side, sorter=order)] for side in (lefts, rights))
         pairs = left * vocabulary.size + right
         order = np.argsort(pairs)
         pairs = pairs[order] if len(pairs) else np.array([-1], np.int64)
         target, background = (
             Model(of[m], total[m], size, of["a" + m], of["k" + m],
-                  found[m].to_numpy()[order] if len(order) else np.zeros(1)) for m in "tb")
+                  found[m][order] if len(order) else np.zeros(1)) for m in "tb")
         rows = []
         for batch in texts.select(["doc_id", "text"]).to_batches(256):
             for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
@@ -243,10 +315,11 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     kept = words.agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.count("*").alias("n")).first()
     total = {m: whole[m] or 0 for m in "bt"}
 
-    pairs = stored(with_sums(pair_counts(texts, uses.join(words.select("word", "number"), "word"))), "lm-pairs")
-    lefts = stored(pairs.filter("first").groupBy("l").agg(
-        F.sum("b").alias("ab"), F.sum("t").alias("at"), F.count_if(F.col("b") > 0).alias("kb"),
-        F.count_if(F.col("t") > 0).alias("kt")), "lm-lefts")
+    shares = max(1, math.ceil(total["b"] / SHARE_PAIRS))
+    pairs = stored(with_sums(pair_counts(
+        texts, uses.join(words.select("word", "number"), "word"), shares)), "lm-pairs")
+    lefts = stored(pairs.filter("chunk IS NULL").groupBy("l").agg(
+        *[F.sum(c).alias(c) for c in ("ab", "at", "kb", "kt")]), "lm-lefts")
 
     ends = np.zeros((2, 6), np.int64)
     ends[OTHER, :2] = [total[m] - (kept[m] or 0) for m in "bt"]
@@ -256,10 +329,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("ab", "at", "kb", "kt")]
     known = words.withColumnRenamed("number", "l").join(lefts, "l", "left").select(
         "word", "l", "b", "t", *sums)
-    none = F.lit(None).cast("long")
-    facts = uses.select("chunk", "word").join(known, "word").withColumn("r", none).unionByName(
-        pairs.select("chunk", F.lit(None).cast("string").alias("word"), "l", "r", "b", "t",
-                     *(none.alias(c) for c in ("ab", "at", "kb", "kt"))))
+    own = uses.select("chunk", "word").join(known, "word")
+    facts = own.unionByName(pairs.filter("chunk IS NOT NULL").select("chunk", "pairs"), allowMissingColumns=True)
     return texts.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(
         facts.groupBy("chunk")).applyInArrow(
         scorer(total, kept["n"] + 2, ends),

@@ -143,6 +143,25 @@ def test_scores_keep_rare_pairs_of_common_words(spark):
     check_scores(spark, texts, [1, 2])
 
 
+def test_pairs_travel_in_short_blocks():
+    """Half a million pairs of a chunk, most of them once: 5 bytes each at most, 40 as rows."""
+    rng = np.random.default_rng(3)
+    left = np.sort(rng.integers(0, 200_000, 500_000)) + (7 << 33)
+    right = rng.integers(0, 24, 500_000) * (1 << 33) + rng.integers(0, 8_000, 500_000)
+    count = rng.geometric(0.9, 500_000)
+    data = lm_scoring.block(left, right, count, count // 2)
+    assert len(data) < 5 * 500_000
+    assert all(np.array_equal(*pair) for pair in zip(lm_scoring.unblock(data, 4), (left, right, count, count // 2)))
+    none = np.zeros(0, np.int64)
+    assert lm_scoring.unblock(lm_scoring.block(none, none), 2).shape == (2, 0)
+
+
+def test_scores_of_pairs_dealt_to_many_shares(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "SHARE_PAIRS", 300)
+    texts = [t for t in data.random_texts(60, 11) if lm_scoring.tokens(t)]
+    check_scores(spark, texts, range(0, len(texts), 4), chunk_words=200)
+
+
 def test_fingerprints(spark):
     texts = ["x", "", None, "ab", *[t for t in data.random_texts(70, 8) if t]]
     ids = random.Random(9).sample(range(10_000), len(texts))
