@@ -6,18 +6,22 @@ the target model minus that under the background model: the lower, the more it r
 like the target.
 
 Every word and every pair that occurs twice or more, at any corpus size, has its
-counts in a stored table; a target document's words and pairs always do, as they are
-counted for both models. Words that occur once share one entry. Pairs that occur once
+counts summed over all documents; a target document's words and pairs always do, as they
+are counted for both models. Words that occur once share one entry. Pairs that occur once
 are left out before a left word's total and kinds are taken, so each model sums to
 one; they fall back to single words with the mass that Witten and Bell give them.
 
-No model is held whole anywhere. Documents are dealt to chunks of some million words.
-A chunk sends each of its words and pairs once, with its own counts, so a word or pair is
-sent at most once by each chunk, however common it is. Words get their counts over all
-chunks back by an equi-join. Pairs are dealt by hash to shares of some million. A chunk
-sends its pairs of a share as one block, sorted and compressed. A share's blocks meet in one
-place, get the sums over them there, and only the stored pairs go on, in a block to each
-chunk that has them.
+No model is held whole anywhere. Documents are dealt to chunks of some million words, where
+they lie. A chunk's texts are cut into words once and stored as its list of words and the
+places in that list, compressed. A chunk sends each of its words and pairs once, with its own
+counts, so a word or pair is sent at most once by each chunk, however common it is. Words
+and pairs are dealt by hash to shares of some million, a chunk's of a share as one block.
+A share's blocks meet in one place, get the sums over them there, and each chunk gets the
+sums back in the order in which it sent the block, so that neither words nor pairs return.
+
+A left word's pairs lie in one share, which knows the word's own sums then. Only frequent
+words, at most ``FREQUENT`` of them, have their pairs in all shares; their sums and those
+of BEGIN and OTHER are gathered and sent to all tasks.
 
 Defined cases: a null or wordless text has no tokens and null losses and score; a
 document whose label is missing or not the target's is background only; the
@@ -29,7 +33,9 @@ vocabulary.
 from __future__ import annotations
 
 import math
-from collections import Counter
+import zlib
+from array import array
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -42,10 +48,14 @@ from farelens.llm.common import pieces_of, stored
 
 #: A word or pair that occurs less often over background and target is not stored.
 LEAST = 2
-#: Words in a chunk; only its last document goes beyond.
+#: Words in a chunk, one more for each document; only its last document goes beyond.
 CHUNK_WORDS = 3_000_000
-#: Pairs of all chunks in a share, about.
-SHARE_PAIRS = 2_000_000
+#: Words and pairs of all chunks in a share, about.
+SHARE_WORDS, SHARE_PAIRS = 1_000_000, 2_000_000
+#: Words are in order of 2**16 cells of their hash; a share is a range of cells.
+CELLS = 1 << 16
+#: A word that is at least one in so many of all is frequent.
+FREQUENT = 4096
 #: Numbers of what begins a text and of all words that are not stored.
 BEGIN, OTHER = 0, 1
 
@@ -54,99 +64,172 @@ def tokens(text: str | None) -> list[str]:
     return text.lower().split() if text else []
 
 
-def in_chunks(rows: DataFrame, target_ids: DataFrame, chunk_words: int) -> DataFrame:
-    """doc_id, text, target (whether the id is one of ``target_ids``) and chunk."""
-    chosen = target_ids.distinct().withColumn("target", F.lit(True))
-    # the ids grow with the corpus, so they are joined alike at every size
-    named = rows.filter("doc_id IS NOT NULL").join(chosen.hint("merge"), "doc_id", "left").select(
-        "doc_id", "text", F.coalesce("target", F.lit(False)).alias("target"))
-    flagged = named.unionByName(
-        rows.filter("doc_id IS NULL").withColumn("target", F.lit(False)))
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers in a compressed block. Bytes of one weight lie together,
+    since most high ones are zero."""
+    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in columns]
+    return len(columns[0]).to_bytes(8, "little") + pa.compress(
+        b"".join(p.tobytes() for p in planes), codec="zstd", asbytes=True)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, words = TaskContext.get().partitionId() << 32, 0
-        for batch in pieces_of(batches):
-            chunks = []
-            for text in batch.column(1).to_pylist():
-                if words >= chunk_words:
-                    chunk, words = chunk + 1, 0
-                chunks.append(chunk)
-                words += len(text.split()) if text else 0
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(chunks, pa.int64())], [*batch.schema.names, "chunk"])
 
-    return flagged.mapInArrow(run, "doc_id long, text string, target boolean, chunk long")
+def unpacked(data: bytes, width: int) -> np.ndarray:
+    """The columns of a block, one in each row of the array."""
+    size = int.from_bytes(data[:8], "little")
+    if not size:
+        return np.zeros((width, 0), np.int64)
+    planes = np.frombuffer(pa.decompress(
+        data[8:], decompressed_size=8 * size * width, codec="zstd", asbytes=True), np.uint8)
+    return np.ascontiguousarray(planes.reshape(width, 8, size).transpose(0, 2, 1)).view("<i8")[:, :, 0].copy()
 
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """chunk, word, b and t: a chunk's words with their counts in all its documents and
-    in those of the target."""
+def block(*columns: np.ndarray) -> bytes:
+    """``packed``, for a first column that does not fall: its steps are kept."""
+    return packed(np.diff(columns[0], prepend=0), *columns[1:])
+
+
+def unblock(data: bytes, width: int) -> np.ndarray:
+    columns = unpacked(data, width)
+    columns[0] = np.cumsum(columns[0])
+    return columns
+
+
+def joined(blocks: list[np.ndarray], width: int) -> np.ndarray:
+    return np.concatenate([np.zeros((width, 0), np.int64), *blocks], axis=1)
+
+
+def packed_words(words: list[str]) -> bytes:
+    """Words hold no white space, so a line each."""
+    data = "\n".join(words).encode()
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unpacked_words(data: bytes) -> list[str]:
+    size = int.from_bytes(data[:8], "little")
+    return pa.decompress(data[8:], decompressed_size=size, codec="zstd", asbytes=True).decode().split(
+        "\n") if size else []
+
+
+CHUNK = ("chunk long, n_words long, n_kinds long, doc_ids array<bigint>, sizes array<int>, "
+         "codes binary, cells binary, words binary")
+
+
+def coded(rows: DataFrame, chunk_words: int) -> DataFrame:
+    """A row for each chunk: its documents' ids and numbers of words, the places of all their
+    words in its list of words, that list in order of cell, and how many are in each cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, counts, target = None, Counter(), Counter()
+        schema = pa.schema([
+            ("chunk", pa.int64()), ("n_words", pa.int64()), ("n_kinds", pa.int64()),
+            ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int32())),
+            ("codes", pa.binary()), ("cells", pa.binary()), ("words", pa.binary())])
+        chunk = TaskContext.get().partitionId() << 32
+        ids, sizes, codes, places = [], [], array("I"), defaultdict()
 
         def flushed() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays(
-                [pa.array([chunk] * len(counts), pa.int64()), pa.array(list(counts), pa.string()),
-                 pa.array(list(counts.values()), pa.int64()),
-                 pa.array([target[word] for word in counts], pa.int64())],
-                ["chunk", "word", "b", "t"])
+            words = list(places)
+            cells = np.fromiter((zlib.crc32(word.encode()) for word in words), np.int64, len(words)) >> 16
+            order = np.argsort(cells, kind="stable")
+            place = np.empty(len(words), np.int64)
+            place[order] = np.arange(len(words))
+            return pa.RecordBatch.from_pylist([{
+                "chunk": chunk, "n_words": len(codes), "n_kinds": len(words), "doc_ids": ids, "sizes": sizes,
+                "codes": packed(place[np.frombuffer(codes, np.uint32)] if words else np.zeros(0, np.int64)),
+                "cells": packed(np.bincount(cells, minlength=CELLS)),
+                "words": packed_words([words[i] for i in order])}], schema)
 
         for batch in pieces_of(batches):
-            for own, text, chosen in zip(*(batch.column(c).to_pylist()
-                                           for c in ("chunk", "text", "target"))):
-                if own != chunk:
+            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
+                if len(codes) + len(ids) >= chunk_words:
                     yield flushed()
-                    chunk, counts, target = own, Counter(), Counter()
+                    chunk += 1
+                    ids, sizes, codes, places = [], [], array("I"), defaultdict()
+                if not ids:
+                    places.default_factory = places.__len__
                 words = tokens(text)
-                counts.update(words)
-                if chosen:
-                    target.update(words)
-        yield flushed()
+                ids.append(doc_id)
+                sizes.append(len(words))
+                codes.extend(map(places.__getitem__, words))
+        if ids:
+            yield flushed()
 
-    return docs.select("chunk", "text", "target").mapInArrow(
-        run, "chunk long, word string, b long, t long")
+    return rows.mapInArrow(run, CHUNK)
 
 
-class Vocabulary:
-    """A chunk's places of its stored words, behind those of BEGIN and OTHER."""
+def marked(chunks: DataFrame, target_ids: DataFrame) -> DataFrame:
+    """chunk and the places of its target documents."""
+    # the ids grow with the corpus, so they are joined alike at every size
+    return chunks.select("chunk", F.posexplode("doc_ids").alias("place", "doc_id")).join(
+        target_ids.distinct().hint("merge"), "doc_id", "left_semi").groupBy("chunk").agg(
+        F.collect_list("place").alias("marks"))
+
+
+def in_target(sizes: np.ndarray, marks: pa.ChunkedArray) -> np.ndarray:
+    """Of every word of a chunk, whether its document is of the target."""
+    chosen = np.zeros(len(sizes), bool)
+    for places in marks.drop_null().to_pylist():
+        chosen[places] = True
+    return np.repeat(chosen, sizes)
+
+
+def word_counts(chunks: DataFrame, marks: DataFrame, shares: int) -> DataFrame:
+    """share, chunk, the chunk's words of that share, and a block of b and t: how often each
+    occurs in all its documents and in those of the target."""
+
+    def run(key, texts: pa.Table, told: pa.Table) -> pa.Table:
+        words = unpacked_words(texts["words"][0].as_py())
+        codes, = unpacked(texts["codes"][0].as_py(), 1)
+        cells, = unpacked(texts["cells"][0].as_py(), 1)
+        chosen = in_target(texts["sizes"][0].values.to_numpy(), told["marks"])
+        b, t = (np.bincount(c, minlength=len(words)) for c in (codes, codes[chosen]))
+        # where a share's cells end, and so its words
+        ends = np.r_[0, np.cumsum(cells)][(np.arange(shares + 1) * CELLS + shares - 1) // shares]
+        parts = [(i, slice(ends[i], ends[i + 1])) for i in range(shares) if ends[i] < ends[i + 1]]
+        return pa.table({
+            "share": pa.array([i for i, _ in parts], pa.int64()),
+            "chunk": pa.array([key[0].as_py()] * len(parts), pa.int64()),
+            "words": pa.array([packed_words(words[at]) for _, at in parts], pa.binary()),
+            "counts": pa.array([packed(b[at], t[at]) for _, at in parts], pa.binary())})
 
-    def __init__(self, words: list[str]):
-        self.place = {word: i + 2 for i, word in enumerate(words)}
-        self.size = len(words) + 2
+    return chunks.select("chunk", "sizes", "codes", "cells", "words").groupBy("chunk").cogroup(
+        marks.groupBy("chunk")).applyInArrow(run, "share long, chunk long, words binary, counts binary")
 
-    def codes(self, text: str | None) -> np.ndarray:
-        """The places of a text's words behind the one that begins it."""
-        words = tokens(text)
-        get = self.place.get
-        out = np.full(len(words) + 1, OTHER, np.int64)
-        out[0] = BEGIN
-        out[1:] = [get(word, OTHER) for word in words]
-        return out
 
-    def pairs(self, codes: np.ndarray) -> np.ndarray:
-        return codes[:-1] * self.size + codes[1:]
+WORD_SUMS = "share long, chunk long, sums binary, number long, n long, b long, t long, whole_t long"
 
 
-def block(*columns: np.ndarray) -> bytes:
-    """Columns of whole numbers in a compressed block. The first must not fall; its steps are
-    kept. Bytes of one weight lie together, since most high ones are zero."""
-    steps = np.diff(columns[0], prepend=0)
-    planes = [np.ascontiguousarray(c.astype("<i8").view(np.uint8).reshape(-1, 8).T) for c in (steps, *columns[1:])]
-    return len(steps).to_bytes(8, "little") + pa.compress(
-        b"".join(p.tobytes() for p in planes), codec="zstd", asbytes=True)
+def word_sums(own: DataFrame, total: int) -> DataFrame:
+    """Three kinds of rows, the other's columns null: share, chunk and a block of number, b and
+    t of its words in the order sent, with the counts over all chunks, OTHER and zeros where not
+    stored; the numbers of frequent words; and for every share the number n of stored words,
+    their sums b and t, and the sum of t with the others."""
 
+    def run(blocks: pa.Table) -> pa.Table:
+        share, chunks = blocks["share"][0].as_py(), blocks["chunk"].to_pylist()
+        lists = [unpacked_words(data) for data in blocks["words"].to_pylist()]
+        ends = np.cumsum([0] + [len(words) for words in lists])
+        alike = pa.array([word for words in lists for word in words], pa.string()).dictionary_encode()
+        del lists
+        place, kinds = alike.indices.to_numpy(), len(alike.dictionary)
+        b, t = (np.bincount(place, c, kinds).astype(np.int64) for c in
+                joined([unpacked(data, 2) for data in blocks["counts"].to_pylist()], 2))
+        kept = b + t >= LEAST
+        whole_t, b, t = int(t.sum()), b * kept, t * kept
+        number = np.where(kept, (share << 32) + 1 + np.cumsum(kept), OTHER)
+        sums = [packed(number[at], b[at], t[at]) for at in (place[one:two] for one, two in zip(ends, ends[1:]))]
+        often = number[kept & (b * FREQUENT >= total)].tolist()
+        rest = [None] * len(sums)
+        columns = {
+            "share": [share] * len(sums) + [None] * (len(often) + 1),
+            "chunk": chunks + [None] * (len(often) + 1),
+            "number": rest + often + [None]}
+        for name, value in (("n", kept.sum()), ("b", b.sum()), ("t", t.sum()), ("whole_t", whole_t)):
+            columns[name] = rest + [None] * len(often) + [int(value)]
+        return pa.table({
+            **{name: pa.array(values, pa.int64()) for name, values in columns.items()},
+            "sums": pa.array(sums + [None] * (len(often) + 1), pa.binary())}).select(
+            [c.split(" ")[0] for c in WORD_SUMS.split(", ")])
 
-def unblock(data: bytes, width: int) -> np.ndarray:
-    """The columns of a block, one in each row of the array."""
-    size = int.from_bytes(data[:8], "little")
-    if not size:
-        return np.zeros((width, 0), np.int64)
-    planes = np.frombuffer(pa.decompress(
-        data[8:], decompressed_size=8 * size * width, codec="zstd", asbytes=True), np.uint8)
-    columns = np.ascontiguousarray(planes.reshape(width, 8, size).transpose(0, 2, 1)).view("<i8")[:, :, 0].copy()
-    columns[0] = np.cumsum(columns[0])
-    return columns
+    return own.groupBy("share").applyInArrow(run, WORD_SUMS)
 
 
 def shares_of(left: np.ndarray, right: np.ndarray, shares: int) -> np.ndarray:
@@ -156,145 +239,156 @@ def shares_of(left: np.ndarray, right: np.ndarray, shares: int) -> np.ndarray:
     return ((mixed >> np.uint64(32)) % np.uint64(shares)).astype(np.int64)
 
 
-def pair_counts(docs: DataFrame, numbered: DataFrame, shares: int) -> DataFrame:
-    """share, chunk and a block of l, r (numbers of the left and the right word), b and t of
-    the chunk's pairs of that share. ``numbered`` has chunk, word and number."""
-
-    def run(key, texts: pa.Table, words: pa.Table) -> pa.Table:
-        words = words.sort_by("number")  # so pairs in order of place are in order of number
-        vocabulary = Vocabulary(words["word"].to_pylist())
-        numbers = np.concatenate([[BEGIN, OTHER], words["number"].to_numpy()]).astype(np.int64)
-        seen = [[np.zeros(0, np.int64)], [np.zeros(0, np.int64)]]
-        for batch in texts.select(["text", "target"]).to_batches(256):
-            for text, target in zip(*(c.to_pylist() for c in batch.columns)):
-                seen[target].append(vocabulary.pairs(vocabulary.codes(text)))
-        chosen, among = np.unique(np.concatenate(seen[True]), return_counts=True)
-        rest, others = np.unique(np.concatenate(seen[False]), return_counts=True)
-        pairs = np.union1d(chosen, rest)
-        b, t = np.zeros(len(pairs), np.int64), np.zeros(len(pairs), np.int64)
-        t[np.searchsorted(pairs, chosen)] = among
-        b[np.searchsorted(pairs, rest)] = others
-        left, right = numbers[pairs // vocabulary.size], numbers[pairs % vocabulary.size]
-        share = shares_of(left, right, shares)
+class Pairs:
+    """A chunk's word pairs, each once, in the order in which they are sent and come back: by
+    share, then by the numbers of the left and of the right word.
+
+    ``numbers``, ``b`` and ``t`` follow the places of its stored words, behind those of BEGIN and
+    OTHER. ``left`` and ``right`` are the places of the pairs, ``of`` the pair of every word, and
+    share i has the pairs from ``ends[i]`` up to ``ends[i + 1]``."""
+
+    def __init__(self, texts: pa.Table, told: pa.Table, often: np.ndarray, shares: int):
+        self.sizes = texts["sizes"][0].values.to_numpy()
+        told = told.filter(told["sums"].is_valid()).sort_by("share")
+        number, b, t = joined([unpacked(data, 3) for data in told["sums"].to_pylist()], 3)
+        stored_words = np.flatnonzero(number != OTHER)
+        stored_words = stored_words[np.argsort(number[stored_words])]
+        place = np.full(len(number), OTHER)
+        place[stored_words] = np.arange(len(stored_words)) + 2
+        self.numbers, self.b, self.t = (
+            np.r_[head, c[stored_words]] for head, c in (([BEGIN, OTHER], number), ([0, 0], b), ([0, 0], t)))
+        right = place[unpacked(texts["codes"][0].as_py(), 1)[0]]
+        left = np.roll(right, 1)
+        left[(np.cumsum(self.sizes) - self.sizes)[self.sizes > 0]] = BEGIN
+        pairs, of = np.unique(left * len(self.numbers) + right, return_inverse=True)
+        left, right = pairs // len(self.numbers), pairs % len(self.numbers)
+        self.often = np.isin(self.numbers, often)
+        share = shares_of(self.numbers[left], np.where(self.often[left], self.numbers[right], 0), shares)
         order = np.argsort(share, kind="stable")
-        ends = np.searchsorted(share[order], np.arange(shares + 1))
-        parts = [(i, order[ends[i]:ends[i + 1]]) for i in range(shares) if ends[i] < ends[i + 1]]
+        self.left, self.right = left[order], right[order]
+        self.ends = np.searchsorted(share[order], np.arange(shares + 1))
+        sent = np.empty(len(order), np.int64)
+        sent[order] = np.arange(len(order))
+        self.of = sent[of]
+
+
+def steps_of(*columns: np.ndarray) -> np.ndarray:
+    """Where a value of the columns, in order, differs from the one before."""
+    if not len(columns[0]):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.r_[True, np.any([c[1:] != c[:-1] for c in columns], axis=0)])
+
+
+def pair_counts(chunks: DataFrame, told: DataFrame, often: np.ndarray, shares: int) -> DataFrame:
+    """share, chunk and a block of l, r (numbers of the left and the right word), b and t of
+    the chunk's pairs of that share. ``told`` has the chunk's marks and the sums of its words."""
+
+    def run(key, texts: pa.Table, told: pa.Table) -> pa.Table:
+        pairs = Pairs(texts, told, often, shares)
+        chosen = in_target(pairs.sizes, told["marks"])
+        b, t = (np.bincount(of, minlength=len(pairs.left)) for of in (pairs.of, pairs.of[chosen]))
+        left, right = pairs.numbers[pairs.left], pairs.numbers[pairs.right]
+        parts = [(i, slice(pairs.ends[i], pairs.ends[i + 1])) for i in range(shares)
+                 if pairs.ends[i] < pairs.ends[i + 1]]
         return pa.table({
             "share": pa.array([i for i, _ in parts], pa.int64()),
             "chunk": pa.array([key[0].as_py()] * len(parts), pa.int64()),
-            "pairs": pa.array([block(left[at], right[at], (b + t)[at], t[at]) for _, at in parts], pa.binary())})
+            "pairs": pa.array([block(left[at], right[at], b[at], t[at]) for _, at in parts], pa.binary())})
 
-    return docs.select("chunk", "text", "target").groupBy("chunk").cogroup(
-        numbered.select("chunk", "word", "number").groupBy("chunk")).applyInArrow(
-        run, "share long, chunk long, pairs binary")
+    return chunks.select("chunk", "sizes", "codes").groupBy("chunk").cogroup(
+        told.groupBy("chunk")).applyInArrow(run, "share long, chunk long, pairs binary")
 
 
-def summed(rows: DataFrame, *key: str) -> DataFrame:
-    """The key, b and t of all chunks, where stored."""
-    return rows.groupBy(*key).agg(F.sum("b").alias("b"), F.sum("t").alias("t")).filter(
-        F.col("b") + F.col("t") >= LEAST)
+PAIR_SUMS = "share long, chunk long, pairs binary, lefts binary, l long, ab long, at long, kb long, kt long"
 
 
-def with_sums(own: DataFrame) -> DataFrame:
-    """Two kinds of rows, the other's columns null: chunk and a block of l, r, b and t of its
-    pairs with the counts over all chunks, where these are stored; and for a left word l
-    the sums (ab, at) and numbers (kb, kt) of the stored pairs that it begins in a share."""
+def pair_sums(own: DataFrame, often: np.ndarray) -> DataFrame:
+    """Two kinds of rows, the other's columns null. Share, chunk, a block of b and t of its pairs
+    in the order sent, with the counts over all chunks, zeros where not stored, and one of ab, at,
+    kb and kt of the left words of these pairs, frequent ones left out: the sums and numbers of
+    the stored pairs that a word begins anywhere. And the same for a frequent left word l,
+    as far as its pairs are in the share."""
 
     def run(blocks: pa.Table) -> pa.Table:
         columns = [unblock(data, 4) for data in blocks["pairs"].to_pylist()]
-        chunks = blocks["chunk"].to_pylist()
-        source = np.repeat(np.arange(len(columns)), [c.shape[1] for c in columns])
-        l, r, b, t = np.concatenate(columns, axis=1)
+        ends = np.cumsum([0] + [c.shape[1] for c in columns])
+        l, r, b, t = joined(columns, 4)
+        del columns
         order = np.lexsort((r, l))
-        l, r, b, t, source = (c[order] for c in (l, r, b, t, source))
-        starts = np.flatnonzero(np.r_[True, (l[1:] != l[:-1]) | (r[1:] != r[:-1])])
-        copies = np.diff(np.r_[starts, len(l)])
-        b, t = np.add.reduceat(b, starts), np.add.reduceat(t, starts)
+        l, r = l[order], r[order]
+        starts = steps_of(l, r)
+        place = np.empty(len(l), np.int64)
+        place[order] = np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(l)]))
+        l, b, t = l[starts], np.add.reduceat(b[order], starts), np.add.reduceat(t[order], starts)
         kept = b + t >= LEAST
-        stays = np.repeat(kept, copies)
-        places = np.repeat(np.arange(len(starts)), copies)[stays]
-        source = source[stays]
-        order = np.argsort(source, kind="stable")
-        ends = np.searchsorted(source[order], np.arange(len(columns) + 1))
-        parts = [(chunk, places[order[one:two]]) for chunk, one, two in zip(chunks, ends, ends[1:]) if one < two]
-        out = [block(l[starts[at]], r[starts[at]], b[at], t[at]) for _, at in parts]
-
-        left, b, t = l[starts][kept], b[kept], t[kept]
-        firsts = np.flatnonzero(np.r_[len(left) > 0, left[1:] != left[:-1]])
-        sums = [np.add.reduceat(c, firsts) if len(firsts) else np.zeros(0, np.int64)
-                for c in (b, t, (b > 0).astype(np.int64), (t > 0).astype(np.int64))]
-        none, rest = [None] * len(firsts), [None] * len(out)
+        b, t = b * kept, t * kept
+        firsts = steps_of(l)
+        whose = np.repeat(np.arange(len(firsts)), np.diff(np.r_[firsts, len(l)]))
+        sums = np.array([np.add.reduceat(c.astype(np.int64), firsts) for c in (b, t, b > 0, t > 0)])
+        spread = np.isin(l[firsts], often)
+        pairs, lefts = [], []
+        for one, two in zip(ends, ends[1:]):
+            at = place[one:two]
+            pairs.append(packed(b[at], t[at]))
+            words = whose[at]
+            words = words[steps_of(words)]
+            lefts.append(packed(*sums[:, words[~spread[words]]]))
+        none, rest = [None] * int(spread.sum()), [None] * len(pairs)
         return pa.table({
-            "chunk": pa.array([chunk for chunk, _ in parts] + none, pa.int64()),
-            "pairs": pa.array(out + none, pa.binary()),
-            **{name: pa.concat_arrays([pa.array(rest, pa.int64()), pa.array(c, pa.int64())])
-               for name, c in zip(("l", "ab", "at", "kb", "kt"), [left[firsts], *sums])}})
+            "share": pa.array(blocks["share"].to_pylist() + none, pa.int64()),
+            "chunk": pa.array(blocks["chunk"].to_pylist() + none, pa.int64()),
+            "pairs": pa.array(pairs + none, pa.binary()), "lefts": pa.array(lefts + none, pa.binary()),
+            **{name: pa.array(rest + c[spread].tolist(), pa.int64())
+               for name, c in zip(("l", "ab", "at", "kb", "kt"), [l[firsts], *sums])}})
 
-    return own.groupBy("share").applyInArrow(
-        run, "chunk long, pairs binary, l long, ab long, at long, kb long, kt long")
+    return own.groupBy("share").applyInArrow(run, PAIR_SUMS)
 
 
-class Model:
-    """Probabilities of a chunk's words and of words after words under one set of counts.
+def losses(words: np.ndarray, total: int, size: int, after: np.ndarray, kinds: np.ndarray,
+           counts: np.ndarray, pairs: Pairs) -> np.ndarray:
+    """Loss of the right word of every pair under one set of counts.
 
     ``words``, ``after`` and ``kinds`` follow the chunk's places: a word's count, and the
-    sum and number of the stored pairs it begins anywhere. ``total`` and ``size`` are
-    those of all words and of the whole vocabulary."""
-
-    def __init__(self, words: np.ndarray, total: int, size: int, after: np.ndarray,
-                 kinds: np.ndarray, counts: np.ndarray):
-        self.single = (words + 1) / (total + size)
-        self.after, self.kinds, self.counts = after, kinds, counts
-
-    def loss(self, codes: np.ndarray, place: np.ndarray, known: np.ndarray) -> np.ndarray:
-        """Loss of every word but the first, given where its pair is stored, if it is."""
-        left, right = codes[:-1], codes[1:]
-        single = self.single[right]
-        kinds, after = self.kinds[left], self.after[left]
-        count = np.where(known, self.counts[place], 0)
-        return -np.log(np.where(after > 0, (count + kinds * single)
-                                / np.maximum(after + kinds, 1), single))
-
-
-def scorer(total: dict[str, int], size: int, ends: np.ndarray):
-    """Scores a chunk's texts. ``ends`` has b, t, ab, at, kb and kt of BEGIN and OTHER."""
-
-    def run(key, texts: pa.Table, facts: pa.Table) -> pa.Table:
-        is_word = facts["word"].is_valid().to_numpy()
-        words = facts.filter(pa.array(is_word))
-        lefts, rights, *counts = np.concatenate(
-            [np.zeros((4, 0), np.int64), *(unblock(data, 4) for data in facts["pairs"].drop_null().to_pylist())],
-            axis=1)
-        found = dict(zip("bt", counts))
-        vocabulary = Vocabulary(words["word"].to_pylist())
-        of = {name: np.concatenate([ends[:, i], words[name].to_numpy()]) for i, name in
-              enumerate(("b", "t", "ab", "at", "kb", "kt"))}
-        numbers = np.concatenate([[BEGIN, OTHER], words["l"].to_numpy()]).astype(np.int64)
-        order = np.argsort(numbers)
-        left, right = (order[np.searchsorted(numbers, side, sorter=order)] for side in (lefts, rights))
-        pairs = left * vocabulary.size + right
-        order = np.argsort(pairs)
-        pairs = pairs[order] if len(pairs) else np.array([-1], np.int64)
-        target, background = (
-            Model(of[m], total[m], size, of["a" + m], of["k" + m],
-                  found[m][order] if len(order) else np.zeros(1)) for m in "tb")
-        rows = []
-        for batch in texts.select(["doc_id", "text"]).to_batches(256):
-            for doc_id, text in zip(*(c.to_pylist() for c in batch.columns)):
-                codes = vocabulary.codes(text)
-                if len(codes) < 2:
-                    rows.append((doc_id, 0, None, None, None))
-                    continue
-                wanted = vocabulary.pairs(codes)
-                place = np.minimum(np.searchsorted(pairs, wanted), len(pairs) - 1)
-                known = pairs[place] == wanted
-                one, two = (float(m.loss(codes, place, known).mean()) for m in (target, background))
-                rows.append((doc_id, len(wanted), one, two, one - two))
-        kinds = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-        columns = list(zip(*rows)) if rows else [[]] * 5
-        return pa.Table.from_arrays(
-            [pa.array(c, k) for c, k in zip(columns, kinds)],
-            ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+    sum and number of the stored pairs it begins anywhere; ``counts`` follows its pairs.
+    ``total`` and ``size`` are those of all words and of the whole vocabulary."""
+    single = ((words + 1) / (total + size))[pairs.right]
+    kinds, after = kinds[pairs.left], after[pairs.left]
+    return -np.log(np.where(after > 0, (counts + kinds * single) / np.maximum(after + kinds, 1), single))
+
+
+SCORES = "doc_id long, n_tokens long, target_loss double, background_loss double, score double"
+
+
+def scorer(total: dict[str, int], others: dict[str, int], size: int, often: np.ndarray,
+           often_sums: np.ndarray, shares: int):
+    """Scores a chunk's texts. ``others`` has the counts of OTHER, ``often_sums`` ab, at, kb
+    and kt of the numbers ``often``, which are in order."""
+
+    def run(key, texts: pa.Table, told: pa.Table) -> pa.Table:
+        pairs = Pairs(texts, told, often, shares)
+        words = {"b": pairs.b, "t": pairs.t}
+        for m in "bt":
+            words[m][OTHER] = others[m]
+        facts = told.filter(told["pairs"].is_valid()).sort_by("share")
+        counts = dict(zip("bt", joined([unpacked(data, 2) for data in facts["pairs"].to_pylist()], 2)))
+        # left words in order of share and number, as their sums come
+        lefts = pairs.left[~pairs.often[pairs.left]]
+        sums = np.zeros((4, len(pairs.numbers)), np.int64)
+        sums[:, lefts[steps_of(lefts)]] = joined([unpacked(data, 4) for data in facts["lefts"].to_pylist()], 4)
+        sums[:, pairs.often] = often_sums[:, np.searchsorted(often, pairs.numbers[pairs.often])]
+        after, kinds = dict(zip("bt", sums[:2])), dict(zip("bt", sums[2:]))
+        some = pairs.sizes > 0
+        starts = (np.cumsum(pairs.sizes) - pairs.sizes)[some]
+        means = {}
+        for m in "bt":
+            loss = losses(words[m], total[m], size, after[m], kinds[m], counts[m], pairs)[pairs.of]
+            means[m] = np.full(len(some), np.nan)
+            means[m][some] = np.add.reduceat(loss, starts) / pairs.sizes[some] if len(starts) else []
+        return pa.table({
+            "doc_id": texts["doc_ids"][0].values, "n_tokens": pa.array(pairs.sizes.astype(np.int64)),
+            **{name: pa.array(values, pa.float64(), mask=~some) for name, values in (
+                ("target_loss", means["t"]), ("background_loss", means["b"]),
+                ("score", means["t"] - means["b"]))}})
 
     return run
 
@@ -306,32 +400,29 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     ``target_ids`` names the target documents in a column of the same name as ``id_col``."""
     rows = docs.select(docs[id_col].cast("long").alias("doc_id"), docs[text_col].alias("text"))
     chosen = target_ids.select(target_ids[id_col].cast("long").alias("doc_id"))
-    texts = stored(in_chunks(rows, chosen, chunk_words), "lm-texts")
-
-    uses = stored(word_counts(texts), "lm-uses")
-    words = stored(summed(uses, "word").withColumn(
-        "number", F.monotonically_increasing_id() + 2), "lm-words")
-    whole = uses.agg(F.sum("b").alias("b"), F.sum("t").alias("t")).first()
-    kept = words.agg(F.sum("b").alias("b"), F.sum("t").alias("t"), F.count("*").alias("n")).first()
-    total = {m: whole[m] or 0 for m in "bt"}
-
+    chunks = stored(coded(rows, chunk_words), "lm-chunks")
+    marks = stored(marked(chunks, chosen), "lm-marks")
+    whole = chunks.agg(F.sum("n_words").alias("b"), F.sum("n_kinds").alias("kinds")).first()
+
+    shares = min(CELLS, max(1, math.ceil((whole["kinds"] or 0) / SHARE_WORDS)))
+    words = stored(word_sums(word_counts(chunks, marks, shares), whole["b"] or 0), "lm-words")
+    kept = words.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ("n", "b", "t", "whole_t")]).first()
+    total = {"b": whole["b"] or 0, "t": kept["whole_t"]}
+    often = np.array(sorted([BEGIN, OTHER, *(
+        row["number"] for row in words.filter("number IS NOT NULL").select("number").collect())]), np.int64)
+
+    told = words.filter("chunk IS NOT NULL").select("share", "chunk", "sums")
     shares = max(1, math.ceil(total["b"] / SHARE_PAIRS))
-    pairs = stored(with_sums(pair_counts(
-        texts, uses.join(words.select("word", "number"), "word"), shares)), "lm-pairs")
-    lefts = stored(pairs.filter("chunk IS NULL").groupBy("l").agg(
-        *[F.sum(c).alias(c) for c in ("ab", "at", "kb", "kt")]), "lm-lefts")
-
-    ends = np.zeros((2, 6), np.int64)
-    ends[OTHER, :2] = [total[m] - (kept[m] or 0) for m in "bt"]
-    for row in lefts.filter(F.col("l") <= OTHER).collect():
-        ends[row["l"], 2:] = [row[c] for c in ("ab", "at", "kb", "kt")]
-
-    sums = [F.coalesce(c, F.lit(0)).alias(c) for c in ("ab", "at", "kb", "kt")]
-    known = words.withColumnRenamed("number", "l").join(lefts, "l", "left").select(
-        "word", "l", "b", "t", *sums)
-    own = uses.select("chunk", "word").join(known, "word")
-    facts = own.unionByName(pairs.filter("chunk IS NOT NULL").select("chunk", "pairs"), allowMissingColumns=True)
-    return texts.select("chunk", "doc_id", "text").groupBy("chunk").cogroup(
+    pairs = stored(pair_sums(pair_counts(
+        chunks, told.unionByName(marks, allowMissingColumns=True), often, shares), often), "lm-pairs")
+    often_sums = np.zeros((4, len(often)), np.int64)
+    for row in pairs.filter("l IS NOT NULL").groupBy("l").agg(
+            *[F.sum(c).alias(c) for c in ("ab", "at", "kb", "kt")]).collect():
+        often_sums[:, np.searchsorted(often, row["l"])] = row[1:]
+
+    facts = told.unionByName(
+        pairs.filter("chunk IS NOT NULL").select("share", "chunk", "pairs", "lefts"), allowMissingColumns=True)
+    others = {m: total[m] - kept[m] for m in "bt"}
+    return chunks.select("chunk", "doc_ids", "sizes", "codes").groupBy("chunk").cogroup(
         facts.groupBy("chunk")).applyInArrow(
-        scorer(total, kept["n"] + 2, ends),
-        "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+        scorer(total, others, kept["n"] + 2, often, often_sums, shares), SCORES)

@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 
 import __spark_entry__ as entry
+from farelens import session
 from farelens.llm import ann_forest, fingerprint, langid, lm_scoring, queries, url_filter
 from tests.llm import data
 from tests.oracle import compare, connect
@@ -162,6 +163,29 @@ def test_scores_of_pairs_dealt_to_many_shares(spark, monkeypatch):
     check_scores(spark, texts, range(0, len(texts), 4), chunk_words=200)
 
 
+def test_scores_of_words_and_pairs_in_many_shares(spark, monkeypatch):
+    """Words below one in twenty keep their pairs in one share, the others do not."""
+    for name, value in (("SHARE_WORDS", 40), ("SHARE_PAIRS", 300), ("FREQUENT", 20)):
+        monkeypatch.setattr(lm_scoring, name, value)
+    texts = [t for t in data.random_texts(60, 13) if lm_scoring.tokens(t)]
+    check_scores(spark, texts, range(0, len(texts), 3), chunk_words=150)
+
+
+def test_scores_store_and_send_no_texts(spark, tmp_path, monkeypatch):
+    """What is stored for scoring is less than a third of the texts, and the texts are not read again."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"word{i}" for i in rng.zipf(1.3, 1000) % 5_000) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING").repartition(2)
+    good = spark.createDataFrame([(i,) for i in range(0, 300, 7)], "doc_id BIGINT")
+    monkeypatch.setattr(session, "scratch_dir", lambda _, purpose: str(tmp_path / purpose))
+    scored = lm_scoring.cross_entropy_difference(df, good)
+    plan = scored._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    assert not any("text" in str(leaves.apply(i).output()) for i in range(leaves.size()))
+    assert scored.count() == 300
+    assert sum(f.stat().st_size for f in tmp_path.rglob("*.parquet")) < sum(map(len, texts)) / 3
+
+
 def test_fingerprints(spark):
     texts = ["x", "", None, "ab", *[t for t in data.random_texts(70, 8) if t]]
     ids = random.Random(9).sample(range(10_000), len(texts))
