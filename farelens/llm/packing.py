@@ -50,15 +50,30 @@ class LibraryIds(Encoder):
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        model = Tokenizer.from_file(path).model
+        tokenize = Tokenizer.from_file(path).model.tokenize
         letters = dict(enumerate(byte_letters()))
-        super().__init__(
-            ByteVocabulary(path), lambda ids: array("I", ids).tobytes(),
-            lambda part: [t.id for t in model.tokenize(
-                part.encode().decode("latin-1").translate(letters))],
-            # a worker that waits for its next task holds these: fewer than for op6, whose own
-            # merges cost more than the library's; words are found whole before their parts
-            limits=(50_000, 160_000, 10_000))
+        blank = letters[ord(" ")]
+
+        def ids(spelled: str) -> bytes:
+            return array("I", [t.id for t in tokenize(spelled)]).tobytes()
+
+        def spelled(part: str) -> str:
+            return part.encode().decode("latin-1").translate(letters)
+
+        self.letters_alone = lambda word: ids(blank + word if word.isascii() else spelled(" " + word))
+        # a worker that waits for its next task holds these: words of letters are kept once,
+        # under the word without its blank, parts are the rest
+        super().__init__(ByteVocabulary(path), lambda known: array("I", known).tobytes(),
+                         limits=(50_000, 400_000, 10_000))
+        self.parts.compute = lambda part: ids(spelled(part))
+
+    def word(self, word: str) -> bytes:
+        return self.letters_alone(word) if word.isalpha() else self.split_join(" " + word)
+
+    def split_join(self, text: str) -> bytes:
+        return b"".join([
+            self.joined[part[1:]] if part[0] == " " and part[1:].isalpha() else self.parts[part]
+            for part in self.vocabulary.split.findall(text)])
 
     def join(self, forms):
         return b"".join(forms)

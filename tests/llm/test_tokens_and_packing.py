@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import re
 import zlib
 
 import numpy as np
@@ -79,6 +80,26 @@ def test_coding_queries(spark, docs, library):
         assert (whole[i].ids, whole[i].decoded) == (ids, text)
 
 
+def test_blanks_beside_white_space_are_found():
+    """As a plain pattern over every character finds them."""
+    pattern, rng = re.compile(r"\s | \s| \Z"), random.Random(4)
+    texts = ["".join(rng.choices(" \n\t\x85\xa0\u2009\u3000\x1cab\u200bé", k=rng.randint(0, 6))) for _ in range(20_000)]
+    assert all(bpe.uneven(text) == bool(pattern.search(text)) for text in texts)
+
+
+def test_words_of_letters_are_kept_once(library):
+    """Of 390,000 new words none is forgotten, and their parts are not kept beside them."""
+    letters = "abcdefghij"
+    words = ["".join(letters[int(digit)] for digit in str(i)) for i in range(390_000)]
+    coder = packing.LibraryIds(queries.BYTE_BPE)
+    for at in range(0, len(words), 1000):
+        coder.ids("x " + " ".join(words[at:at + 1000]))
+    assert all(word in coder.joined for word in words)
+    assert not any(" " + word in coder.parts for word in words)
+    text = "x jjj, jjj! jjj\nabc déjà."
+    assert coder.ids(text) == np.array(library.encode(text).ids, np.uint32).tobytes()
+
+
 def test_merges_take_the_leftmost_lowest_rank():
     pairs = {(0, 0): (1, 5), (5, 0): (0, 6)}
     assert bpe.merge_all([0, 0, 0, 0, 0], pairs) == [6, 5]
