@@ -10,7 +10,7 @@ from farelens.functions.keys import row_key
 from farelens.ml import explain, stability
 from farelens.ml import train as training
 from farelens.ml.features import FeatureSet, feature_pipeline, missing_inputs, slot_names
-from farelens.plans import models
+from farelens.plans import models, sources
 from farelens.sinks import files
 from farelens.sources import TRIP_SCHEMA, canonical_trips, read_trips, trips
 
@@ -197,3 +197,13 @@ def test_boosted_search_fits_only_the_longest(spark, small, monkeypatch):
         assert score == pytest.approx(apart, rel=1e-9), named
     data.release()
     assert found.best_model.getNumTrees == found.best_params["maxIter"]
+
+
+def test_model_roundtrip_predicts_the_same(spark, tmp_path):
+    spark.range(1, 41).selectExpr(
+        "id AS l_orderkey", "id AS l_partkey", "id AS l_suppkey", "CAST(id % 5 + 1 AS INT) AS l_linenumber",
+        "CAST(id % 7 AS DOUBLE) AS l_quantity", "100.0D + id AS l_extendedprice",
+        "CAST(id % 3 AS DOUBLE) / 100 AS l_discount", "CAST(id % 4 AS DOUBLE) / 100 AS l_tax",
+        "'A' AS l_returnflag", "'F' AS l_linestatus", "TIMESTAMP_NTZ'2024-01-01' AS l_shipdate"
+    ).write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert tuple(sources.model_roundtrip(spark, str(tmp_path)).first()) == (40, 0.0)
