@@ -157,3 +157,21 @@ def test_areas_equal_spark_evaluator(spark):
         judge.evaluate(df, {judge.metricName: "areaUnderPR"}), abs=1e-8)
     points = evaluate.roc_curve(df).orderBy("fpr", "tpr").collect()
     assert (points[0].fpr, points[0].tpr) == (0, 0) and (points[-1].fpr, points[-1].tpr) == (1, 1)
+
+
+def test_ranges_of_ranks_stay_small(spark):
+    settings = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64m",
+                "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "32",
+                "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        scores = spark.range(3_000_000).select((F.xxhash64("id") / 2.0 ** 63).alias("v"), F.lit(1).alias("n"))
+        ranked = ranged_totals(scores, "v", ["n"])
+        sizes = [r["count"] for r in ranked.groupBy("_part").count().collect()]
+        assert sum(sizes) == 3_000_000 and max(sizes) < 1_500_000
+        assert ranked.agg(F.count_distinct("n_before"), F.max("n_before")).first()[:] == (3_000_000, 2_999_999)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
