@@ -207,3 +207,12 @@ def test_model_roundtrip_predicts_the_same(spark, tmp_path):
         "'A' AS l_returnflag", "'F' AS l_linestatus", "TIMESTAMP_NTZ'2024-01-01' AS l_shipdate"
     ).write.parquet(f"{tmp_path}/lineitem.parquet")
     assert tuple(sources.model_roundtrip(spark, str(tmp_path)).first()) == (40, 0.0)
+
+
+def test_encoded_rows_are_cached_in_small_batches(spark, small):
+    spark.conf.unset("spark.sql.inMemoryColumnarStorage.batchSize")
+    data = models.prepared_totals(spark, small)
+    level = data.encoded.storageLevel
+    assert level.useMemory and level.useDisk and level.deserialized
+    assert int(spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")) == 1_000
+    data.release()
