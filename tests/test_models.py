@@ -216,3 +216,26 @@ def test_encoded_rows_are_cached_in_small_batches(spark, small):
     assert level.useMemory and level.useDisk and level.deserialized
     assert int(spark.conf.get("spark.sql.inMemoryColumnarStorage.batchSize")) == 1_000
     data.release()
+
+
+def test_a_task_of_an_ensemble_takes_four_partitions_at_most(spark):
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, 1, 40 * cores)
+    for estimator in (training.classifier("gbt"), training.classifier("random_forest")):
+        assert training.for_fit(estimator, many).rdd.getNumPartitions() == 10 * cores
+
+
+def test_models_that_fill_the_cores_are_fitted_one_at_a_time(spark, monkeypatch):
+    cores = spark.sparkContext.defaultParallelism
+    at_once = [training.fits_at_once(spark.range(0, 1000, 1, n), 4) for n in (1, cores, 2 * cores, 4 * cores, 50 * cores)]
+    assert at_once == [4, 4, 2, 1, 1]
+    estimator = training.regressor("decision_tree")
+    grid = training.param_grid(estimator, {"maxDepth": [1, 2]})
+    pools, pool = [], training.ThreadPool
+    monkeypatch.setattr(training, "ThreadPool", lambda n: (pools.append(n), pool(n))[1])
+    wide = spark.createDataFrame(
+        [(float(i), float(i % 7), i % 2) for i in range(200)], "x DOUBLE, label DOUBLE, fold INT")
+    wide = VectorAssembler(inputCols=["x"], outputCol="features").transform(
+        spark.createDataFrame(wide.rdd.repartition(4 * cores), wide.schema))
+    training.cross_validate(wide, estimator, grid, folds=2)
+    assert pools == [1]
